@@ -1,0 +1,53 @@
+"""Registered queries: name -> callable(spark, sf_dir), and the SQL each must agree with."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ordermill import twin_sql as twin
+from ordermill.plans.catalog import ANALYTIC
+from ordermill.plans.fixture_params import FIXTURE_PARAMS
+from ordermill.plans.layouts import LAYOUTS
+from ordermill.sources.store import loaded_store
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Queries that read customer fields and so differ on the top-level layout.
+TOPLEVEL_QUERIES = ("q03", "q05", "q07", "q08", "q10", "q18", "q22")
+
+
+def _plain_address(df: DataFrame) -> DataFrame:
+    """Struct addresses as one text, so that results compare by value."""
+    if dict(df.dtypes).get("su_address", "").startswith("struct"):
+        return df.withColumn("su_address", F.concat_ws(", ", "su_address.*"))
+    return df
+
+
+def _analytic(name: str, layout: str, params: dict) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _plain_address(ANALYTIC[name](LAYOUTS[layout](loaded_store(spark, sf_dir)), **params))
+
+    return run
+
+
+def _entries() -> dict[str, tuple[Query, str | None]]:
+    entries: dict[str, tuple[Query, str | None]] = {}
+    for name in ANALYTIC:
+        params = FIXTURE_PARAMS[name]
+        sql = twin.analytic_sql(name, params)
+        entries[name] = (_analytic(name, "nested", params), sql)
+        entries[f"{name}_flat"] = (_analytic(name, "flat", params), sql)
+        if name in TOPLEVEL_QUERIES:
+            entries[f"{name}_toplevel"] = (_analytic(name, "toplevel", params), sql)
+    return entries
+
+
+def registered() -> dict[str, Query]:
+    return {name: query for name, (query, _) in _entries().items()}
+
+
+def twin_sql() -> dict[str, str]:
+    return {name: sql for name, (_, sql) in _entries().items() if sql is not None}
