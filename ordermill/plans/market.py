@@ -131,15 +131,17 @@ def q10(t: Nested, start: str = "2015-10-01 00:00:00", months: int = 3, k: int =
 
 
 def q22(t: Nested, digits: tuple[str, ...] = ("1", "2", "3", "4", "5", "6", "7"),
-        idle: tuple[str, str] | None = ("2013-12-01 00:00:00", "2013-12-31 00:00:00")) -> DataFrame:
+        idle: tuple[str, str] | None = ("2013-12-01 00:00:00", "2013-12-31 00:00:00"),
+        average_digits: tuple[str, ...] | None = None) -> DataFrame:
     """Customers above the average balance that ordered nothing in a month, by state.
 
-    ``idle=None`` asks for customers that never ordered.
+    ``idle=None`` asks for customers that never ordered. The average may be taken over phone
+    digits of its own.
     """
-    def chosen(rows: DataFrame) -> DataFrame:
-        return rows.where(initial(c("c_phone_number")).isin(*digits))
+    def chosen(rows: DataFrame, wanted: tuple[str, ...]) -> DataFrame:
+        return rows.where(initial(c("c_phone_number")).isin(*wanted))
 
-    average = chosen(t.contact_balances()).where(c("c_balance") > 0.0).agg(
+    average = chosen(t.contact_balances(), average_digits or digits).where(c("c_balance") > 0.0).agg(
         share(money_total(c("c_balance")), F.count("*"))
     ).scalar()
     orders = t.orders()
@@ -147,7 +149,7 @@ def q22(t: Nested, digits: tuple[str, ...] = ("1", "2", "3", "4", "5", "6", "7")
         orders = orders.where(c("o_entry_d").between(ts(idle[0]), ts(idle[1])))
     active = orders.select("o_w_id", "o_d_id", "o_c_id").distinct()
     rows = (
-        chosen(t.reachable_customers()).where(c("c_balance") > average)
+        chosen(t.reachable_customers(), digits).where(c("c_balance") > average)
         .join(active, belongs_to_customer(), "left_anti")
         .groupBy(initial(c("c_state")).alias("country"))
         .agg(F.count("*").alias("numcust"), money_total(c("c_balance")).alias("totacctbal"))

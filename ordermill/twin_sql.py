@@ -315,13 +315,16 @@ def q21_lines(nation, first, last, days, k=100):
     GROUP BY su_name ORDER BY numwait DESC, su_name LIMIT {k}"""
 
 
-def q22(digits, idle=None):
-    chosen = "substr(c_phone_number, 1, 1) IN (" + ", ".join(f"'{d}'" for d in digits) + ")"
+def q22(digits, idle=None, average_digits=None):
+    def of(wanted):
+        return "substr(c_phone_number, 1, 1) IN (" + ", ".join(f"'{d}'" for d in wanted) + ")"
+
+    chosen, averaged = of(digits), of(average_digits or digits)
     when = "" if idle is None else f"AND o_entry_d BETWEEN {_time(idle[0])} AND {_time(idle[1])}"
     return f"""
     SELECT substr(c_state, 1, 1) AS country, count(*) AS numcust, {_dbl(_sum('c_balance'))} AS totacctbal
     FROM d_customer
-    WHERE {chosen} AND c_balance > (SELECT {_dbl(_sum('c_balance'))} / count(*) FROM d_customer WHERE c_balance > 0.00 AND {chosen})
+    WHERE {chosen} AND c_balance > (SELECT {_dbl(_sum('c_balance'))} / count(*) FROM d_customer WHERE c_balance > 0.00 AND {averaged})
       AND NOT EXISTS (SELECT 1 FROM d_header WHERE o_c_id = c_id AND o_w_id = c_w_id AND o_d_id = c_d_id {when})
     GROUP BY substr(c_state, 1, 1) ORDER BY 1"""
 
