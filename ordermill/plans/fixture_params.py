@@ -1,5 +1,7 @@
 """Parameters that suit the given tables: years 1995-2001, their nation and region names."""
 
+from ordermill.plans.parameters import Domains
+
 FIXTURE_PARAMS = {
     "q01": {"since": "1995-07-01 00:00:00"},
     "q02": {"region": "EUROP%", "suffix": "b"},
@@ -26,3 +28,18 @@ FIXTURE_PARAMS = {
     "q21_lines": {"nation": "NATION_7", "first": "1998-01-01 00:00:00", "last": "1998-12-31 00:00:00", "days": 100},
     "q22": {"digits": ("1", "2", "3"), "idle": ("1998-01-01 00:00:00", "1998-06-30 00:00:00")},
 }
+
+FIXTURE_DOMAINS = Domains(
+    first_year=1995,
+    regions=("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"),
+    share_region="EUROPE",
+    share_nations=("NATION_3", "NATION_8", "NATION_13", "NATION_18", "NATION_23"),
+    nations=tuple(f"NATION_{n}" for n in range(25)),
+    state_characters="abcdefghijklmnopqrstuvwxy",
+    warehouses=4,
+    total_range=(300_000, 400_000),
+    late_days=100,
+    promo_prefixes=("pr", "sm", "la"),
+    extra={"fraction": 0.005, "prices": (50.0, 60.0, 70.0), "prefixes": ["ec", "st", "la", "pr", "me"], "late_from_month": 1,
+           "idle": ("1998-01-01 00:00:00", "1998-06-30 00:00:00")},
+)

@@ -13,7 +13,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.expr import MONEY_SUM, code_point, money, money_total
+from ordermill.functions.expr import MONEY_SUM, code_point, money, money_total, supplier_key
 
 ORDER_KEY = ["o_w_id", "o_d_id", "o_id"]
 CUSTOMER_KEY = ["c_w_id", "c_d_id", "c_id"]
@@ -36,6 +36,13 @@ class Nested:
     def table(self, name: str) -> DataFrame:
         return self.store.table(name)
 
+    def stock(self) -> DataFrame:
+        """Stock with its supplier, stored as a generated column or else computed."""
+        stock = self.store.table("stock")
+        if "s_suppkey" in stock.columns:
+            return stock
+        return stock.withColumn("s_suppkey", supplier_key(F.col("s_w_id"), F.col("s_i_id"), self.suppliers))
+
     # -- orders ---------------------------------------------------------------------------
 
     def orders(self) -> DataFrame:

@@ -29,7 +29,8 @@ def key_range(spark, first: int, last: int, **fixed: int) -> DataFrame:
     return spark.range(first, last + 1).select(c("id").alias("k"), *[F.lit(v).cast("bigint").alias(n) for n, v in fixed.items()])
 
 
-def sample_key_space(spark, n: int, w: tuple[int, int], d: tuple[int, int], o: tuple[int, int], seed: int = 0) -> DataFrame:
+def sample_key_space(spark, n: int, w: tuple[int, int], d: tuple[int, int], o: tuple[int, int], seed: int = 0,
+                     names: list[str] = PRIMARY_KEYS["orders"]) -> DataFrame:
     """``n`` distinct keys drawn evenly from a box of (warehouse, district, order) numbers.
 
     Every position of the box gets a digest; the ``n`` smallest digests win. Warehouse varies
@@ -43,9 +44,9 @@ def sample_key_space(spark, n: int, w: tuple[int, int], d: tuple[int, int], o: t
     chosen = smallest_rows(flat, n, "digest", "id")
     rest = F.floor(c("id") / o_span)
     return chosen.select(
-        (w[0] + F.floor(rest / d_span)).alias("o_w_id"),
-        (d[0] + rest % d_span).alias("o_d_id"),
-        (o[0] + c("id") % o_span).alias("o_id"),
+        (w[0] + F.floor(rest / d_span)).alias(names[0]),
+        (d[0] + rest % d_span).alias(names[1]),
+        (o[0] + c("id") % o_span).alias(names[2]),
     )
 
 

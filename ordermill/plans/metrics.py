@@ -106,11 +106,11 @@ def loop_summaries(log: DataFrame, warmup_loops: int = 0) -> DataFrame:
     """Per client and loop: queries run, total, geometric and arithmetic mean."""
     timed = log.where(c("loop") > warmup_loops).withColumn("sec", seconds(c("elapsed")))
     sums = timed.groupBy("client", "loop").agg(
-        F.count("*").alias("queries"), total(c("sec")).alias("s"), geometric_mean(c("sec")).alias("g")
+        F.count("*").alias("queries"), F.sum(c("sec").cast(_SUM)).alias("s"), geometric_mean(c("sec")).alias("g")
     )
     return sums.select(
-        "client", "loop", "queries", F.round("s", 2).alias("total_seconds"),
-        F.round("g", 2).alias("geometric_mean"), F.round(c("s") / c("queries"), 2).alias("arithmetic_mean"),
+        "client", "loop", "queries", F.round("s", 2).cast("double").alias("total_seconds"),
+        F.round("g", 2).alias("geometric_mean"), F.round(c("s") / c("queries"), 2).cast("double").alias("arithmetic_mean"),
     )
 
 

@@ -106,5 +106,5 @@ def draw(name: str, domains: Domains, seed: int) -> dict:
     if name == "q22":
         # Two lists of seven out of 1..10; a ten never equals one character.
         chosen, averaged = (tuple(str(n) for n in rng.sample(range(1, 11), 7)) for _ in range(2))
-        return {"digits": chosen, "average_digits": averaged, "idle": None}
+        return {"digits": chosen, "average_digits": averaged, "idle": domains.extra.get("idle")}
     raise KeyError(name)

@@ -24,7 +24,7 @@ def q02(t: Nested, region: str = "Europ%", suffix: str = "b", k: int = 100) -> D
     items = t.table("item").where(c("i_data").endswith(suffix)).select("i_id", "i_name")
     regional = suppliers_of(t, nations_of(t, region)).select("su_suppkey", "n_name")
     stock = (
-        t.table("stock").select("s_i_id", "s_quantity", "s_suppkey")
+        t.stock().select("s_i_id", "s_quantity", "s_suppkey")
         .join(items.select("i_id"), c("s_i_id") == c("i_id"), "left_semi")
         .join(regional, c("s_suppkey") == c("su_suppkey"))
     )
@@ -43,7 +43,7 @@ def q11(t: Nested, nation: str = "Germany", fraction: float = 0.00005) -> DataFr
     """Items whose order count is more than a fraction of all, in the stock of one nation."""
     suppliers = suppliers_of(t, named_nation(t, nation)).select("su_suppkey")
     counts = (
-        t.table("stock").select("s_i_id", "s_order_cnt", "s_suppkey")
+        t.stock().select("s_i_id", "s_order_cnt", "s_suppkey")
         .join(suppliers, c("s_suppkey") == c("su_suppkey"), "left_semi")
         .groupBy("s_i_id").agg(F.sum("s_order_cnt").alias("ordercount"))
     )
@@ -77,7 +77,7 @@ def q16(t: Nested, not_prefix: str = "zz", comment: str = "%Customer%Complaints%
     items = t.table("item").where(~c("i_data").startswith(not_prefix)).select(
         "i_id", "i_name", F.substring("i_data", 1, 3).alias("brand"), "i_price"
     )
-    stock = t.table("stock").select("s_i_id", "s_suppkey").join(
+    stock = t.stock().select("s_i_id", "s_suppkey").join(
         complained, c("s_suppkey") == c("su_suppkey"), "left_anti"
     )
     counts = stock.join(items, c("s_i_id") == c("i_id")).groupBy("i_name", "brand", "i_price").agg(
@@ -100,7 +100,7 @@ def q20(t: Nested, prefix: str = "co", nation: str = "Germany", start: str = "20
         F.sum("ol_quantity").alias("ordered")
     )
     spare = (
-        t.table("stock").select("s_i_id", "s_quantity", "s_suppkey")
+        t.stock().select("s_i_id", "s_quantity", "s_suppkey")
         .join(ordered, c("s_i_id") == c("ol_i_id"))
         .where(20 * c("s_quantity") > c("ordered"))
         .select("s_suppkey").distinct()

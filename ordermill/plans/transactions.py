@@ -9,6 +9,8 @@ by sums and ranks, not by a loop.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -221,11 +223,17 @@ def new_order(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
     }, result
 
 
-def new_order_changes(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
+def _as_is(rows: DataFrame, label: str) -> DataFrame:
+    return rows
+
+
+def new_order_changes(tables: Tables, requests: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = _as_is) -> tuple[Tables, DataFrame]:
     """Place orders: number them per district, take the pieces from stock, price the lines.
 
     Returns only what changes: new ``orders`` and ``neworder`` rows, and the ``district`` and
-    ``stock`` rows with new values, so that a small batch costs little on large tables.
+    ``stock`` rows with new values, so that a small batch costs little on large tables. All
+    outputs follow from two intermediate results; a caller that uses several of the outputs
+    passes ``keep`` to write each of the two once and read it back.
 
     Requests: seq, w_id, d_id, c_id, o_entry_d, lines ARRAY<STRUCT<i_id, w_id, qty>>. A request
     without lines, with an unknown item or for an unknown customer is not placed and takes no
@@ -253,6 +261,7 @@ def new_order_changes(tables: Tables, requests: DataFrame) -> tuple[Tables, Data
     placed = running_total(valid, ["w_id", "d_id"], ["seq"], {"_earlier": F.lit(1)}).withColumn(
         "o_id", c("d_next_o_id") + c("_earlier")
     )
+    placed = keep(placed, "placed")
 
     stock_key = ["s_w_id", "s_i_id"]
     lines = asked.join(placed.select("seq", "o_entry_d"), "seq").withColumns(
@@ -268,6 +277,7 @@ def new_order_changes(tables: Tables, requests: DataFrame) -> tuple[Tables, Data
         "ol_dist_info": F.get("s_dists", (c("d_id") - 1).cast("int")),
         "ol_delivery_d": c("o_entry_d"),
     })
+    lines = keep(lines.drop("s_dists", "i_data", "s_data"), "lines")
 
     # One group per request; a request already holds its lines in one row.
     line_fields = ["ol_number", "ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_quantity", "ol_amount", "ol_dist_info"]

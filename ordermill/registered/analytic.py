@@ -1,22 +1,21 @@
-"""Registered queries: name -> callable(spark, sf_dir), and the SQL each must agree with."""
+"""The analytical queries on every layout, and with drawn parameters."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill import twin_sql as twin
 from ordermill.plans.catalog import ANALYTIC
-from ordermill.plans.fixture_params import FIXTURE_PARAMS
+from ordermill.plans.fixture_params import FIXTURE_DOMAINS, FIXTURE_PARAMS
 from ordermill.plans.layouts import LAYOUTS
+from ordermill.plans.parameters import draw
+from ordermill.registered import Entries, Query
 from ordermill.sources.store import loaded_store
 
-Query = Callable[[SparkSession, str], DataFrame]
-
 # Queries that read customer fields and so differ on the top-level layout.
 TOPLEVEL_QUERIES = ("q03", "q05", "q07", "q08", "q10", "q18", "q22")
+DRAW_SEED = 3
 
 
 def _plain_address(df: DataFrame) -> DataFrame:
@@ -33,21 +32,19 @@ def _analytic(name: str, layout: str, params: dict) -> Query:
     return run
 
 
-def _entries() -> dict[str, tuple[Query, str | None]]:
-    entries: dict[str, tuple[Query, str | None]] = {}
+def entries() -> Entries:
+    found: Entries = {}
     for name in ANALYTIC:
         params = FIXTURE_PARAMS[name]
         sql = twin.analytic_sql(name, params)
-        entries[name] = (_analytic(name, "nested", params), sql)
-        entries[f"{name}_flat"] = (_analytic(name, "flat", params), sql)
+        found[name] = (_analytic(name, "nested", params), sql)
+        found[f"{name}_flat"] = (_analytic(name, "flat", params), sql)
         if name in TOPLEVEL_QUERIES:
-            entries[f"{name}_toplevel"] = (_analytic(name, "toplevel", params), sql)
-    return entries
-
-
-def registered() -> dict[str, Query]:
-    return {name: query for name, (query, _) in _entries().items()}
-
-
-def twin_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _entries().items() if sql is not None}
+            found[f"{name}_toplevel"] = (_analytic(name, "toplevel", params), sql)
+    for name in ANALYTIC:
+        if name == "q21":
+            continue  # the drawn form of q21 counts lines
+        drawn = draw(name, FIXTURE_DOMAINS, DRAW_SEED)
+        label = "params_q21" if name == "q21_lines" else f"params_{name}"
+        found[label] = (_analytic(name, "nested", drawn), twin.analytic_sql(name, drawn))
+    return found

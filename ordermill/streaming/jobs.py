@@ -57,8 +57,13 @@ class ChangedTables:
         return overlay(base, latest, keys)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
+        def keep(rows: DataFrame, label: str) -> DataFrame:
+            path = f"{self.folder}/work/{label}/batch={batch_id}"
+            rows.write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+
         needed = ("district", "stock", "warehouse", "customer", "item")
-        changes, result = new_order_changes({n: self.table(n, batch_id) for n in needed}, batch)
+        changes, result = new_order_changes({n: self.table(n, batch_id) for n in needed}, batch, keep)
         for name, rows in {**changes, "result": result}.items():
             rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch_id}")
 

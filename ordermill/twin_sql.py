@@ -165,7 +165,7 @@ def q07(nation_a, nation_b, first, last):
     GROUP BY su_nationkey, substr(c_state, 1, 1), year(o_entry_d) ORDER BY 1, 2, 3"""
 
 
-def q08(region, nation, suffix, item_below, first, last):
+def q08(region, nation, suffix, first, last, item_below=1000):
     own = f"CASE WHEN n2.n_name = '{nation}' THEN ol_amount ELSE 0 END"
     return f"""
     SELECT CAST(year(o_entry_d) AS INT) AS l_year,
@@ -197,7 +197,7 @@ def q10(start, months=3, k=20):
     ORDER BY revenue DESC, c_id, c_last, c_city, c_phone_number, n_name LIMIT {k}"""
 
 
-def q11(nation, fraction):
+def q11(nation, fraction=0.00005):
     source = f"""d_stock, d_supplier, d_nation WHERE s_suppkey = su_suppkey AND su_nationkey = n_nationkey AND n_name = '{nation}'"""
     return f"""
     SELECT s_i_id, CAST(sum(s_order_cnt) AS BIGINT) AS ordercount FROM {source}
