@@ -103,7 +103,7 @@ def nest(rows: DataFrame, parent: list[str], fields: list[Column | str], into: s
     element = F.struct(*fields)
     if present is not None:
         element = F.when(present, element)
-    return rows.groupBy(*parent).agg(F.array_sort(F.collect_list(element)).alias(into))
+    return rows.groupBy(*parent).agg(F.sort_array(F.collect_list(element)).alias(into))
 
 
 def nest_children(parent: DataFrame, child: DataFrame, keys: list[str], into: str) -> DataFrame:

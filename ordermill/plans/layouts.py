@@ -17,7 +17,19 @@ from ordermill.functions.expr import MONEY_SUM, code_point, money, money_total,
 
 ORDER_KEY = ["o_w_id", "o_d_id", "o_id"]
 CUSTOMER_KEY = ["c_w_id", "c_d_id", "c_id"]
-HEADER = ["o_id", "o_c_id", "o_d_id", "o_w_id", "o_carrier_id", "o_ol_cnt", "o_entry_d"]
+LINE = ("ol_number", "ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_quantity", "ol_amount")
+
+
+def unnest(rows: DataFrame, array: str, fields: tuple[str, ...], keep: list[str]) -> DataFrame:
+    """One row per element of an array of structs, with some fields of the element.
+
+    The fields are picked from the array before it is exploded, as the scan then reads only
+    these: pruning stops at a generator that more than one field is taken from. Rows without
+    elements go after the explode, since testing for them before would zip the fields twice.
+    """
+    zipped = F.arrays_zip(*[F.col(f"{array}.{f}").alias(f) for f in fields])
+    wide = rows.select(*keep, F.explode_outer(zipped).alias("_element")).where(F.col("_element").isNotNull())
+    return wide.select(*keep, *[F.col("_element")[f].alias(f) for f in fields])
 
 
 class Store(Protocol):
@@ -48,14 +60,10 @@ class Nested:
     def orders(self) -> DataFrame:
         return self.store.table("orders")
 
-    def lines(self, orders: DataFrame | None = None) -> DataFrame:
-        """One row per order line with the columns of its order. Columns nobody asks for are
-        pruned inside the array as well."""
+    def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE) -> DataFrame:
+        """One row per order line: the asked line fields beside the columns of the order."""
         orders = self.orders() if orders is None else orders
-        kept = [c for c in orders.columns if c != "o_orderline"]
-        rows = orders.select(*kept, F.explode("o_orderline").alias("ol"))
-        names = ("ol_number", "ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_quantity", "ol_amount")
-        return rows.select(*kept, *[F.col(f"ol.{n}").alias(n) for n in names])
+        return unnest(orders, "o_orderline", fields, [c for c in orders.columns if c != "o_orderline"])
 
     def with_total(self, orders: DataFrame) -> DataFrame:
         """Orders that have lines, with the sum of their amounts as ``o_total``."""
@@ -64,7 +72,7 @@ class Nested:
             F.lit(0).cast(MONEY_SUM),
             lambda total, amount: (total + money(amount)).cast(MONEY_SUM),
         )
-        return orders.where(F.size("o_orderline") > 0).withColumn("o_total", add)
+        return orders.where(F.size("o_orderline.ol_amount") > 0).withColumn("o_total", add)
 
     def with_latest(self, orders: DataFrame) -> DataFrame:
         """Orders that have a delivered line, with the latest delivery as ``o_latest``."""
@@ -76,33 +84,37 @@ class Nested:
     def customer_keys(self) -> DataFrame:
         return self.store.table("customer").select(*CUSTOMER_KEY)
 
-    def customers(self) -> DataFrame:
-        """Customers unnested with their shipping address."""
-        plain = [*CUSTOMER_KEY, "c_balance", F.col("c_name.c_last").alias("c_last"), "c_phones"]
-        rows = self.store.table("customer").select(*plain, F.explode("c_addresses").alias("ca"))
-        rows = rows.where(F.col("ca.c_address_kind") == "shipping")
-        return rows.select(
-            *CUSTOMER_KEY, "c_balance", "c_last", "c_phones",
-            F.col("ca.c_city").alias("c_city"), F.col("ca.c_state").alias("c_state"),
-        )
+    def customer_names(self) -> DataFrame:
+        return self.store.table("customer").select(*CUSTOMER_KEY, F.col("c_name.c_last").alias("c_last"))
+
+    def customers(self, fields: tuple[str, ...] = ("c_state",)) -> DataFrame:
+        """Keys of the customers unnested with the asked fields of their shipping address."""
+        rows = unnest(self.store.table("customer"), "c_addresses", ("c_address_kind", *fields), CUSTOMER_KEY)
+        return rows.where(F.col("c_address_kind") == "shipping").drop("c_address_kind")
 
     def reachable_customers(self) -> DataFrame:
-        """``customers`` with their contact phone as well."""
-        rows = self.customers().withColumn("cp", F.explode("c_phones")).where(F.col("cp.c_phone_kind") == "contact")
-        return rows.withColumn("c_phone_number", F.col("cp.c_phone_number")).drop("cp", "c_phones")
+        """Customers with balance, last name, shipping city and state, and contact phone."""
+        rows = self.store.table("customer").withColumn("c_last", F.col("c_name.c_last"))
+        plain = [*CUSTOMER_KEY, "c_balance", "c_last"]
+        rows = unnest(rows, "c_addresses", ("c_address_kind", "c_city", "c_state"), [*plain, "c_phones"])
+        rows = rows.where(F.col("c_address_kind") == "shipping").drop("c_address_kind")
+        rows = unnest(rows, "c_phones", ("c_phone_kind", "c_phone_number"), [*plain, "c_city", "c_state"])
+        return rows.where(F.col("c_phone_kind") == "contact").drop("c_phone_kind")
 
     def contact_balances(self) -> DataFrame:
         """Balance and contact phone only, for questions that need no address."""
-        rows = self.store.table("customer").select("c_balance", F.explode("c_phones").alias("cp"))
-        rows = rows.where(F.col("cp.c_phone_kind") == "contact")
-        return rows.select("c_balance", F.col("cp.c_phone_number").alias("c_phone_number"))
+        rows = unnest(self.store.table("customer"), "c_phones", ("c_phone_kind", "c_phone_number"), ["c_balance"])
+        return rows.where(F.col("c_phone_kind") == "contact").drop("c_phone_kind")
 
 
 class TopLevel(Nested):
     """One address and phone per customer as plain columns; orders stay nested."""
 
-    def customers(self) -> DataFrame:
-        return self.store.table("toplevel_customer").select(*CUSTOMER_KEY, "c_balance", "c_last", "c_city", "c_state")
+    def customer_names(self) -> DataFrame:
+        return self.store.table("toplevel_customer").select(*CUSTOMER_KEY, "c_last")
+
+    def customers(self, fields: tuple[str, ...] = ("c_state",)) -> DataFrame:
+        return self.store.table("toplevel_customer").select(*CUSTOMER_KEY, *fields)
 
     def reachable_customers(self) -> DataFrame:
         return self.store.table("toplevel_customer").select(
@@ -119,8 +131,8 @@ class Flat(Nested):
     def orders(self) -> DataFrame:
         return self.store.table("orders_header")
 
-    def lines(self, orders: DataFrame | None = None) -> DataFrame:
-        rows = self.store.table("orders_orderline").drop("ol_dist_info")
+    def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE) -> DataFrame:
+        rows = self.store.table("orders_orderline").select(*ORDER_KEY, *fields)
         return rows if orders is None else orders.join(rows, ORDER_KEY)
 
     def with_total(self, orders: DataFrame) -> DataFrame:
@@ -135,19 +147,20 @@ class Flat(Nested):
     def customer_keys(self) -> DataFrame:
         return self.store.table("customer_flat").select(*CUSTOMER_KEY)
 
-    def customers(self) -> DataFrame:
+    def customer_names(self) -> DataFrame:
+        return self.store.table("customer_flat").select(*CUSTOMER_KEY, "c_last")
+
+    def customers(self, fields: tuple[str, ...] = ("c_state",)) -> DataFrame:
         addresses = self.store.table("customer_addresses").where(F.col("c_address_kind") == "shipping")
-        return (
-            self.store.table("customer_flat").select(*CUSTOMER_KEY, "c_balance", "c_last")
-            .join(addresses.select(*CUSTOMER_KEY, "c_city", "c_state"), CUSTOMER_KEY)
-        )
+        return self.customer_keys().join(addresses.select(*CUSTOMER_KEY, *fields), CUSTOMER_KEY)
 
     def _phones(self) -> DataFrame:
         phones = self.store.table("customer_phones").where(F.col("c_phone_kind") == "contact")
         return phones.select(*CUSTOMER_KEY, "c_phone_number")
 
     def reachable_customers(self) -> DataFrame:
-        return self.customers().join(self._phones(), CUSTOMER_KEY)
+        plain = self.store.table("customer_flat").select(*CUSTOMER_KEY, "c_balance", "c_last")
+        return plain.join(self.customers(("c_city", "c_state")), CUSTOMER_KEY).join(self._phones(), CUSTOMER_KEY)
 
     def contact_balances(self) -> DataFrame:
         balances = self.store.table("customer_flat").select(*CUSTOMER_KEY, "c_balance")

@@ -45,7 +45,7 @@ def q05(t: Nested, region: str = "Asia", year: int = 2016) -> DataFrame:
     buyers = customers_of(t, nations)
     suppliers = t.table("supplier").select("su_suppkey", "su_nationkey")
     orders = t.orders().where(year_range(c("o_entry_d"), year)).join(buyers, belongs_to_customer())
-    lines = t.lines(orders).withColumn("supplier_no", supplier_key(c("o_w_id"), c("ol_i_id"), t.suppliers))
+    lines = t.lines(orders, ("ol_i_id", "ol_amount")).withColumn("supplier_no", supplier_key(c("o_w_id"), c("ol_i_id"), t.suppliers))
     local = lines.join(
         suppliers, (c("supplier_no") == c("su_suppkey")) & (c("su_nationkey") == c("n_nationkey")), "left_semi"
     )
@@ -65,7 +65,7 @@ def q07(t: Nested, nation_a: str = "Germany", nation_b: str = "Cambodia", first:
     buyers = customers_of(t, pair).select(*CUSTOMER_KEY, initial(c("c_state")).alias("cust_nation"), opposite.alias("from_name"))
     suppliers = suppliers_of(t, pair).select("su_suppkey", "su_nationkey", c("n_name").alias("su_nation"))
     orders = t.orders().join(buyers, belongs_to_customer())
-    lines = t.lines(orders).where(c("ol_delivery_d").between(ts(first), ts(last)))
+    lines = t.lines(orders, ("ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_amount")).where(c("ol_delivery_d").between(ts(first), ts(last)))
     lines = lines.withColumn("supplier_no", supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers))
     traded = lines.join(suppliers, (c("supplier_no") == c("su_suppkey")) & (c("su_nation") == c("from_name")))
     keys = [c("su_nationkey").alias("supp_nation"), "cust_nation", F.year("o_entry_d").alias("l_year")]
@@ -85,7 +85,7 @@ def q08(t: Nested, region: str = "Europe", nation: str = "Germany", suffix: str
     items = t.table("item").where(c("i_data").endswith(suffix) & (c("i_id") < item_below)).select("i_id")
     suppliers = suppliers_of(t, t.table("nation").select("n_nationkey", "n_name")).select("su_suppkey", "n_name")
     orders = t.orders().where(c("o_entry_d").between(ts(first), ts(last))).join(buyers, belongs_to_customer(), "left_semi")
-    lines = t.lines(orders).where(c("ol_i_id") < item_below).join(items, c("ol_i_id") == c("i_id"), "left_semi")
+    lines = t.lines(orders, ("ol_i_id", "ol_supply_w_id", "ol_amount")).where(c("ol_i_id") < item_below).join(items, c("ol_i_id") == c("i_id"), "left_semi")
     lines = lines.withColumn("supplier_no", supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers))
     sold = lines.join(suppliers, c("supplier_no") == c("su_suppkey")).withColumn("l_year", F.year("o_entry_d"))
     own = F.when(c("n_name") == nation, money(c("ol_amount"))).otherwise(F.lit(0).cast("decimal(18,2)"))
@@ -102,7 +102,7 @@ def q09(t: Nested, suffix: str = "bb") -> DataFrame:
     """Revenue of some items by supplier nation and year."""
     items = t.table("item").where(c("i_data").endswith(suffix)).select("i_id")
     suppliers = suppliers_of(t, t.table("nation").select("n_nationkey", "n_name")).select("su_suppkey", "n_name")
-    lines = t.lines(t.orders()).join(items, c("ol_i_id") == c("i_id"), "left_semi")
+    lines = t.lines(t.orders(), ("ol_i_id", "ol_supply_w_id", "ol_amount")).join(items, c("ol_i_id") == c("i_id"), "left_semi")
     per_stock = lines.groupBy("ol_supply_w_id", "ol_i_id", F.year("o_entry_d").alias("l_year")).agg(
         money_total(c("ol_amount")).alias("amount")
     ).withColumn("supplier_no", supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers))

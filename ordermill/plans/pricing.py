@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from ordermill.functions.expr import (
     MONEY_SUM, money_total, months_after, plus_days, shaped, share, ts, within, year_range,
 )
-from ordermill.plans.layouts import CUSTOMER_KEY, ORDER_KEY, Nested, belongs_to_customer
+from ordermill.plans.layouts import ORDER_KEY, Nested, belongs_to_customer
 
 c = F.col
 
 
 def q01(t: Nested, since: str = "2014-07-01 00:00:00") -> DataFrame:
     """Quantity and amount per line number, for lines delivered after a date."""
-    lines = t.lines().where(c("ol_delivery_d") > ts(since))
+    lines = t.lines(None, ("ol_number", "ol_delivery_d", "ol_quantity", "ol_amount")).where(c("ol_delivery_d") > ts(since))
     sums = lines.groupBy("ol_number").agg(
         F.sum("ol_quantity").alias("sum_qty"),
         money_total(c("ol_amount")).alias("sum_amount"),
@@ -44,7 +44,9 @@ def q04(t: Nested, start: str = "2015-07-01 00:00:00", months: int = 3, weeks: i
 
 def q06(t: Nested, year: int = 2016, min_amount: float = 600.0) -> DataFrame:
     """Revenue of the lines delivered in a year above an amount."""
-    lines = t.lines().where(year_range(c("ol_delivery_d"), year) & (c("ol_amount") > min_amount))
+    lines = t.lines(None, ("ol_delivery_d", "ol_amount")).where(
+        year_range(c("ol_delivery_d"), year) & (c("ol_amount") > min_amount)
+    )
     return shaped(lines.agg(money_total(c("ol_amount")).alias("revenue")), "revenue double")
 
 
@@ -56,7 +58,7 @@ def q12(t: Nested, year: int = 2016, carriers: tuple[int, int] = (1, 2)) -> Data
     """
     upper = ts(f"{year + 1}-01-01 00:00:00")
     orders = t.orders().where(c("o_entry_d") < upper)
-    lines = t.lines(orders).where(
+    lines = t.lines(orders, ("ol_delivery_d",)).where(
         year_range(c("ol_delivery_d"), year) & (c("o_entry_d") <= c("ol_delivery_d"))
     )
     high = c("o_carrier_id").isin(*carriers)
@@ -86,7 +88,9 @@ def q13(t: Nested, carrier_above: int = 8) -> DataFrame:
 
 def q14(t: Nested, start: str = "2017-09-01 00:00:00", months: int = 1, prefix: str = "pr") -> DataFrame:
     """Share of promoted items in a month's revenue, in percent."""
-    lines = t.lines().where(within(c("ol_delivery_d"), ts(start), months_after(start, months)))
+    lines = t.lines(None, ("ol_i_id", "ol_delivery_d", "ol_amount")).where(
+        within(c("ol_delivery_d"), ts(start), months_after(start, months))
+    )
     per_item = lines.groupBy("ol_i_id").agg(money_total(c("ol_amount")).alias("amount"))
     priced = per_item.join(t.table("item").select("i_id", "i_data"), c("ol_i_id") == c("i_id"))
     promo = F.sum(F.when(c("i_data").startswith(prefix), c("amount")).otherwise(F.lit(0).cast(MONEY_SUM)))
@@ -102,7 +106,7 @@ def q17(t: Nested, suffix: str = "b") -> DataFrame:
     """
     items = t.table("item").where(c("i_data").endswith(suffix)).select("i_id")
     histogram = (
-        t.lines().join(items, c("ol_i_id") == c("i_id"), "left_semi")
+        t.lines(None, ("ol_i_id", "ol_quantity", "ol_amount")).join(items, c("ol_i_id") == c("i_id"), "left_semi")
         .groupBy("ol_i_id", "ol_quantity")
         .agg(money_total(c("ol_amount")).alias("amount"), F.count("*").alias("n"))
     )
@@ -118,8 +122,7 @@ def q17(t: Nested, suffix: str = "b") -> DataFrame:
 def q18(t: Nested, total_above: float = 200.0, k: int = 100) -> DataFrame:
     """Orders with the largest totals and their customers."""
     totals = t.with_total(t.orders()).where(c("o_total") > F.lit(total_above).cast("decimal(18,2)"))
-    names = t.customers().select(*CUSTOMER_KEY, "c_last")
-    rows = totals.join(names, belongs_to_customer()).select(
+    rows = totals.join(t.customer_names(), belongs_to_customer()).select(
         "c_last", "c_id", *ORDER_KEY, "o_entry_d", "o_ol_cnt", c("o_total").alias("ol_sum")
     )
     top = rows.orderBy(c("ol_sum").desc(), "o_entry_d", *ORDER_KEY).limit(k)
@@ -153,6 +156,6 @@ def q19(t: Nested, branches=Q19_BRANCHES) -> DataFrame:
 
     items = t.table("item").where(any_of([on_item(b) for b in branches])).select("i_id", "i_data", "i_price")
     warehouses = sorted({w for b in branches for w in b[4]})
-    lines = t.lines().where(c("o_w_id").isin(*warehouses) & any_of([on_line(b) for b in branches]))
+    lines = t.lines(None, ("ol_i_id", "ol_quantity", "ol_amount")).where(c("o_w_id").isin(*warehouses) & any_of([on_line(b) for b in branches]))
     matched = lines.join(items, (c("ol_i_id") == c("i_id")) & any_of([on_item(b) & on_line(b) for b in branches]))
     return shaped(matched.agg(money_total(c("ol_amount")).alias("revenue")), "revenue double")

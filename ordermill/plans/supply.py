@@ -58,7 +58,9 @@ def q15(t: Nested, start: str = "2018-01-01 00:00:00", months: int = 3) -> DataF
     Revenue is a decimal sum, so the comparison with its own maximum is exact however often
     the sum is computed.
     """
-    lines = t.lines().where(within(c("ol_delivery_d"), ts(start), months_after(start, months)))
+    lines = t.lines(None, ("ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_amount")).where(
+        within(c("ol_delivery_d"), ts(start), months_after(start, months))
+    )
     per_stock = lines.groupBy("ol_supply_w_id", "ol_i_id").agg(money_total(c("ol_amount")).alias("amount"))
     supplier_no = supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers).alias("supplier_no")
     revenue = in_stock(per_stock, t, "ol_supply_w_id", "ol_i_id").groupBy(supplier_no).agg(
@@ -95,7 +97,9 @@ def q20(t: Nested, prefix: str = "co", nation: str = "Germany", start: str = "20
     meets stock as one row per item.
     """
     items = t.table("item").where(c("i_data").startswith(prefix)).select("i_id")
-    lines = t.lines().where(within(c("ol_delivery_d"), ts(start), months_after(start, months)))
+    lines = t.lines(None, ("ol_i_id", "ol_delivery_d", "ol_quantity")).where(
+        within(c("ol_delivery_d"), ts(start), months_after(start, months))
+    )
     ordered = lines.join(items, c("ol_i_id") == c("i_id"), "left_semi").groupBy("ol_i_id").agg(
         F.sum("ol_quantity").alias("ordered")
     )
@@ -113,7 +117,7 @@ def q20(t: Nested, prefix: str = "co", nation: str = "Germany", start: str = "20
 def _late_lines(t: Nested, nation: str, first: str, last: str, days: int) -> DataFrame:
     """Late lines served by suppliers of a nation, with the latest delivery of their order."""
     orders = t.orders().where(c("o_entry_d").between(ts(first), ts(last)))
-    lines = t.lines(t.with_latest(orders)).where(c("ol_delivery_d") > plus_days(c("o_entry_d"), days))
+    lines = t.lines(t.with_latest(orders), ("ol_i_id", "ol_delivery_d")).where(c("ol_delivery_d") > plus_days(c("o_entry_d"), days))
     lines = lines.withColumn("supplier_no", supplier_key(c("o_w_id"), c("ol_i_id"), t.suppliers))
     suppliers = suppliers_of(t, named_nation(t, nation)).select("su_suppkey")
     return lines.join(suppliers, c("supplier_no") == c("su_suppkey"), "left_semi")

@@ -155,7 +155,7 @@ def payment(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
         .select(*person, "seq", F.concat(note, F.lit("|")).alias("note"))
         .withColumn("_rank", F.row_number().over(newest)).where(c("_rank") <= enough)
         .groupBy(*person)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", "note"))).alias("_notes"))
+        .agg(F.sort_array(F.collect_list(F.struct("_rank", "note"))).alias("_notes"))
         .select(*person, F.array_join("_notes.note", "").alias("_notes"))
     )
     customers = tables["customer"].join(sums, person, "left").join(notes, person, "left").withColumns({
@@ -282,8 +282,8 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Callable[[DataF
     # One group per request; a request already holds its lines in one row.
     line_fields = ["ol_number", "ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_quantity", "ol_amount", "ol_dist_info"]
     grouped = lines.groupBy("seq").agg(
-        F.array_sort(F.collect_list(F.struct(*line_fields))).alias("o_orderline"),
-        F.array_sort(F.collect_list(F.struct(
+        F.sort_array(F.collect_list(F.struct(*line_fields))).alias("o_orderline"),
+        F.sort_array(F.collect_list(F.struct(
             "ol_number", "i_name", "left_in_stock", "brand", "i_price", "ol_amount"))).alias("items"),
         money_total(c("ol_amount")).alias("_sum"),
     )

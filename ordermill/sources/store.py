@@ -54,9 +54,12 @@ class FolderStore:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.suppliers = suppliers
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}")
+        return self._tables[name]
 
 
 class LoadedStore:
@@ -66,7 +69,7 @@ class LoadedStore:
         self.spark = spark
         self.bridge = Bridge(spark, sf_dir)
         self.folder = fresh_path(spark, "store")
-        self._written: set[str] = set()
+        self._tables: dict[str, DataFrame] = {}
 
     @property
     def suppliers(self) -> int:
@@ -83,11 +86,13 @@ class LoadedStore:
         return self.bridge.table(name)
 
     def table(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}"
-        if name not in self._written:
-            write_table(self._derive(name), path, name)
-            self._written.add(name)
-        return self.spark.read.parquet(path)
+        """The table as written; files are listed once and the schema is known without reading."""
+        if name not in self._tables:
+            path = f"{self.folder}/{name}"
+            derived = self._derive(name)
+            write_table(derived, path, name)
+            self._tables[name] = self.spark.read.schema(derived.schema).parquet(path)
+        return self._tables[name]
 
 
 _stores: dict[tuple[str, str], LoadedStore] = {}
