@@ -13,7 +13,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.expr import MONEY_SUM, code_point, money, money_total, supplier_key
+from ordermill.functions.expr import cents, cents_total, code_point, supplier_key
 
 ORDER_KEY = ["o_w_id", "o_d_id", "o_id"]
 CUSTOMER_KEY = ["c_w_id", "c_d_id", "c_id"]
@@ -66,12 +66,8 @@ class Nested:
         return unnest(orders, "o_orderline", fields, [c for c in orders.columns if c != "o_orderline"])
 
     def with_total(self, orders: DataFrame) -> DataFrame:
-        """Orders that have lines, with the sum of their amounts as ``o_total``."""
-        add = F.aggregate(
-            "o_orderline.ol_amount",
-            F.lit(0).cast(MONEY_SUM),
-            lambda total, amount: (total + money(amount)).cast(MONEY_SUM),
-        )
+        """Orders that have lines, with the sum of their amounts in cents as ``o_total``."""
+        add = F.aggregate("o_orderline.ol_amount", F.lit(0).cast("bigint"), lambda total, amount: total + cents(amount))
         return orders.where(F.size("o_orderline.ol_amount") > 0).withColumn("o_total", add)
 
     def with_latest(self, orders: DataFrame) -> DataFrame:
@@ -136,7 +132,7 @@ class Flat(Nested):
         return rows if orders is None else orders.join(rows, ORDER_KEY)
 
     def with_total(self, orders: DataFrame) -> DataFrame:
-        totals = self.lines().groupBy(*ORDER_KEY).agg(money_total(F.col("ol_amount")).alias("o_total"))
+        totals = self.lines().groupBy(*ORDER_KEY).agg(cents_total(F.col("ol_amount")).alias("o_total"))
         return orders.join(totals, ORDER_KEY)
 
     def with_latest(self, orders: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import (
-    initial, money, money_total, months_after, shaped, share, supplier_key, ts, within, year_range,
+    cents, cents_total, from_cents, initial, months_after, shaped, share, supplier_key, ts, within, year_range,
 )
 from ordermill.plans.layouts import (
     CUSTOMER_KEY, ORDER_KEY, Nested, belongs_to_customer, in_stock, nations_of, state_nation, suppliers_of,
@@ -33,7 +33,7 @@ def q03(t: Nested, state: str = "a", before: str = "2017-03-15 00:00:00", limit:
         .join(waiting, (c("no_w_id") == c("o_w_id")) & (c("no_d_id") == c("o_d_id")) & (c("no_o_id") == c("o_id")), "left_semi")
         .join(buyers, belongs_to_customer(), "left_semi")
     )
-    rows = t.with_total(orders).withColumn("revenue", c("o_total"))
+    rows = t.with_total(orders).withColumn("revenue", from_cents(c("o_total")))
     rows = rows.orderBy(c("revenue").desc(), "o_entry_d", *ORDER_KEY)
     rows = rows if limit is None else rows.limit(limit)
     return shaped(rows, "o_id bigint, o_w_id bigint, o_d_id bigint, revenue double, o_entry_d timestamp_ntz")
@@ -49,8 +49,8 @@ def q05(t: Nested, region: str = "Asia", year: int = 2016) -> DataFrame:
     local = lines.join(
         suppliers, (c("supplier_no") == c("su_suppkey")) & (c("su_nationkey") == c("n_nationkey")), "left_semi"
     )
-    per_stock = local.groupBy("o_w_id", "ol_i_id", "n_name").agg(money_total(c("ol_amount")).alias("amount"))
-    result = in_stock(per_stock, t, "o_w_id", "ol_i_id").groupBy("n_name").agg(F.sum("amount").alias("revenue"))
+    per_stock = local.groupBy("o_w_id", "ol_i_id", "n_name").agg(cents_total(c("ol_amount")).alias("amount"))
+    result = in_stock(per_stock, t, "o_w_id", "ol_i_id").groupBy("n_name").agg(from_cents(F.sum("amount")).alias("revenue"))
     return shaped(result, "n_name string, revenue double").orderBy(c("revenue").desc(), "n_name")
 
 
@@ -69,9 +69,9 @@ def q07(t: Nested, nation_a: str = "Germany", nation_b: str = "Cambodia", first:
     lines = lines.withColumn("supplier_no", supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers))
     traded = lines.join(suppliers, (c("supplier_no") == c("su_suppkey")) & (c("su_nation") == c("from_name")))
     keys = [c("su_nationkey").alias("supp_nation"), "cust_nation", F.year("o_entry_d").alias("l_year")]
-    per_stock = traded.groupBy("ol_supply_w_id", "ol_i_id", *keys).agg(money_total(c("ol_amount")).alias("amount"))
+    per_stock = traded.groupBy("ol_supply_w_id", "ol_i_id", *keys).agg(cents_total(c("ol_amount")).alias("amount"))
     result = in_stock(per_stock, t, "ol_supply_w_id", "ol_i_id").groupBy("supp_nation", "cust_nation", "l_year").agg(
-        F.sum("amount").alias("revenue")
+        from_cents(F.sum("amount")).alias("revenue")
     )
     return shaped(result, "supp_nation bigint, cust_nation string, l_year int, revenue double").orderBy(
         "supp_nation", "cust_nation", "l_year"
@@ -88,12 +88,12 @@ def q08(t: Nested, region: str = "Europe", nation: str = "Germany", suffix: str
     lines = t.lines(orders, ("ol_i_id", "ol_supply_w_id", "ol_amount")).where(c("ol_i_id") < item_below).join(items, c("ol_i_id") == c("i_id"), "left_semi")
     lines = lines.withColumn("supplier_no", supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers))
     sold = lines.join(suppliers, c("supplier_no") == c("su_suppkey")).withColumn("l_year", F.year("o_entry_d"))
-    own = F.when(c("n_name") == nation, money(c("ol_amount"))).otherwise(F.lit(0).cast("decimal(18,2)"))
+    own = F.when(c("n_name") == nation, cents(c("ol_amount"))).otherwise(0)
     per_stock = sold.groupBy("ol_supply_w_id", "ol_i_id", "l_year").agg(
-        F.sum(own).alias("own"), money_total(c("ol_amount")).alias("whole")
+        F.sum(own).alias("own"), cents_total(c("ol_amount")).alias("whole")
     )
     years = in_stock(per_stock, t, "ol_supply_w_id", "ol_i_id").groupBy("l_year").agg(
-        F.round(share(F.sum("own"), F.sum("whole")), 2).alias("mkt_share")
+        F.round(share(from_cents(F.sum("own")), from_cents(F.sum("whole"))), 2).alias("mkt_share")
     )
     return shaped(years, "l_year int, mkt_share double").orderBy("l_year")
 
@@ -104,10 +104,10 @@ def q09(t: Nested, suffix: str = "bb") -> DataFrame:
     suppliers = suppliers_of(t, t.table("nation").select("n_nationkey", "n_name")).select("su_suppkey", "n_name")
     lines = t.lines(t.orders(), ("ol_i_id", "ol_supply_w_id", "ol_amount")).join(items, c("ol_i_id") == c("i_id"), "left_semi")
     per_stock = lines.groupBy("ol_supply_w_id", "ol_i_id", F.year("o_entry_d").alias("l_year")).agg(
-        money_total(c("ol_amount")).alias("amount")
+        cents_total(c("ol_amount")).alias("amount")
     ).withColumn("supplier_no", supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers))
     sold = in_stock(per_stock, t, "ol_supply_w_id", "ol_i_id").join(suppliers, c("supplier_no") == c("su_suppkey"))
-    result = sold.groupBy("n_name", "l_year").agg(F.sum("amount").alias("sum_profit"))
+    result = sold.groupBy("n_name", "l_year").agg(from_cents(F.sum("amount")).alias("sum_profit"))
     return shaped(result, "n_name string, l_year int, sum_profit double").orderBy("n_name", c("l_year").desc())
 
 
@@ -126,7 +126,7 @@ def q10(t: Nested, start: str = "2015-10-01 00:00:00", months: int = 3, k: int =
         .join(nations, state_nation())
         .groupBy(*details).agg(F.sum("amount").alias("revenue"))
     )
-    top = rows.orderBy(c("revenue").desc(), *details).limit(k)
+    top = rows.orderBy(c("revenue").desc(), *details).limit(k).withColumn("revenue", from_cents(c("revenue")))
     return shaped(top, "c_id bigint, c_last string, revenue double, c_city string, c_phone_number string, n_name string")
 
 
@@ -142,7 +142,7 @@ def q22(t: Nested, digits: tuple[str, ...] = ("1", "2", "3", "4", "5", "6", "7")
         return rows.where(initial(c("c_phone_number")).isin(*wanted))
 
     average = chosen(t.contact_balances(), average_digits or digits).where(c("c_balance") > 0.0).agg(
-        share(money_total(c("c_balance")), F.count("*"))
+        share(from_cents(cents_total(c("c_balance"))), F.count("*"))
     ).scalar()
     orders = t.orders()
     if idle is not None:
@@ -152,6 +152,6 @@ def q22(t: Nested, digits: tuple[str, ...] = ("1", "2", "3", "4", "5", "6", "7")
         chosen(t.reachable_customers(), digits).where(c("c_balance") > average)
         .join(active, belongs_to_customer(), "left_anti")
         .groupBy(initial(c("c_state")).alias("country"))
-        .agg(F.count("*").alias("numcust"), money_total(c("c_balance")).alias("totacctbal"))
+        .agg(F.count("*").alias("numcust"), from_cents(cents_total(c("c_balance"))).alias("totacctbal"))
     )
     return shaped(rows, "country string, numcust bigint, totacctbal double").orderBy("country")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import (
-    MONEY_SUM, money_total, months_after, plus_days, shaped, share, ts, within, year_range,
+    cents_total, from_cents, months_after, plus_days, shaped, share, ts, within, year_range,
 )
 from ordermill.plans.layouts import ORDER_KEY, Nested, belongs_to_customer
 
@@ -18,9 +18,9 @@ def q01(t: Nested, since: str = "2014-07-01 00:00:00") -> DataFrame:
     lines = t.lines(None, ("ol_number", "ol_delivery_d", "ol_quantity", "ol_amount")).where(c("ol_delivery_d") > ts(since))
     sums = lines.groupBy("ol_number").agg(
         F.sum("ol_quantity").alias("sum_qty"),
-        money_total(c("ol_amount")).alias("sum_amount"),
+        cents_total(c("ol_amount")).alias("cents"),
         F.count("*").alias("count_order"),
-    )
+    ).withColumn("sum_amount", from_cents(c("cents")))
     averages = sums.withColumns({
         "avg_qty": share(c("sum_qty"), c("count_order")),
         "avg_amount": share(c("sum_amount"), c("count_order")),
@@ -47,7 +47,7 @@ def q06(t: Nested, year: int = 2016, min_amount: float = 600.0) -> DataFrame:
     lines = t.lines(None, ("ol_delivery_d", "ol_amount")).where(
         year_range(c("ol_delivery_d"), year) & (c("ol_amount") > min_amount)
     )
-    return shaped(lines.agg(money_total(c("ol_amount")).alias("revenue")), "revenue double")
+    return shaped(lines.agg(from_cents(cents_total(c("ol_amount"))).alias("revenue")), "revenue double")
 
 
 def q12(t: Nested, year: int = 2016, carriers: tuple[int, int] = (1, 2)) -> DataFrame:
@@ -91,10 +91,10 @@ def q14(t: Nested, start: str = "2017-09-01 00:00:00", months: int = 1, prefix:
     lines = t.lines(None, ("ol_i_id", "ol_delivery_d", "ol_amount")).where(
         within(c("ol_delivery_d"), ts(start), months_after(start, months))
     )
-    per_item = lines.groupBy("ol_i_id").agg(money_total(c("ol_amount")).alias("amount"))
+    per_item = lines.groupBy("ol_i_id").agg(cents_total(c("ol_amount")).alias("amount"))
     priced = per_item.join(t.table("item").select("i_id", "i_data"), c("ol_i_id") == c("i_id"))
-    promo = F.sum(F.when(c("i_data").startswith(prefix), c("amount")).otherwise(F.lit(0).cast(MONEY_SUM)))
-    result = F.lit(100.0) * promo.cast("double") / (F.lit(1.0) + F.sum("amount").cast("double"))
+    promo = F.sum(F.when(c("i_data").startswith(prefix), c("amount")).otherwise(0))
+    result = F.lit(100.0) * from_cents(promo) / (F.lit(1.0) + from_cents(F.sum("amount")))
     return shaped(priced.agg(result.alias("promo_revenue")), "promo_revenue double")
 
 
@@ -108,24 +108,24 @@ def q17(t: Nested, suffix: str = "b") -> DataFrame:
     histogram = (
         t.lines(None, ("ol_i_id", "ol_quantity", "ol_amount")).join(items, c("ol_i_id") == c("i_id"), "left_semi")
         .groupBy("ol_i_id", "ol_quantity")
-        .agg(money_total(c("ol_amount")).alias("amount"), F.count("*").alias("n"))
+        .agg(cents_total(c("ol_amount")).alias("amount"), F.count("*").alias("n"))
     )
     item = Window.partitionBy("ol_i_id")
     below = histogram.withColumns({
         "lines": F.sum("n").over(item), "quantity": F.sum(c("n") * c("ol_quantity")).over(item),
     }).where(c("ol_quantity") * c("lines") < c("quantity"))
     return shaped(
-        below.agg((F.sum("amount").cast("double") / 2.0).alias("avg_yearly")), "avg_yearly double"
+        below.agg((from_cents(F.sum("amount")) / 2.0).alias("avg_yearly")), "avg_yearly double"
     )
 
 
 def q18(t: Nested, total_above: float = 200.0, k: int = 100) -> DataFrame:
     """Orders with the largest totals and their customers."""
-    totals = t.with_total(t.orders()).where(c("o_total") > F.lit(total_above).cast("decimal(18,2)"))
+    totals = t.with_total(t.orders()).where(c("o_total") > round(total_above * 100))
     rows = totals.join(t.customer_names(), belongs_to_customer()).select(
         "c_last", "c_id", *ORDER_KEY, "o_entry_d", "o_ol_cnt", c("o_total").alias("ol_sum")
     )
-    top = rows.orderBy(c("ol_sum").desc(), "o_entry_d", *ORDER_KEY).limit(k)
+    top = rows.orderBy(c("ol_sum").desc(), "o_entry_d", *ORDER_KEY).limit(k).withColumn("ol_sum", from_cents(c("ol_sum")))
     return shaped(top, "c_last string, c_id bigint, o_id bigint, o_entry_d timestamp_ntz, o_ol_cnt bigint, ol_sum double")
 
 
@@ -158,4 +158,4 @@ def q19(t: Nested, branches=Q19_BRANCHES) -> DataFrame:
     warehouses = sorted({w for b in branches for w in b[4]})
     lines = t.lines(None, ("ol_i_id", "ol_quantity", "ol_amount")).where(c("o_w_id").isin(*warehouses) & any_of([on_line(b) for b in branches]))
     matched = lines.join(items, (c("ol_i_id") == c("i_id")) & any_of([on_item(b) & on_line(b) for b in branches]))
-    return shaped(matched.agg(money_total(c("ol_amount")).alias("revenue")), "revenue double")
+    return shaped(matched.agg(from_cents(cents_total(c("ol_amount"))).alias("revenue")), "revenue double")

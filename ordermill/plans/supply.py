@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.expr import money_total, months_after, plus_days, shaped, supplier_key, ts, within
+from ordermill.functions.expr import cents_total, from_cents, months_after, plus_days, shaped, supplier_key, ts, within
 from ordermill.plans.layouts import ORDER_KEY, Nested, in_stock, nations_of, suppliers_of
 
 c = F.col
@@ -55,13 +55,13 @@ def q11(t: Nested, nation: str = "Germany", fraction: float = 0.00005) -> DataFr
 def q15(t: Nested, start: str = "2018-01-01 00:00:00", months: int = 3) -> DataFrame:
     """The supplier, or suppliers, with the highest revenue of a period.
 
-    Revenue is a decimal sum, so the comparison with its own maximum is exact however often
+    Revenue is summed in whole cents, so the comparison with its own maximum is exact however often
     the sum is computed.
     """
     lines = t.lines(None, ("ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_amount")).where(
         within(c("ol_delivery_d"), ts(start), months_after(start, months))
     )
-    per_stock = lines.groupBy("ol_supply_w_id", "ol_i_id").agg(money_total(c("ol_amount")).alias("amount"))
+    per_stock = lines.groupBy("ol_supply_w_id", "ol_i_id").agg(cents_total(c("ol_amount")).alias("amount"))
     supplier_no = supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers).alias("supplier_no")
     revenue = in_stock(per_stock, t, "ol_supply_w_id", "ol_i_id").groupBy(supplier_no).agg(
         F.sum("amount").alias("total_revenue")
@@ -69,7 +69,7 @@ def q15(t: Nested, start: str = "2018-01-01 00:00:00", months: int = 3) -> DataF
     best = revenue.where(c("total_revenue") == revenue.agg(F.max("total_revenue")).scalar())
     rows = t.table("supplier").join(best, c("su_suppkey") == c("supplier_no"))
     return rows.select(
-        "su_suppkey", "su_name", "su_address", "su_phone", c("total_revenue").cast("double").alias("total_revenue")
+        "su_suppkey", "su_name", "su_address", "su_phone", from_cents(c("total_revenue")).alias("total_revenue")
     ).orderBy("su_suppkey")
 
 

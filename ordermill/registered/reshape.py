@@ -45,12 +45,12 @@ def entries() -> Entries:
     phone_kinds = kinds.format("'home', 'work', 'mobile'", f"{first_kind} % 3")
     category = "'category_' || lpad(CAST(1 + ({}) % 127 AS VARCHAR), 3, '0')"
     return {
-        "reshape_nested_to_ch2": (
+        "reshape_nested_to_toplevel": (
             _on("customer", lambda df: shaped(
                 to_toplevel("customer", df), CUSTOMER + ", c_first string, c_last string, c_city string, c_state string, c_phone string, c_balance double")),
             with_views("SELECT c_id, c_d_id, c_w_id, c_first, c_last, c_city, c_state, c_phone_number AS c_phone, c_balance FROM d_customer"),
         ),
-        "reshape_nested_to_ch2p": (
+        "reshape_nested_to_single": (
             _on("customer", lambda df: shaped(
                 keep_first("customer", df).select(
                     "c_id", "c_d_id", "c_w_id", F.size("c_addresses").alias("addresses"), F.size("c_phones").alias("phones"),
