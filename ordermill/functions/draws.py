@@ -63,7 +63,8 @@ class Draw:
         return F.when(length > 0, F.array_join(picked, "")).otherwise("")
 
     def one_in_ten(self, tag: str, number: Column) -> Column:
-        """True for exactly one of each ten consecutive numbers."""
+        """True for exactly one of each ten consecutive numbers, counted from one."""
+        number = number - 1
         block = F.floor(number / 10)
         return F.pmod(number, F.lit(10)) == F.pmod(F.xxhash64(F.lit(self.seed), F.lit(f"{self.table}.{tag}"), *self.keys[:-1], block), F.lit(10))
 
