@@ -2,8 +2,9 @@
 
 A layout answers what the queries ask: orders by date, their lines, the total or the latest
 delivery of an order, customers with their shipping address. The nested layout answers per-order
-questions inside the document, without a shuffle; the flat one aggregates the child table by the
-order key, so no order is ever gathered in one place.
+questions inside the document, without a shuffle; an order too large for a document has its lines
+as rows beside it, and these are aggregated. The flat layout aggregates the child table by the
+order key throughout, so no order is ever gathered in one place.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ def unnest(rows: DataFrame, array: str, fields: tuple[str, ...], keep: list[str]
 
 class Store(Protocol):
     suppliers: int
+    max_document_lines: int
+    apart: DataFrame | None
 
     def table(self, name: str) -> DataFrame: ...
 
@@ -63,17 +66,35 @@ class Nested:
     def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE) -> DataFrame:
         """One row per order line: the asked line fields beside the columns of the order."""
         orders = self.orders() if orders is None else orders
-        return unnest(orders, "o_orderline", fields, [c for c in orders.columns if c != "o_orderline"])
+        kept = [c for c in orders.columns if c != "o_orderline"]
+        rows = unnest(orders, "o_orderline", fields, kept)
+        if self.store.apart is None:
+            return rows
+        large = self._large(orders).select(*kept).join(self.store.apart.select(*ORDER_KEY, *fields), ORDER_KEY)
+        return rows.unionByName(large)
+
+    def _large(self, orders: DataFrame) -> DataFrame:
+        """Orders whose lines are rows apart from their document."""
+        return orders.where(F.col("o_ol_cnt") > self.store.max_document_lines)
 
     def with_total(self, orders: DataFrame) -> DataFrame:
         """Orders that have lines, with the sum of their amounts in cents as ``o_total``."""
         add = F.aggregate("o_orderline.ol_amount", F.lit(0).cast("bigint"), lambda total, amount: total + cents(amount))
-        return orders.where(F.size("o_orderline.ol_amount") > 0).withColumn("o_total", add)
+        inside = orders.where(F.size("o_orderline.ol_amount") > 0).withColumn("o_total", add)
+        if self.store.apart is None:
+            return inside
+        totals = self.store.apart.groupBy(*ORDER_KEY).agg(cents_total(F.col("ol_amount")).alias("o_total"))
+        return inside.unionByName(self._large(orders).join(totals, ORDER_KEY))
 
     def with_latest(self, orders: DataFrame) -> DataFrame:
         """Orders that have a delivered line, with the latest delivery as ``o_latest``."""
         latest = F.array_max("o_orderline.ol_delivery_d")
-        return orders.withColumn("o_latest", latest).where(F.col("o_latest").isNotNull())
+        inside = orders.withColumn("o_latest", latest).where(F.col("o_latest").isNotNull())
+        if self.store.apart is None:
+            return inside
+        delivered = self.store.apart.where(F.col("ol_delivery_d").isNotNull())
+        found = delivered.groupBy(*ORDER_KEY).agg(F.max("ol_delivery_d").alias("o_latest"))
+        return inside.unionByName(self._large(orders).join(found, ORDER_KEY))
 
     # -- customers ------------------------------------------------------------------------
 

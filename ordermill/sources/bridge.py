@@ -270,14 +270,23 @@ class Bridge:
             F.concat(F.lit("D"), _text(_c("o_d_id"))).alias("ol_dist_info"),
         ]
 
-    def _orders(self) -> DataFrame:
-        """Nested orders. Both sides hash on the order once; the grouping reuses that layout."""
-        header = self._header()
-        joined = header.join(self._lines(), "o_id", "left")
+    def documents(self, header: DataFrame, oversized: DataFrame) -> DataFrame:
+        """Nested orders. Both sides hash on the order once; the grouping reuses that layout.
+
+        Orders in ``oversized`` keep an empty array: their lines are in ``lines_of``.
+        """
+        lines = self._lines().join(oversized, "o_id", "left_anti")
+        joined = header.join(lines, "o_id", "left")
         docs = nest(joined, header.columns, self._line_fields(), "o_orderline", present=_c("ol_number").isNotNull())
         return docs.select(
-            "o_id", "o_c_id", "o_d_id", "o_w_id", "o_carrier_id",
-            _big(F.size("o_orderline")).alias("o_ol_cnt"), "o_all_local", "o_entry_d", "o_orderline",
+            "o_id", "o_c_id", "o_d_id", "o_w_id", "o_carrier_id", "o_ol_cnt", "o_all_local", "o_entry_d", "o_orderline"
+        )
+
+    def lines_of(self, header: DataFrame, orders: DataFrame) -> DataFrame:
+        """Lines of some orders as plain rows."""
+        chosen = header.join(orders, "o_id", "left_semi").drop("o_ol_cnt")
+        return chosen.join(self._lines().join(orders, "o_id", "left_semi"), "o_id").select(
+            "o_id", "o_d_id", "o_w_id", *self._line_fields()
         )
 
     def _order_header(self) -> DataFrame:
