@@ -90,7 +90,7 @@ def table_stats(spark: SparkSession, name: str) -> DataFrame:
             continue
         facts = spark.sql(f"DESCRIBE EXTENDED {name} {field.name}").where(c("info_name").isin("min", "max", "num_nulls"))
         described.append(facts.groupBy().pivot("info_name", ["min", "max", "num_nulls"]).agg(F.first("info_value")).select(
-            F.lit(field.name).alias("column_name"), F.lit(count).alias("row_count"),
+            F.lit(field.name).alias("column_name"), F.lit(count).cast("bigint").alias("row_count"),
             c("num_nulls").cast("bigint").alias("null_count"),
             F.when(c("min") != "NULL", c("min")).alias("min_value"), F.when(c("max") != "NULL", c("max")).alias("max_value"),
         ))

@@ -13,6 +13,7 @@ paid once and not by each of the queries, and scans can prune columns and row gr
 from __future__ import annotations
 
 from functools import cached_property
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,6 +83,7 @@ class LoadedStore:
         self.bridge = Bridge(spark, sf_dir)
         self.folder = fresh_path(spark, "store")
         self._tables: dict[str, DataFrame] = {}
+        self._lock = RLock()
 
     @property
     def suppliers(self) -> int:
@@ -114,20 +116,23 @@ class LoadedStore:
 
     def table(self, name: str) -> DataFrame:
         """The table as written; files are listed once and the schema is known without reading."""
-        if name not in self._tables:
-            path = f"{self.folder}/{name}"
-            derived = self._derive(name)
-            write_table(derived, path, name)
-            self._tables[name] = self.spark.read.schema(derived.schema).parquet(path)
-        return self._tables[name]
+        with self._lock:
+            if name not in self._tables:
+                path = f"{self.folder}/{name}"
+                derived = self._derive(name)
+                write_table(derived, path, name)
+                self._tables[name] = self.spark.read.schema(derived.schema).parquet(path)
+            return self._tables[name]
 
 
 _stores: dict[tuple[str, str], LoadedStore] = {}
+_stores_lock = RLock()
 
 
 def loaded_store(spark: SparkSession, sf_dir: str) -> LoadedStore:
     """The store of this session for one folder of given tables."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stores:
-        _stores[key] = LoadedStore(spark, sf_dir)
-    return _stores[key]
+    with _stores_lock:
+        if key not in _stores:
+            _stores[key] = LoadedStore(spark, sf_dir)
+        return _stores[key]

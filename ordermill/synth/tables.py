@@ -47,6 +47,8 @@ CATEGORIES = 127
 DELIVERY_DAYS = (2, 151)
 SECONDS_PER_DAY = 86_400
 
+ROWS_PER_TASK = 200_000
+
 
 @dataclass(frozen=True)
 class Scale:
@@ -108,11 +110,16 @@ class Synth:
 
     # -- shared pieces --------------------------------------------------------------------
 
+    def _numbers(self, n: int, first: int = 0) -> DataFrame:
+        """Row numbers, in as many tasks as keep each task's output moderate."""
+        tasks = max(self.spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))
+        return self.spark.range(first, first + n, 1, tasks)
+
     def _district_rows(self, per_district: int, number: str) -> DataFrame:
         """One row per (warehouse, district, number), numbered from one."""
         districts = self.scale.districts
         n = c("id")
-        return self.spark.range(self.scale.warehouses * districts * per_district).select(
+        return self._numbers(self.scale.warehouses * districts * per_district).select(
             (self.scale.first_warehouse + F.floor(n / (districts * per_district))).alias("w"),
             (1 + F.floor(n / per_district) % districts).alias("d"),
             (1 + n % per_district).alias(number),
@@ -185,7 +192,7 @@ class Synth:
             F.when(place < 5, marked("Recommends")).when(place < 10, marked("Complaints"))
             .otherwise(draw.alphanumeric("comment", length))
         )
-        return self.spark.range(1, self.suppliers + 1).select(c("id").alias("su_suppkey")).select(
+        return self._numbers(self.suppliers, 1).select(c("id").alias("su_suppkey")).select(
             k, F.concat(F.lit("Supplier#"), F.lpad(k.cast("string"), 9, "0")).alias("su_name"),
             self._address(draw, "su").alias("su_address"),
             F.element_at(nations, (F.lit(1) + place % len(NATIONS)).cast("int")).alias("su_nationkey"),
@@ -197,7 +204,7 @@ class Synth:
         i = c("i_id")
         draw = Draw(self.seed, "item", i)
         categories = F.transform(draw.subset("category", draw.number("categories", 1, 2), CATEGORIES), _category)
-        return self.spark.range(1, self.scale.items + 1).select(c("id").alias("i_id")).select(
+        return self._numbers(self.scale.items, 1).select(c("id").alias("i_id")).select(
             i, draw.letters("name", 14, 24).alias("i_name"), draw.fixed("price", 2, 1.0, 100.0).alias("i_price"),
             *self._filler("i", "item", i), categories.alias("i_categories"),
             self._data(draw, draw.one_in_ten("original", i)).alias("i_data"), draw.number("im", 1, 10000).alias("i_im_id"),
@@ -207,7 +214,7 @@ class Synth:
         w = c("w_id")
         draw = Draw(self.seed, "warehouse", w)
         paid = HISTORY_AMOUNT * self.scale.customers * self.scale.districts
-        return self.spark.range(self.scale.warehouses).select((self.scale.first_warehouse + c("id")).alias("w_id")).select(
+        return self._numbers(self.scale.warehouses).select((self.scale.first_warehouse + c("id")).alias("w_id")).select(
             w, F.lit(paid).alias("w_ytd"), draw.fixed("tax", 4, 0.0, 0.2).alias("w_tax"),
             draw.letters("name", 6, 10).alias("w_name"), self._address(draw, "w").alias("w_address"),
         )
@@ -227,7 +234,7 @@ class Synth:
         remote = F.floor(orders / 10) if self.scale.warehouses > 1 else F.lit(0).cast("bigint")
         items = self.scale.items
         dists = F.array(*[draw.letters(f"dist{n}", 24, 24) for n in range(1, self.scale.districts + 1)])
-        return self.spark.range(self.scale.warehouses * items).select(
+        return self._numbers(self.scale.warehouses * items).select(
             (1 + c("id") % items).alias("s_i_id"), (self.scale.first_warehouse + F.floor(c("id") / items)).alias("s_w_id")
         ).select(
             i, w, draw.number("quantity", 10, 100).alias("s_quantity"), F.lit(0).cast("bigint").alias("s_ytd"),

@@ -6,6 +6,9 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import rows_of
 
 QUERIES, SQL = queries(), oracle_sql()
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean",
+}
 
 
 def test_each_has_sql():
@@ -14,7 +17,10 @@ def test_each_has_sql():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_agrees(name, spark, sf_dir, duck):
-    ours = QUERIES[name](spark, sf_dir).toPandas()
+    result = QUERIES[name](spark, sf_dir)
+    ours = result.toPandas()
+    described = duck.execute(f"DESCRIBE {SQL[name]}").fetchall()
+    assert dict(result.dtypes) == {column: TYPES[kind] for column, kind, *_ in described}
     theirs = duck.execute(SQL[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert rows_of(ours) == rows_of(theirs)
