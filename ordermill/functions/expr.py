@@ -59,6 +59,12 @@ def ts(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def epoch_seconds(c: Column) -> Column:
+    """Whole seconds since 1970, by the clock the timestamp was written with: no time zone and
+    so no repeated or missing hours."""
+    return F.timestamp_diff("SECOND", ts("1970-01-01 00:00:00"), c)
+
+
 def plus_days(c: Column, days: Column | int) -> Column:
     n = days if isinstance(days, Column) else F.lit(days)
     return F.timestamp_add("DAY", n.cast("int"), c)

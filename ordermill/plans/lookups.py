@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions.expr import epoch_seconds
 from ordermill.operators.ordering import smallest_rows
 from ordermill.sources.schemas import PRIMARY_KEYS
 
@@ -59,7 +60,7 @@ def orders_in_windows(orders: DataFrame, windows: DataFrame, bin_minutes: int =
     width = bin_minutes * 60
 
     def bin_of(ts):
-        return F.floor(F.unix_timestamp(ts.cast("timestamp")) / width)
+        return F.floor(epoch_seconds(ts) / width)
 
     spread = windows.withColumn("_bin", F.explode(F.sequence(bin_of(c("low")), bin_of(c("high")))))
     placed = orders.withColumn("_bin", bin_of(c("o_entry_d")))

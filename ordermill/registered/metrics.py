@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.functions.expr import ts
 from ordermill.plans import metrics
 from ordermill.registered import Entries
 
@@ -63,7 +64,7 @@ def transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.create_map(*[F.lit(x) for pair in (("click", "new_order"), ("view", "payment"), ("purchase", "delivery"),
                                                 ("signup", "order_status"), ("error", "stock_level")) for x in pair])
     status = F.when(c("event_id") % 50 == 0, "aborted").when(c("event_id") % 9 == 0, "retried").otherwise("ok")
-    started = F.unix_micros(c("ts").cast("timestamp")) / F.lit(1000000.0)
+    started = F.timestamp_diff("MICROSECOND", ts("1970-01-01 00:00:00"), c("ts")) / F.lit(1000000.0)
     return _events(spark, sf_dir).select(
         "ts", kinds[c("event_type")].alias("txn"), started.alias("started_at"), (c("value") / 1000.0).alias("duration"), status.alias("status")
     )
