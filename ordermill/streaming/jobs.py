@@ -29,25 +29,28 @@ class ChangedTables:
     """Base tables and the changes of each micro-batch, kept apart in one folder.
 
     A batch writes only the rows it changes, below its own number. Reading a table as of a batch
-    lays the latest earlier change of each key over the base. Nothing is kept in memory, so a
-    restarted driver continues from the folder, and a repeated batch rewrites its own part.
+    lays the latest earlier change of each key over the base, which holds everything before batch
+    ``since``. Nothing is kept in memory, so a restarted driver continues from the folder, and a
+    repeated batch rewrites its own part.
     """
 
     REPLACED = ("district", "stock")
     APPENDED = ("orders", "neworder")
 
-    def __init__(self, spark: SparkSession, folder: str, base: dict[str, DataFrame]):
+    def __init__(self, spark: SparkSession, folder: str, base: dict[str, DataFrame], since: int = 0):
         self.spark = spark
         self.folder = folder
         self.base = base
+        self.since = since
 
     def _changes(self, name: str, before: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}").where(c("batch") < before)
+        changes = self.spark.read.parquet(f"{self.folder}/{name}")
+        return changes.where((c("batch") >= self.since) & (c("batch") < before))
 
     def table(self, name: str, before: int) -> DataFrame:
         """The table as the batch numbered ``before`` finds it."""
         base = self.base[name]
-        if before == 0 or name not in self.REPLACED + self.APPENDED:
+        if before == self.since or name not in self.REPLACED + self.APPENDED:
             return base
         changes = self._changes(name, before)
         if name in self.APPENDED:
@@ -67,6 +70,15 @@ class ChangedTables:
         for name, rows in {**changes, "result": result}.items():
             rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch_id}")
 
+    def compacted(self, before: int, target: str) -> ChangedTables:
+        """Write the tables as of a batch below ``target`` and go on from them: reading then lays
+        only later changes over the base. The changes stay where they are."""
+        written = {}
+        for name in self.REPLACED + self.APPENDED:
+            self.table(name, before).write.mode("overwrite").parquet(f"{target}/{name}")
+            written[name] = self.spark.read.parquet(f"{target}/{name}")
+        return ChangedTables(self.spark, self.folder, self.base | written, before)
+
     def results(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/result").drop("batch")
 
