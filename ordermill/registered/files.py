@@ -24,7 +24,7 @@ CUSTOMER_SQL = with_views("SELECT c_id, c_d_id, c_w_id, c_balance, c_last, c_sta
 def _json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as filed JSON shards, read back typed."""
     root = fresh_path(spark, "json")
-    files.write_json_shards(text_dates("orders", loaded_store(spark, sf_dir).table("orders")), f"{root}/orders")
+    files.write_json_shards(text_dates("orders", loaded_store(spark, sf_dir).whole_documents()), f"{root}/orders")
     docs = files.read_documents(spark, root, "orders")
     lines = docs.select("o_id", "o_w_id", "o_entry_d", F.explode("o_orderline").alias("ol"))
     return shaped(
@@ -44,7 +44,7 @@ def _json_flat_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _json_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in shards, and that no file is larger than the bound."""
     path = fresh_path(spark, "shards")
-    files.write_json_shards(text_dates("orders", loaded_store(spark, sf_dir).table("orders")), path)
+    files.write_json_shards(text_dates("orders", loaded_store(spark, sf_dir).whole_documents()), path)
     sizes = spark.read.text(path).select(c("_metadata.file_path").alias("file"), c("_metadata.file_size").alias("size"))
     per_file = sizes.groupBy("file", "size").agg(F.count("*").alias("n"))
     return per_file.agg(F.sum("n").alias("documents"), (F.max("size") <= files.SHARD_BYTES).alias("bounded"))

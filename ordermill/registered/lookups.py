@@ -78,7 +78,7 @@ def _lookup_sql(table: str) -> str:
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = loaded_store(spark, sf_dir)
-    found = lookups.order_lines_by_key(store.table("orders"), _keys(store, "orders"))
+    found = lookups.order_lines_by_key(store.whole_documents(), _keys(store, "orders"))
     lines = found.select("o_w_id", "o_d_id", "o_id", "o_entry_d", F.explode("o_orderline").alias("ol"))
     return lines.select("o_w_id", "o_d_id", "o_id", "o_entry_d", c("ol.ol_number").alias("ol_number"), c("ol.ol_i_id").alias("ol_i_id"), c("ol.ol_amount").alias("ol_amount"))
 

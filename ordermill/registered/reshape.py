@@ -18,7 +18,8 @@ CUSTOMER = "c_id bigint, c_d_id bigint, c_w_id bigint"
 
 def _on(table: str, step) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return step(loaded_store(spark, sf_dir).table(table))
+        store = loaded_store(spark, sf_dir)
+        return step(store.whole_documents() if table == "orders" else store.table(table))
 
     return run
 

@@ -21,7 +21,7 @@ c = F.col
 def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders filed as JSON arrive in a columnar table."""
     source, target, checkpoint = (fresh_path(spark, n) for n in ("landing", "ingested", "ingest-checkpoint"))
-    text_dates("orders", loaded_store(spark, sf_dir).table("orders")).write.json(source)
+    text_dates("orders", loaded_store(spark, sf_dir).whole_documents()).write.json(source)
     jobs.ingest_documents(spark, source, target, checkpoint, "orders", files_per_batch=4).awaitTermination()
     lines = spark.read.parquet(target).select("o_id", "o_w_id", "o_entry_d", F.explode_outer("o_orderline").alias("ol"))
     return shaped(

@@ -98,6 +98,12 @@ class LoadedStore:
         """
         return None if self.table("orders_oversized").isEmpty() else self.table("orders_apart")
 
+    def whole_documents(self) -> DataFrame:
+        """Orders for jobs that hand out or rewrite documents, which then must hold all lines."""
+        if self.apart is not None:
+            raise ValueError("an order here has too many lines for a document; use the flat layout")
+        return self.table("orders")
+
     def _derive(self, name: str) -> DataFrame:
         if name == "orders_header":
             return self.bridge.table("order_header")

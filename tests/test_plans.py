@@ -89,6 +89,9 @@ def test_answers_under_skew_with_shuffled_joins(layout, most, spark, hot_dir, sh
     con = given_views(hot_dir)
     store = LoadedStore(spark, hot_dir, most)
     assert (store.apart is not None) == (layout == "nested")
+    if layout == "nested":
+        with pytest.raises(ValueError, match="flat layout"):
+            store.whole_documents()
     for name, query in ANALYTIC.items():
         got = query(LAYOUTS[layout](store), **FIXTURE_PARAMS[name])
         if dict(got.dtypes).get("su_address", "").startswith("struct"):
