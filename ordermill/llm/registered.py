@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import line_dedup, mixing, url_filter
+from ordermill.llm import language_id, line_dedup, mixing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identified(_table(spark, folder, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.without_repeated_lines(docs).select(
@@ -34,6 +38,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op5_url_filter": op5_url_filter,
+    "op6_language_id": op6_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }
