@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import language_id, line_dedup, mixing, url_filter
+from ordermill.llm import language_id, line_dedup, minhash_bayes, mixing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_bayes.clustered(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -37,6 +41,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_minhash_bayes": op2_minhash_bayes,
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
     "op9_line_dedup": op9_line_dedup,
