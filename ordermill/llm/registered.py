@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import decontaminate, language_id, line_dedup, minhash_bayes, mixing, url_filter
+from ordermill.llm import decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identified(_table(spark, folder, "documents"))
 
 
+def op7_html_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return html_tree.extracted(_table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op2_minhash_bayes": op2_minhash_bayes,
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
+    "op7_html_tree": op7_html_tree,
     "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
