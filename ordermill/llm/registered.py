@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, url_filter
+from ordermill.llm import ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ann_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return ann_graph.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_bayes.clustered(_table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -49,6 +53,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ann_graph": op1_ann_graph,
     "op2_minhash_bayes": op2_minhash_bayes,
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
