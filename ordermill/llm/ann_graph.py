@@ -21,6 +21,8 @@ from ordermill.llm.storage import kept
 
 SHARD_ROWS = 8192
 DEGREE, BEAM, ALPHA = 24, 64, 1.2
+#: Beam of a query; wider than in building, as a query costs far less than a graph.
+QUERY_BEAM = 192
 #: Nodes each search expands per step, vectors worked on in lock step, queries per block.
 EXPANDED, LOCKSTEP, QUERY_BLOCK = 4, 256, 16_384
 
@@ -197,7 +199,7 @@ def index(vectors: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS) -> Data
     return kept(dealt.groupBy("dim", "shard").applyInArrow(_build_shard, _GRAPH), "shard-graphs")
 
 
-def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM, block: int = QUERY_BLOCK) -> DataFrame:
+def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = QUERY_BEAM, block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row of ``queries`` (query_id, vector), ties to smaller vec_id."""
     blocks = max(1, -(-queries.count() // block))
     shards = graphs.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0] + 1
@@ -212,7 +214,7 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM,
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, shard_rows: int = SHARD_ROWS, beam: int = BEAM) -> DataFrame:
+def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, shard_rows: int = SHARD_ROWS, beam: int = QUERY_BEAM) -> DataFrame:
     """The k nearest found of every query row among all other rows of (vec_id, embedding).
 
     Unusable vectors and rows without vec_id take no part. Of rows with the same vec_id the

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, url_filter
+from ordermill.llm import ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, url_filter, warc_fixity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,14 @@ def op2_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_bayes.clustered(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op3_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as WARC records against a replica in which every 97th page has a changed byte and every 389th is gone."""
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    damaged = F.when(F.col("page_id") % 97 == 5, F.concat(F.lit("?"), F.substr("html", F.lit(2)))).otherwise(F.col("html"))
+    replica = pages.where(~F.coalesce(F.col("page_id") % 389 == 7, F.lit(False))).withColumn("html", damaged)
+    return warc_fixity.audited(warc_fixity.records(pages), warc_fixity.records(replica)).drop("copy")
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -55,6 +63,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ann_graph": op1_ann_graph,
     "op2_minhash_bayes": op2_minhash_bayes,
+    "op3_warc_fixity": op3_warc_fixity,
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
     "op7_html_tree": op7_html_tree,
@@ -78,6 +87,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP3_SQL = r"""
+WITH whole AS (
+  SELECT page_id, concat('WARC/1.1', e, 'WARC-Type: resource', e, 'WARC-Record-ID: <urn:uuid:', substr(m, 1, 8), '-', substr(m, 9, 4), '-', substr(m, 13, 4), '-', substr(m, 17, 4), '-', substr(m, 21, 12), '>', e,
+    'WARC-Date: 1970-01-01T00:00:00Z', e, 'WARC-Target-URI: ', regexp_replace(coalesce(url, ''), '[\r\n]', ' ', 'g'), e, 'Content-Type: text/html', e, 'Content-Length: ', strlen(coalesce(html, '')), e, e, coalesce(html, ''), e, e) AS record
+  FROM (SELECT *, chr(13) || chr(10) AS e, md5(concat(page_id, ' ', coalesce(url, ''))) AS m FROM pages WHERE page_id IS NOT NULL)
+), placed AS (
+  SELECT page_id, strlen(record) AS length, sha256(record) AS sha256, sum(strlen(record)) OVER (ORDER BY page_id) - strlen(record) AS start FROM whole
+)
+SELECT page_id, CAST(start // 67108864 AS BIGINT) AS archive, CAST(start - min(start) OVER (PARTITION BY start // 67108864) AS BIGINT) AS "offset", length, sha256,
+  CASE WHEN page_id % 389 = 7 THEN 'missing' WHEN page_id % 97 = 5 THEN 'damaged' ELSE 'intact' END AS status
+FROM placed
+"""
+
 SQL: dict[str, str] = {
+    "op3_warc_fixity": OP3_SQL,
     "op9_line_dedup": OP9_SQL,
 }
