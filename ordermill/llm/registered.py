@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, url_filter, warc_fixity
+from ordermill.llm import ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, suffix_dedup, url_filter, warc_fixity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,10 @@ def op3_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
     return warc_fixity.audited(warc_fixity.records(pages), warc_fixity.records(replica)).drop("copy")
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op1_ann_graph": op1_ann_graph,
     "op2_minhash_bayes": op2_minhash_bayes,
     "op3_warc_fixity": op3_warc_fixity,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
     "op7_html_tree": op7_html_tree,
