@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, suffix_dedup, url_filter, warc_fixity
+from ordermill.llm.storage import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
