@@ -129,8 +129,7 @@ def _dealt(keys: np.ndarray, buckets: int):
     """(bucket, positions) of keys by bucket."""
     bucket = (keys % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0])) if len(order) else np.zeros(0, np.int64)
-    for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+    for a, b in _ranges(bucket[order]):
         yield int(bucket[order[a]]), order[a:b]
 
 
@@ -145,6 +144,12 @@ def _firsts(*sorted_columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(changed)
 
 
+def _ranges(*sorted_columns: np.ndarray):
+    """(begin, end) of the runs of equal values."""
+    first = _firsts(*sorted_columns)
+    return zip(first, [*first[1:], len(sorted_columns[0])], strict=False)
+
+
 def _spans(first: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(first, n))
 
@@ -172,7 +177,7 @@ class Steps:
         order = np.lexsort((found.docs[found.row], found.key))
         keys, docs = found.key[order], found.docs[found.row][order]
         first = _firsts(keys)
-        last = np.append(first[1:], len(keys)) - 1
+        last = first + _spans(first, len(keys)) - 1
         single, several = keys[first], keys[first[docs[first] != docs[last]]]
         group = key[0].as_py()
         own = dict(_dealt(several, self.buckets))
@@ -193,9 +198,8 @@ class Steps:
         shared = np.repeat(shared, count)
         keys, of, hot = keys[shared], of[shared], hot[shared]
         by = np.argsort(of, kind="stable")
-        cuts = _firsts(of[by])
         rows = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(by)), strict=True):
+        for a, b in _ranges(of[by]):
             at = by[a:b]
             rows.append((key[0].as_py(), int(groups[of[at[0]]]), [_packed(keys[at]), _packed(keys[at[hot[at]]])]))
         return _table(rows)
@@ -247,9 +251,8 @@ class Steps:
         asked[first[open_]] = True
         some = np.flatnonzero(told | asked)
         some = some[np.argsort(of[some], kind="stable")]
-        cuts = _firsts(of[some])
         rows = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(some)), strict=True):
+        for a, b in _ranges(of[some]):
             at = some[a:b]
             t, q = at[told[at]], at[asked[at]]
             rows.append((key[0].as_py(), int(groups[of[at[0]]]), [marks[t].tobytes(), least[t].tobytes(), marks[q].tobytes()]))
@@ -311,9 +314,8 @@ class Steps:
         earliest = np.minimum.reduceat(least, ends - strings)
         some = np.flatnonzero((marks[spot] == sent) & (earliest[spot] < sent_docs))
         some = some[np.argsort(by_group[some], kind="stable")]
-        cuts = _firsts(by_group[some])
         rows = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(some)), strict=True):
+        for a, b in _ranges(by_group[some]):
             mine = some[a:b]
             k = spot[mine]
             values = np.concatenate([least[ends[i] - strings[i]: ends[i]] for i in k])
