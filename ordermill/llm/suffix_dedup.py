@@ -30,7 +30,9 @@ from ordermill.llm.text import mix, pieces, span_hashes
 
 WIDTH, GRAM = 50, 24
 #: Bytes of text in a group, anchors in a bucket, and the number of groups from which an anchor is hot.
-GROUP_BYTES, BUCKET_ANCHORS, HOT_GROUPS = 4 << 20, 1 << 20, 4096
+GROUP_BYTES, BUCKET_ANCHORS, HOT_GROUPS = 4 << 20, 1 << 20, 64
+#: Bytes of text whose suffixes are sorted at once; an anchor's texts stay together.
+SORT_BYTES = 1 << 19
 _CHUNK = 1 << 23
 _NONE = np.iinfo(np.int64).max
 
@@ -273,7 +275,7 @@ class Steps:
         for b, at in _dealt(found.key[order], self.buckets):
             at = order[at]
             texts = [self.texts_of(found, i) for i in at]
-            rows.append((b, key[0].as_py(), [found.mark[at].tobytes(), docs[at].tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), b"".join(texts)]))
+            rows.append((b, key[0].as_py(), [found.mark[at].tobytes(), docs[at].tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), b"".join(texts), _packed(found.key[at])]))
         return _table(rows)
 
     def texts_of(self, found: Anchors, i: int) -> bytes:
@@ -283,33 +285,26 @@ class Steps:
         """Bodies for groups: [marks, numbers of strings, smallest doc_id of each string] of segments whose text was asked for."""
         if not texts.num_rows:
             return _table([])
-        raw_marks, raw_docs, raw_lengths, body = _bodies(texts, 0, 1, 2, 3)
+        raw_marks, raw_docs, raw_lengths, body, raw_keys = _bodies(texts, 0, 1, 2, 3, 4)
         marks, docs, lengths = np.frombuffer(raw_marks, np.uint64), np.frombuffer(raw_docs, np.int64), np.frombuffer(raw_lengths, np.int64)
-        order = np.argsort(marks, kind="stable")  # the same array whatever order texts came in
+        keys, data = _unpacked(raw_keys), np.frombuffer(body, np.uint8)
         starts = np.cumsum(lengths) - lengths
-        data = np.frombuffer(body, np.uint8)
-        inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths[order]) - lengths[order], lengths[order])
-        data = data[np.repeat(starts[order], lengths[order]) + inner]
-        marks, docs, lengths = marks[order], docs[order], lengths[order]
-        # Texts one behind the other, each closed by a 1; bytes count from 2.
-        place = np.cumsum(lengths + 1) - lengths - 1
-        s = np.ones(int(lengths.sum()) + len(lengths) + 1, np.int64)
-        s[-1] = 0
-        s[np.repeat(place, lengths) + inner] = data.astype(np.int64) + 2
-        array = suffix_array(s, 258)
-        shared = common_prefixes(s, array, self.width)
-        strings = lengths - self.width + 1
-        of = np.repeat(np.arange(len(marks)), strings)
-        at = np.repeat(place, strings) + np.arange(len(of)) - np.repeat(np.cumsum(strings) - strings, strings)
-        family = np.empty(len(s), np.int64)
-        family[array] = np.cumsum(shared[array] < self.width)
-        least = np.full(len(s) + 1, _NONE, np.int64)
-        np.minimum.at(least, family[at], docs[of])
-        least = least[family[at]]
-        ends = np.cumsum(strings)
+        order = np.lexsort((marks, keys))  # the same arrays whatever order texts came in
+        found, part, held = [], [], 0
+        for a, b in _ranges(keys[order]):
+            part.append(order[a:b])
+            held += int(lengths[order[a:b]].sum())
+            if held >= SORT_BYTES or b == len(order):
+                at = np.concatenate(part)
+                found.append((at, _earliest_holders(data, starts[at], lengths[at], docs[at], self.width)))
+                part, held = [], 0
+        at, least = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+        strings = lengths[at] - self.width + 1
+        marks, ends = marks[at], np.cumsum(strings)
+        by_mark = np.argsort(marks, kind="stable")
 
         groups, sent, sent_docs, by_group, _, _, _ = self._compared(segments)
-        spot = np.minimum(np.searchsorted(marks, sent), len(marks) - 1)
+        spot = by_mark[np.minimum(np.searchsorted(marks[by_mark], sent), len(marks) - 1)]
         # A group's own smallest doc_id settles a segment whose strings no smaller document has.
         earliest = np.minimum.reduceat(least, ends - strings)
         some = np.flatnonzero((marks[spot] == sent) & (earliest[spot] < sent_docs))
@@ -369,6 +364,26 @@ class Steps:
             np.add.at(delta, high[at] + self.width, -1)
 
 
+def _earliest_holders(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, width: int) -> np.ndarray:
+    """The smallest doc_id that has each string of the texts, text by text in their order."""
+    # Texts one behind the other, each closed by a 1; bytes count from 2, the end mark is 0.
+    inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    place = np.cumsum(lengths + 1) - lengths - 1
+    s = np.ones(int(lengths.sum()) + len(lengths) + 1, np.int64)
+    s[-1] = 0
+    s[np.repeat(place, lengths) + inner] = data[np.repeat(starts, lengths) + inner].astype(np.int64) + 2
+    array = suffix_array(s, 258)
+    shared = common_prefixes(s, array, width)
+    strings = lengths - width + 1
+    of = np.repeat(np.arange(len(lengths)), strings)
+    at = np.repeat(place, strings) + np.arange(len(of)) - np.repeat(np.cumsum(strings) - strings, strings)
+    family = np.empty(len(s), np.int64)
+    family[array] = np.cumsum(shared[array] < width)
+    least = np.full(len(s) + 1, _NONE, np.int64)
+    np.minimum.at(least, family[at], docs[of])
+    return least[family[at]]
+
+
 def _lower(least: np.ndarray, marks: np.ndarray, told: np.ndarray, values: np.ndarray) -> None:
     order = np.argsort(told, kind="stable")
     if len(order):
