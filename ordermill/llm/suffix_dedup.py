@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.suffix_sort import common_prefixes, suffix_array
-from ordermill.llm.text import mix, pieces, span_hashes
+from ordermill.llm.text import gram_hashes, mix, pieces, span_hashes
 
 WIDTH, GRAM = 50, 24
 #: Bytes of text in a group, anchors in a bucket, and the number of groups from which an anchor is hot.
@@ -88,9 +88,8 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, width: int):
         part = data[begin: begin + _CHUNK + width - 1]
         if len(part) < width:
             break
-        at = np.arange(len(part) - GRAM + 1)
-        grams = span_hashes(part, at, at + GRAM)
-        low = (grams & ~np.uint64(0xFFFFFF)) | at.astype(np.uint64)  # ties go to the first
+        grams = gram_hashes(part, GRAM)
+        low = (grams & ~np.uint64(0xFFFFFF)) | np.arange(len(grams), dtype=np.uint64)  # ties go to the first
         reach = 1
         while reach * 2 <= window:
             low = np.minimum(low[:-reach], low[reach:])

@@ -52,6 +52,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(found)
 
 
+def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """``span_hashes`` of all ranges of ``width`` bytes, by start."""
+    up, down = _power_tables(len(data) + 1)
+    sums = np.empty(len(data) + 1, dtype=np.uint64)
+    sums[0] = 0
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    found = sums[width:] - sums[:-width]
+    found *= down[: len(found)]
+    found += np.uint64(width * 0xD6E8FEB86659FD93 % 2**64)
+    return mix(found)
+
+
 def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Consecutive rows of a string column as (first row, end row, bytes, offsets); null counts as empty.
 
