@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.llm.storage import kept
+
 MIN_POINTS = 40
 MIN_DOCUMENTS = 5
 #: Bits of the twice-seen filter: so many per document, within these bounds (at most 128 MB to broadcast).
@@ -134,11 +136,13 @@ def lost_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_documents: int
     hashes = texts.select("text").mapInArrow(_hashes_by_segment(min_points, segments), "segment long, hashes binary, repeated binary")
     found = hashes.groupBy("segment").applyInArrow(_twice_seen(segments, bits), "segment long, bits binary")
     shared = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in found.toLocalIterator()})
-    suspects = texts.mapInArrow(_suspects(min_points, segments, bits, shared), "key string, doc_id long, lines array<int>")
-    verdicts = (
+    suspects = kept(texts.mapInArrow(_suspects(min_points, segments, bits, shared), "key string, doc_id long, lines array<int>"), "suspect-lines")
+    # As a table of its own, so that a join partition of one very common line can be split.
+    verdicts = kept(
         suspects.select("key", "doc_id").distinct().groupBy("key")
         .agg(F.count("*").alias("documents"), F.max("doc_id").alias("keeper"))
-        .where(F.col("documents") >= min_documents).select("key", "keeper")
+        .where(F.col("documents") >= min_documents).select("key", "keeper"),
+        "shared-lines",
     )
     lost = suspects.join(verdicts, "key").where("doc_id <> keeper")
     return lost.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lost"))
