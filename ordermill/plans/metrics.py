@@ -7,18 +7,17 @@ on decimals and figures are rounded to the two places they are reported with.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 c = F.col
 
-# A complete set is Q01 to Q22.
+# A complete set is Q01 to Q22; labels of the figures a result file states itself.
 QUERIES_PER_SET = 22
-QUERY_LINE = r"(?i)^\s*Q\s*(\d{1,2})\s+([\d.]+)\s*$"
 FOOTERS = {
-    "geometric_mean": r"(?i)GEOMETRIC\s+MEAN\s*=\s*([\d.]+)",
-    "set_seconds": r"(?i)AVERAGE\s+TIME\s+PER\s+QUERY\s+SET\s*=\s*([\d.]+)",
-    "qph": r"(?i)QUERIES\s+PER\s+HOUR\s+\(Qph\)\s*=\s*([\d.]+)",
+    "geometric_mean": "GEOMETRIC MEAN",
+    "set_seconds": "AVERAGE TIME PER QUERY SET",
+    "qph": "QUERIES PER HOUR (QPH)",
 }
 _SUM = "decimal(24,6)"
 
@@ -40,38 +39,64 @@ def seconds(text: Column) -> Column:
 # -- result files ---------------------------------------------------------------------------
 
 
+def read_result_files(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of result files: config, line. The configuration is the ``config=`` folder of a file, else its name without ending."""
+    file = c("_metadata.file_path")
+    folder, name = F.regexp_extract(file, "/config=([^/]+)/", 1), F.regexp_extract(file, "([^/]+?)([.][^./]*)?$", 1)
+    config = F.url_decode(F.when(folder != "", folder).otherwise(name))
+    return spark.read.text(path, recursiveFileLookup=True).select(config.alias("config"), c("value").alias("line"))
+
+
+def _number(text: Column) -> Column:
+    """A finite number, else null."""
+    read = text.try_cast("double")
+    return F.when(~F.isnan(read) & (F.abs(read) != float("inf")), read)
+
+
+def _labelled(lines: DataFrame) -> DataFrame:
+    """Lines with ``number``, the query they are labelled with (null: none), and ``seconds`` (null: unreadable).
+
+    A timing is a Q, a number, and behind white space the seconds; what follows is ignored.
+    """
+    parts = F.split(F.upper(F.trim(F.regexp_replace("line", r"\s+", " "))), " ")
+    apart = F.get(parts, F.lit(0)) == "Q"  # the number may stand off
+    label = F.when(apart, F.get(parts, F.lit(1))).when(F.get(parts, F.lit(0)).startswith("Q"), F.substr(F.get(parts, F.lit(0)), F.lit(2)))
+    second = F.when(apart, F.get(parts, F.lit(2))).otherwise(F.get(parts, F.lit(1)))
+    number = F.when(F.length(label) <= 2, label.try_cast("int"))
+    return lines.select("config", "line", F.when(number.between(1, QUERIES_PER_SET), number).alias("number"), _number(second).alias("seconds"))
+
+
 def query_lines(lines: DataFrame) -> DataFrame:
     """Timings in the lines of result files: config, line -> config, query, seconds."""
-    hit = lines.where(c("line").rlike(QUERY_LINE)).select(
-        "config", F.regexp_extract("line", QUERY_LINE, 1).cast("int").alias("number"),
-        F.regexp_extract("line", QUERY_LINE, 2).cast("double").alias("seconds"),
-    ).where(c("number").between(1, QUERIES_PER_SET))
+    hit = _labelled(lines).where(c("number").isNotNull() & c("seconds").isNotNull())
     return hit.select("config", F.format_string("Q%02d", "number").alias("query"), "seconds")
 
 
 def footer_lines(lines: DataFrame) -> DataFrame:
-    """Figures the files state themselves: one row per config, null where not stated."""
-    stated = [
-        F.max(F.when(c("line").rlike(p), F.regexp_extract("line", p, 1).cast("double"))).alias(n) for n, p in FOOTERS.items()
-    ]
-    return lines.groupBy("config").agg(*stated)
+    """Figures the files state themselves: one row per config, null where not stated or not a number."""
+    sides = F.split("line", "=", 2)
+    label = F.upper(F.trim(F.regexp_replace(sides[0], r"\s+", " ")))
+    figure = _number(F.get(F.split(F.trim(F.regexp_replace(F.get(sides, F.lit(1)), r"\s+", " ")), " "), F.lit(0)))
+    return lines.groupBy("config").agg(*[F.max(F.when(label.endswith(text), figure)).alias(name) for name, text in FOOTERS.items()])
 
 
 def log_problems(lines: DataFrame) -> DataFrame:
-    """Configs whose file lacks a query or has one twice."""
+    """Configs whose file lacks a query, has one twice, or labels a query with something that is no number."""
+    none = F.expr("cast(array() as array<string>)")
     per_query = query_lines(lines).groupBy("config", "query").agg(F.count("*").alias("n"))
     per_config = per_query.groupBy("config").agg(
         F.collect_set("query").alias("present"), F.collect_set(F.when(c("n") > 1, c("query"))).alias("repeated")
     )
+    unreadable = _labelled(lines).where(c("number").isNotNull() & c("seconds").isNull())
+    unreadable = unreadable.groupBy("config").agg(F.sort_array(F.collect_set(F.format_string("Q%02d", "number"))).alias("unreadable"))
     whole = F.array(*[F.lit(f"Q{n:02d}") for n in range(1, QUERIES_PER_SET + 1)])
-    configs = lines.select("config").distinct()
-    checked = configs.join(per_config, "config", "left").select(
-        "config",
-        F.array_except(whole, F.coalesce("present", F.expr("cast(array() as array<string>)"))).alias("missing"),
-        F.array_sort(F.coalesce("repeated", F.expr("cast(array() as array<string>)"))).alias("repeated"),
+    checked = lines.select("config").distinct().join(per_config, "config", "left").join(unreadable, "config", "left").select(
+        "config", F.array_except(whole, F.coalesce("present", none)).alias("missing"),
+        F.array_sort(F.coalesce("repeated", none)).alias("repeated"), F.coalesce("unreadable", none).alias("unreadable"),
     )
-    return checked.where((F.size("missing") > 0) | (F.size("repeated") > 0)).select(
-        "config", F.array_join("missing", ",").alias("missing"), F.array_join("repeated", ",").alias("repeated")
+    names = ("missing", "repeated", "unreadable")
+    return checked.where((F.size("missing") > 0) | (F.size("repeated") > 0) | (F.size("unreadable") > 0)).select(
+        "config", *[F.array_join(n, ",").alias(n) for n in names]
     )
 
 
@@ -117,10 +142,11 @@ def loop_summaries(log: DataFrame, warmup_loops: int = 0) -> DataFrame:
 def query_averages(log: DataFrame, warmup_loops: int = 0) -> DataFrame:
     """Mean seconds per query over complete loops after the warm-up.
 
-    Loops are few per client; their completeness is an aggregate joined back to the log.
+    A loop is complete if it ran all different queries. Loops are few per client; their
+    completeness is an aggregate joined back to the log.
     """
     timed = log.where(c("loop") > warmup_loops)
-    complete = timed.groupBy("client", "loop").agg(F.count("*").alias("n")).where(c("n") >= QUERIES_PER_SET)
+    complete = timed.groupBy("client", "loop").agg(F.count_distinct("query").alias("n")).where(c("n") == QUERIES_PER_SET)
     kept = timed.join(complete.select("client", "loop"), ["client", "loop"], "left_semi")
     rounded = F.round(seconds(c("elapsed")), 2)
     return kept.groupBy("query").agg(
@@ -145,17 +171,31 @@ def overall(log: DataFrame, warmup_loops: int = 0, clients: int = 1) -> DataFram
 STATUSES = ["ok", "retried", "aborted"]
 
 
-def transaction_summary(log: DataFrame, begin: float, end: float, warmup: float = 0.0, statuses: list[str] = STATUSES) -> DataFrame:
-    """Per transaction type: how often, how long, how many per second, and outcomes."""
+def transaction_summary(
+    log: DataFrame, begin: Column | float, end: Column | float, warmup: float = 0.0, statuses: list[str] = STATUSES
+) -> DataFrame:
+    """Per transaction type and in TOTAL: how often, how long, how many per second, and outcomes.
+
+    An aborted transaction counts among the outcomes only, not in executions, time and rate.
+    """
+    begin, end = (x if isinstance(x, Column) else F.lit(x) for x in (begin, end))
     counted = log.where(c("started_at") >= begin + warmup)
+    done = c("status") != "aborted"
     outcomes = [F.count(F.when(c("status") == s, 1)).alias(s) for s in statuses]
-    sums = counted.groupBy("txn").agg(F.count("*").alias("executed"), total(c("duration")).alias("s"), *outcomes)
+    sums = counted.where("txn IS NOT NULL").rollup("txn").agg(
+        F.count(F.when(done, 1)).alias("executed"), F.coalesce(total(F.when(done, c("duration"))), F.lit(0.0)).alias("s"), *outcomes
+    )
     return sums.select(
-        "txn", "executed", F.round(c("s") * 1000000, 3).alias("micros"),
-        F.round(c("executed") / (end - begin - warmup), 2).alias("per_second"), *statuses,
+        F.coalesce("txn", F.lit("TOTAL")).alias("txn"), "executed", F.round(c("s") * 1000000, 3).alias("micros"),
+        F.round(F.try_divide(c("executed"), end - begin - warmup), 2).alias("per_second"), *statuses,
     )
 
 
+def failed_lookups(log: DataFrame) -> DataFrame:
+    """Lookups without a time per data set: dataset, lookups, failed."""
+    return log.groupBy("dataset").agg(F.count("*").alias("lookups"), F.count(F.when(c("seconds").isNull(), 1)).alias("failed"))
+
+
 def dataset_summary(log: DataFrame) -> DataFrame:
     """Lookups per data set: how many, seconds in all, geometric mean of the positive times."""
     sums = log.groupBy("dataset").agg(
