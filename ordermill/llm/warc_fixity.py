@@ -36,13 +36,9 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """(page_id, copy, record): rows without page_id are left out; rows of the same page_id are numbered from 0."""
-    rows = pages.where("page_id IS NOT NULL").select(F.col("page_id").cast("long").alias("page_id"), record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
-    repeated = rows.groupBy("page_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("page_id").alias("again"))
-    single = rows.join(repeated, F.col("page_id") == F.col("again"), "left_anti").withColumn("copy", F.lit(0).cast("long"))
-    several = rows.join(repeated, F.col("page_id") == F.col("again"), "left_semi")
-    several = running_total(several.withColumn("order_by", F.pmod(F.xxhash64("record"), F.lit(1 << 20))), ["page_id"], ["order_by", "record"], {"copy": F.lit(1)}, slice_width=1 << 10)
-    return single.select("page_id", "copy", "record").unionByName(several.select("page_id", F.col("copy").cast("long").alias("copy"), "record"))
+    """(page_id, url, record); rows without page_id are left out."""
+    rows = pages.where("page_id IS NOT NULL")
+    return rows.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
 
 
 def write_warc(pages: DataFrame, path: str, archives: int) -> None:
@@ -64,9 +60,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """(page_id, copy, length, digest) of records; the length counts the two line ends behind a record."""
+    """(page_id, copy, length, digest) of records; the length counts the two line ends behind a record.
+
+    Records of the same page_id are numbered from 0 by url and digest. Only digests are shuffled for that.
+    """
     whole = F.concat(F.col("record"), F.lit(END)).cast("binary")
-    return rows.select("page_id", "copy", F.octet_length(whole).cast("long").alias("length"), F.sha2(whole, 256).alias("digest"))
+    held = kept(rows.select("page_id", "url", F.octet_length(whole).cast("long").alias("length"), F.sha2(whole, 256).alias("digest")), "record-digests")
+    repeated = kept(held.groupBy("page_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("page_id").alias("again")), "repeated-pages")
+    single = held.join(repeated, F.col("page_id") == F.col("again"), "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    several = held.join(repeated, F.col("page_id") == F.col("again"), "left_semi")
+    # Slices by the url's hash keep a page_id of very many rows out of one task.
+    several = running_total(several.withColumn("slice_by", F.pmod(F.xxhash64("url"), F.lit(1 << 20))), ["page_id"], ["slice_by", "url", "digest"], {"copy": F.lit(1)}, slice_width=1 << 10)
+    columns = ["page_id", F.col("copy").cast("long").alias("copy"), "length", "digest"]
+    return single.select(*columns).unionByName(several.select(*columns))
 
 
 def layout(held: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -115,7 +121,7 @@ def differing(one: Tree, two: Tree) -> DataFrame:
 
 
 def audited(original: DataFrame, replica: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """(page_id, copy, archive, offset, length, sha256, status) per record of ``original`` (page_id, copy, record).
+    """(page_id, copy, archive, offset, length, sha256, status) per record of ``original`` (page_id, url, record).
 
     status is ``intact``, ``damaged`` or ``missing`` in ``replica``. The layout is the original's
     catalogue; records only the replica has are not in it and are not reported.
