@@ -44,6 +44,19 @@ class Draw:
         scale = 10**decimals
         return self.number(tag, round(low * scale), round(high * scale)) / F.lit(float(scale))
 
+    def permuted(self, x: Column, n: int, tag: str, rounds: int = 24) -> Column:
+        """A drawn permutation of 0..n-1, applied to ``x``.
+
+        Swap or not: a round pairs each number with its mirror image at a drawn centre, and a hash
+        of the pair says whether the two change places. Any n will do, and nothing is listed.
+        """
+        def turn(v: Column, r: Column) -> Column:
+            mirrored = F.pmod(self.below(f"{tag}.centre", n, r) - v, F.lit(n).cast("bigint"))
+            swap = F.pmod(self.bits(f"{tag}.swap", r, F.greatest(v, mirrored)), F.lit(2)) == 1
+            return F.when(swap, mirrored).otherwise(v)
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), x.cast("bigint"), turn)
+
     def letters(self, tag: str, shortest: int, longest: int) -> Column:
         """Lower-case letters, twelve from each hash."""
         blocks = F.sequence(F.lit(1), F.lit(-(-longest // _PER_HASH)))

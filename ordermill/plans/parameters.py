@@ -7,6 +7,8 @@ import string
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
+from ordermill.synth.tables import NATIONS, REGIONS
+
 LOWER = string.ascii_lowercase
 
 
@@ -20,8 +22,8 @@ class Domains:
     first_year: int = 2014
     regions: tuple[str, ...] = ("Africa", "America", "Asia", "Europe", "Middle East")
     share_region: str = "Europe"
-    share_nations: tuple[str, ...] = ()
-    nations: tuple[str, ...] = ()
+    share_nations: tuple[str, ...] = tuple(name for _, name, region in NATIONS if REGIONS[region] == "Europe")
+    nations: tuple[str, ...] = tuple(name for _, name, _ in NATIONS)
     state_characters: str = LOWER + string.ascii_uppercase + string.digits
     warehouses: int = 100
     total_range: tuple[int, int] = (200, 300)

@@ -35,13 +35,13 @@ def _apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = document_tables(spark, sf_dir)
     source, folder, checkpoint = (fresh_path(spark, n) for n in ("requests", "applied", "apply-checkpoint"))
     requests = order_requests(tables)
-    # One range per file, filed from the lowest numbers up, so that batches come in that order.
+    # The lower half of the numbers is filed and applied first, then the stream goes on from its checkpoint.
     middle = requests.agg(F.expr("percentile_approx(seq, 0.5)")).first()[0]
-    for part in (requests.where(c("seq") <= middle), requests.where(c("seq") > middle)):
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(source)
     applied = jobs.ChangedTables(spark, folder, tables)
-    jobs.apply_orders(stream, applied, checkpoint).awaitTermination()
+    for part in (requests.where(c("seq") <= middle), requests.where(c("seq") > middle)):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(requests.schema).parquet(source)
+        jobs.apply_orders(stream, applied, checkpoint).awaitTermination()
     return shaped(
         applied.results().withColumn("left_in_stock", F.aggregate("items.left_in_stock", F.lit(0).cast("bigint"), lambda s, x: s + x)),
         "seq bigint, w_id bigint, d_id bigint, o_id bigint, total double, left_in_stock bigint",

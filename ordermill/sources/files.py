@@ -17,6 +17,8 @@ c = F.col
 # Shard bound of the document writer, objects per store upload.
 SHARD_BYTES = 256 * 1024
 ROWS_PER_OBJECT = 10_000
+# Bytes of documents one task writes.
+TASK_BYTES = 128 << 20
 
 
 # -- sources ----------------------------------------------------------------------------------
@@ -41,17 +43,18 @@ def read_flat_directory(spark: SparkSession, folder: str, table: str, extra_fiel
 def write_json_shards(df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES) -> None:
     """JSON lines in files of at most ``shard_bytes`` (or one document, if that is larger).
 
-    One aggregate over the text sizes decides how many files are needed and how many of the
-    largest documents fit one file; the commit protocol of the writer does the rest.
+    Documents are written by size class, each up to twice as large as the one before: a class
+    knows how many of its documents fit a file, so files are at least half full and a large document
+    concerns its own class alone. A task writes as many files as its share of bytes needs.
     """
-    size = F.octet_length(F.to_json(F.struct("*"))) + 1
-    total, largest = df.agg(F.sum(size), F.max(size)).first()
-    if total is None:
+    size = F.octet_length(F.to_json(F.struct(*df.columns))) + 1
+    kind = F.ceil(F.log2(size)).cast("int")
+    classes = df.groupBy(kind.alias("class")).agg(F.sum(size).alias("bytes"), F.max(size).alias("largest")).orderBy("class").collect()
+    if not classes:
         df.write.json(path)
-        return
-    shards = -(-total // shard_bytes)
-    rows = max(1, shard_bytes // largest)
-    df.repartition(shards).write.option("maxRecordsPerFile", rows).json(path)
+    for row in classes:  # at most one per power of two
+        part = df.where(kind == row["class"]).repartition(-(-row["bytes"] // TASK_BYTES))
+        part.write.mode("append").option("maxRecordsPerFile", max(1, shard_bytes // row["largest"])).json(path)
 
 
 def write_csv_quoted(df: DataFrame, path: str) -> None:
@@ -110,12 +113,12 @@ def expected_counts(warehouses: int, items: int = ITEMS, suppliers: int = SUPPLI
     }
 
 
-def check_row_counts(spark: SparkSession, tables: dict[str, DataFrame], expected: dict[str, int]) -> DataFrame:
-    """Expected against actual rows per table: every table counts to one row, in one job."""
+def check_row_counts(spark: SparkSession, tables: dict[str, DataFrame], expected: dict[str, int] | DataFrame) -> DataFrame:
+    """Expected (by name, or as rows table_name, expected) against actual rows: every table counts to one row, in one job."""
     counts = reduce(DataFrame.union, [
         df.agg(F.count("*").alias("actual")).select(F.lit(name).alias("table_name"), "actual") for name, df in tables.items()
     ])
-    wanted = spark.createDataFrame(list(expected.items()), "table_name string, expected bigint")
+    wanted = expected if isinstance(expected, DataFrame) else spark.createDataFrame(list(expected.items()), "table_name string, expected bigint")
     return wanted.join(counts, "table_name").withColumn("matches", c("expected") == c("actual"))
 
 

@@ -150,14 +150,6 @@ class Synth:
             for n in range(1, self.extra_fields + 1)
         ]
 
-    def _affine(self, n: int, tag: str, *keys: Column) -> tuple[Column, Column]:
-        """Multiplier and shift of a drawn permutation x -> (x * a + b) mod n."""
-        coprime = [a for a in range(1, n + 1) if math.gcd(a, n) == 1][: 4096]
-        spread = coprime[:: max(1, len(coprime) // 64)][:64]
-        draw = Draw(self.seed, tag, *keys)
-        multiplier = F.element_at(F.array(*[F.lit(a).cast("bigint") for a in spread]), (F.lit(1) + draw.below("a", len(spread))).cast("int"))
-        return multiplier, draw.below("b", n)
-
     # -- small tables ---------------------------------------------------------------------
 
     def _region(self) -> DataFrame:
@@ -174,8 +166,7 @@ class Synth:
         """Nations are dealt out in turn along a permutation, so none gets more than its share."""
         k = c("su_suppkey")
         draw = Draw(self.seed, "supplier", k)
-        a, b = self._affine(self.suppliers, "supplier.nation")
-        place = ((k - 1) * a + b) % self.suppliers
+        place = Draw(self.seed, "supplier.nation").permuted(k - 1, self.suppliers, "place")
         nations = F.array(*[F.lit(key).cast("bigint") for key, _, _ in NATIONS])
         length = draw.number("length", 25, 100)
 
@@ -248,11 +239,11 @@ class Synth:
     def _order_rows(self) -> DataFrame:
         """Order keys with their customer: a permutation of the customers in each district."""
         n = self.scale.customers
-        a, b = self._affine(n, "orders.customer", c("w"), c("d"))
+        customer = Draw(self.seed, "orders.customer", c("w"), c("d")).permuted(c("o_id") - 1, n, "place")
         rows = self._district_rows(n, "o_id")
         draw = Draw(self.seed, "orders", c("w"), c("d"), c("o_id"))
         return rows.withColumns({
-            "o_c_id": 1 + ((c("o_id") - 1) * a + b) % n,
+            "o_c_id": 1 + customer,
             "is_new": c("o_id") > n - self.scale.new_orders,
             "lines": draw.number("lines", 5, 15),
         })
