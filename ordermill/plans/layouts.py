@@ -77,8 +77,9 @@ class Nested:
         """Orders whose lines are rows apart from their document."""
         return orders.where(F.col("o_ol_cnt") > self.store.max_document_lines)
 
-    def with_total(self, orders: DataFrame) -> DataFrame:
-        """Orders that have lines, with the sum of their amounts in cents as ``o_total``."""
+    def with_total(self, orders: DataFrame | None = None) -> DataFrame:
+        """Orders (all without an argument) that have lines, with the sum of their amounts in cents as ``o_total``."""
+        orders = self.orders() if orders is None else orders
         add = F.aggregate("o_orderline.ol_amount", F.lit(0).cast("bigint"), lambda total, amount: total + cents(amount))
         inside = orders.where(F.size("o_orderline.ol_amount") > 0).withColumn("o_total", add)
         if self.store.apart is None:
@@ -152,12 +153,17 @@ class Flat(Nested):
         rows = self.store.table("orders_orderline").select(*ORDER_KEY, *fields)
         return rows if orders is None else orders.join(rows, ORDER_KEY)
 
-    def with_total(self, orders: DataFrame) -> DataFrame:
-        totals = self.lines().groupBy(*ORDER_KEY).agg(cents_total(F.col("ol_amount")).alias("o_total"))
-        return orders.join(totals, ORDER_KEY)
+    def _lines_of(self, orders: DataFrame | None) -> DataFrame:
+        """Lines of the asked orders alone: what a filter on orders leaves out is not aggregated."""
+        rows = self.lines()
+        return rows if orders is None else rows.join(orders.select(*ORDER_KEY), ORDER_KEY, "left_semi")
+
+    def with_total(self, orders: DataFrame | None = None) -> DataFrame:
+        totals = self._lines_of(orders).groupBy(*ORDER_KEY).agg(cents_total(F.col("ol_amount")).alias("o_total"))
+        return (self.orders() if orders is None else orders).join(totals, ORDER_KEY)
 
     def with_latest(self, orders: DataFrame) -> DataFrame:
-        delivered = self.lines().where(F.col("ol_delivery_d").isNotNull())
+        delivered = self._lines_of(orders).where(F.col("ol_delivery_d").isNotNull())
         latest = delivered.groupBy(*ORDER_KEY).agg(F.max("ol_delivery_d").alias("o_latest"))
         return orders.join(latest, ORDER_KEY)
 

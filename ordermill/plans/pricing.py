@@ -121,7 +121,7 @@ def q17(t: Nested, suffix: str = "b") -> DataFrame:
 
 def q18(t: Nested, total_above: float = 200.0, k: int = 100) -> DataFrame:
     """Orders with the largest totals and their customers."""
-    totals = t.with_total(t.orders()).where(c("o_total") > round(total_above * 100))
+    totals = t.with_total().where(c("o_total") > round(total_above * 100))
     rows = totals.join(t.customer_names(), belongs_to_customer()).select(
         "c_last", "c_id", *ORDER_KEY, "o_entry_d", "o_ol_cnt", c("o_total").alias("ol_sum")
     )
