@@ -132,7 +132,7 @@ def features(nodes: list[list], texts: list[str]) -> list[list[str]]:
         found = ["all", f"tag {tag}"]
         if tag:
             found += [f"block size {size // 2}", f"block links {share}"]
-            found += [f"name {w}" for w in node[NAMES]]
+            found += [f"name {w}" for w in node[NAMES]] + [f"stem {w[:4]}" for w in node[NAMES] if len(w) > 3]
         else:
             above = nodes[node[PARENT]][TAG]
             found += [f"text size {size // 2}", f"text links {share}", f"text in {'h' if above in _HEADINGS else above}"]
@@ -207,6 +207,13 @@ LABELLED = (
     '<body><nav><ul><li><a href=1>{w}</a></li></ul></nav><div class="ad">{m}</div><article data-main><h1>{s}</h1><p>{w}.</p></article><footer>{m}</footer></body>',
     '<body><div class="sidebar"><p>{l}</p><p>{m}</p></div><div class="notice">{m}</div><article data-main><h1>{m}</h1><p>{l}</p></article><div class="comments"><p>{l}</p><p>{m}</p></div><div class="reply"><p>{m}</p></div><form><p>{s}</p></form><footer>{s}</footer></body>',
     '<body><header><nav><a href=1>{w}</a></nav></header><div id="main" data-main><p>{m}</p><p>{l}</p><p>{m}</p></div><div id="disqus-thread" class="discussion"><div class="response"><p>{l}</p></div></div><div class="popup modal consent"><p>{m}</p></div><footer>{m}</footer></body>',
+    '<body><header><h1>{s}</h1><p>{m}</p></header><article data-main><h1>{s}</h1><p>{l}</p><p>{w}.</p><p>{m}</p></article><ol class="comment-list"><li><p>{m}</p></li><li><p>{l}</p></li></ol><footer><p>{m}</p></footer></body>',
+    '<body><header id="top"><div><a href=/>{w}</a></div><p>{s}</p></header><div class="advertisement"><p>{l}</p></div><div data-main><h1>{s}</h1><p>{l}</p><p>{w}.</p><p>{l}</p></div><div class="replies"><ul class="reply-list"><li><p>{l}</p></li><li>{m}</li></ul></div></body>',
+    '<body><header class="site"><h2>{s}</h2><nav><ul><li><a href=1>{w}</a></li></ul></nav></header><main data-main><p>{l}</p><div class="advertising" data-not><p>{m}</p></div><ul><li>{s}</li><li>{m}</li></ul><ol><li>{s}</li></ol><p>{l}</p></main><div class="feedback"><h3>{s}</h3><ol><li><p>{l}</p></li></ol></div></body>',
+    '<body><div class="navbar topbar"><p>{s}</p></div><div class="subscribe signup"><p>{m}</p></div><article data-main><h1>{s}</h1><p>{l}</p></article><div class="widget adbox"><p>{l}</p></div><section class="user-comments discussion"><p>{l}</p><p>{m}</p></section><div class="disclaimer warning"><p>{m}</p></div></body>',
+    '<body><header><h1>{w}</h1><p>{m}</p></header><div data-main><h1>{s}</h1><p>{l}</p><p>{w}.</p></div><footer><p>{s}</p></footer></body>',
+    '<body><header><h1>{w}</h1><p>{s}</p><p>{m}</p></header><nav><a href=1>{w}</a></nav><main data-main><p>{l}</p><ul><li>{s}</li></ul></main><aside><h2>{w}</h2><p>{m}</p></aside><footer><h3>{w}</h3><p>{m}</p></footer></body>',
+    '<body><div class="header"><h1>{w}</h1><p>{m}</p></div><article data-main><h1>{w}</h1><p>{m}</p><p>{w}.</p></article><header><h2>{w}</h2><p>{m}</p></header></body>',
     '<body><p>{s}</p><article><header data-not><p>{s}</p></header><div data-main><p>{l}</p><p>{m}</p></div><footer data-not><p>{s}</p></footer></article><aside class="warning notice">{m}</aside></body>',
 )
 
@@ -241,7 +248,7 @@ def labels_of(page: str) -> tuple[list[list], list[int]]:
     return parse(page), label
 
 
-def train(pages: tuple[str, ...] = LABELLED, rounds: int = 250, rate: float = 0.3, shrink: float = 0.01) -> Model:
+def train(pages: tuple[str, ...] = LABELLED, rounds: int = 400, rate: float = 0.3, shrink: float = 0.003) -> Model:
     """Weights by gradient ascent (steps scaled per weight by the gradients so far), with ridge shrinkage."""
     examples = []
     for page in pages:
