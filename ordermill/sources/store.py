@@ -120,6 +120,13 @@ class LoadedStore:
             return to_flat(parent, self.table(parent))[part]
         return self.bridge.table(name)
 
+    def close(self) -> None:
+        """Delete what was written; tables handed out earlier cannot be read any more."""
+        with self._lock:
+            self._tables.clear()
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def table(self, name: str) -> DataFrame:
         """The table as written; files are listed once and the schema is known without reading."""
         with self._lock:
@@ -142,3 +149,11 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> LoadedStore:
         if key not in _stores:
             _stores[key] = LoadedStore(spark, sf_dir)
         return _stores[key]
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> None:
+    """Forget the store of a folder whose given tables have changed; its files are deleted and the next use loads anew."""
+    with _stores_lock:
+        store = _stores.pop((spark.sparkContext.applicationId, sf_dir), None)
+    if store is not None:
+        store.close()
