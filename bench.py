@@ -11,6 +11,7 @@ import json
 import math
 import os
 import sys
+import tempfile
 import time
 from statistics import median
 
@@ -31,6 +32,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ordermill-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

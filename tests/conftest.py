@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import duckdb
 import pytest
@@ -17,6 +18,7 @@ def spark():
         SparkSession.builder.master("local[*]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ordermill-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
