@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.llm.storage import kept
 from ordermill.llm.text import mix, pieces, runs, span_hashes
 
 #: Template tokens in a window, and how many of them must be plain words (not placeholders).
@@ -188,7 +189,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pl
     texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
     given = texts.mapInArrow(_template_windows(window, plain, shared), _SCHEMA).select(F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), "window", F.col("slots").alias("doc_slots"))
     matched = given.join(asked.select(F.col("id").alias("item_id"), "tokens", F.col("at").alias("item_at"), "window", "slots"), "window")
-    matched = matched.where(F.size("slots") == F.size("doc_slots")).withColumn("shift", F.col("doc_at") - F.col("item_at"))
+    # Asked for twice below; texts are read once.
+    matched = kept(matched.where(F.size("slots") == F.size("doc_slots")).withColumn("shift", F.col("doc_at") - F.col("item_at")), "matched-windows")
     aligned = ["doc_id", "item_id", "shift"]
 
     # Values a slot takes at this alignment; the consistent one is the most frequent. Windows that say otherwise do not count.
