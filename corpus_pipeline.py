@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ordermill.llm import decontaminate, language_id, line_dedup, minhash_bayes, mixing
 from ordermill.llm.storage import kept, ship_package
 
+#: Near copies share this percentage of their five-word shingles or more; op2's 85 is of that query alone.
+NEAR_PERCENT = 80
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without text or letters (``und``) go. Labels stay as they are."""
@@ -30,7 +33,7 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Documents without words and rows without doc_id are in no group and stay.
     """
-    stays = minhash_bayes.clustered(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("stays_doc_id")).distinct()
+    stays = minhash_bayes.clustered(docs, percent=NEAR_PERCENT).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("stays_doc_id")).distinct()
     named = docs.where("doc_id IS NOT NULL").join(stays, F.col("doc_id") == F.col("stays_doc_id"), "left_semi")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     single = named.withColumn("row_of_doc_id", F.row_number().over(first)).where("row_of_doc_id = 1")

@@ -1,10 +1,12 @@
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from ordermill.llm import minhash_bayes
 from ordermill.llm.storage import kept
 from tests.llm.helpers import documents, edges_of, words
 from tests.llm.test_decontaminate import ITEM
 from tests.llm.test_line_dedup import brute as brute_lines
 from tests.llm.test_minhash_bayes import brute as brute_groups
+from tests.llm.test_minhash_bayes import shingles
 
 
 def test_registered_once_each():
@@ -44,6 +46,21 @@ def test_every_stage_decides_as_its_operator_says(spark, tmp_path):
             assert len(rows) == len(before) and all(0 <= r.taken <= 3 * r.size for r in rows)
 
 
+def test_near_copies_from_a_similarity_of_80(spark, tmp_path):
+    """Against all pairs at 80 percent; the operator's own query stays at 85."""
+    texts = []
+    for k, changed in enumerate((9, 10, 11, 12)):
+        base = words(100, 300 + k).split()
+        texts += [(10 * k, " ".join(base)), (10 * k + 1, " ".join(base[:-changed] + words(changed, 400 + k).split()))]
+    sets = {i: shingles(t) for i, t in texts}
+    alike = {10 * k: len(sets[10 * k] & sets[10 * k + 1]) / len(sets[10 * k] | sets[10 * k + 1]) for k in range(4)}
+    assert sum(0.8 <= x < 0.85 for x in alike.values()) >= 2 and min(alike.values()) < 0.8
+    docs = kept(documents(spark, texts), "stage-test")
+    got = {r.doc_id for r in corpus_pipeline.no_near_copies(spark, docs, str(tmp_path)).collect()}
+    assert got == {i for i, _ in texts} - {i + 1 for i, x in alike.items() if x >= 0.8}
+    assert sum(r.kept for r in minhash_bayes.clustered(docs).collect()) == 8
+
+
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     docs = documents(spark, [(1, "a")]).where("false")
