@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame
 
 _BLOCKS = frozenset(
     "html body head div section article main aside nav header footer form fieldset ul ol li dl dt dd p h1 h2 h3 h4 h5 h6 table thead tbody tfoot tr td th caption "
-    "blockquote pre figure figcaption details summary address hgroup search menu dialog button select option label legend noscript template video audio center".split()
+    "blockquote pre xmp figure figcaption details summary address hgroup search menu dialog button select option label legend noscript template video audio center".split()
 )
 _CLOSES_P = frozenset(
-    "div section article main aside nav header footer form fieldset ul ol dl p h1 h2 h3 h4 h5 h6 table blockquote pre figure figcaption details address hgroup search menu dialog hr center".split()
+    "div section article main aside nav header footer form fieldset ul ol dl p h1 h2 h3 h4 h5 h6 table blockquote pre figure figcaption details address hgroup search menu dialog hr center xmp".split()
 )
 #: Start tags that end an open element of these names, unless one of the others stands between.
 _CLOSES = {
@@ -30,13 +30,15 @@ _CLOSES = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "body": ({"head"}, set()),
 }
-_RAW = frozenset("script style title textarea iframe noembed noframes xmp svg math object canvas".split())
-_SPACED = frozenset("br hr img input wbr".split()) - {"wbr"}
+#: Elements whose content is no text of the page. Formulas, drawings and fallback content (math, svg, canvas, object) are text like any other.
+_RAW = frozenset("script style title textarea iframe noembed noframes".split())
+_SPACED = frozenset("br hr img input wbr text mtd".split()) - {"wbr"}
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_XMP_END = re.compile(r"</xmp(?=[\s/>])", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 TAG, PARENT, NAMES, PIECES, LINKED = range(5)
@@ -47,7 +49,7 @@ def parse(page: str) -> list[list]:
     nodes: list[list] = [["html", -1, (), None, 0]]
     stack, run, in_link, at = [0], -1, False, 0
 
-    def add_text(raw: str) -> None:
+    def add_text(raw: str, literal: bool = False) -> None:
         nonlocal run
         if raw:
             if run < 0:
@@ -55,7 +57,7 @@ def parse(page: str) -> list[list]:
                     return
                 nodes.append(["", stack[-1], (), [], 0])
                 run = len(nodes) - 1
-            text = html.unescape(raw) if "&" in raw else raw
+            text = html.unescape(raw) if "&" in raw and not literal else raw
             nodes[run][PIECES].append(text)
             if in_link:
                 nodes[run][LINKED] += len(text)
@@ -108,6 +110,9 @@ def parse(page: str) -> list[list]:
                 words.add("hidden!")
             nodes.append([name, stack[-1], tuple(sorted(words)), None, 0])
             stack.append(len(nodes) - 1)
+            if name == "xmp" and (end := _XMP_END.search(page, at)):  # tags and references in it are its text
+                add_text(page[at: end.start()], literal=True)
+                at = end.start()
         elif name in _SPACED:
             add_text(" ")
     return nodes

@@ -27,6 +27,28 @@ def test_parts_that_are_not_the_article():
     assert text(page).split("\n") == ["Head&line", " ".join([s] * 3), "Short.", "A b c d e <f> ééé", " ".join([s] * 2)]
 
 
+@pytest.mark.parametrize("tag", ["svg", "math", "object", "canvas", "xmp"])
+@pytest.mark.parametrize("end", [True, False])
+def test_drawings_formulas_and_fallback_are_text(tag, end):
+    """Their text reaches the model, and a missing end tag costs nothing behind it."""
+    s = " ".join(S.split())
+    close = f"</{tag}>" if end else ""
+    page = f"<body><article><h1>Head</h1><p>{S * 3}</p><p>{S}<{tag} class=x>inner words {close}</p><p>{S * 2}</p><p>{s} Last.</p></article><footer>{S}</footer></body>"
+    got = text(page)
+    assert "inner words" in got and got.startswith("Head") and got.endswith(f"{s} Last.") and f"{s} {s}" in got.split("\n")
+    tags = [n[0] for n in H.parse(page)]
+    assert tags.count("p") == 4 and "footer" in tags
+
+
+def test_literal_text_and_parts_of_drawings():
+    def parsed(page):
+        return ["".join(n[3]) for n in H.parse(page) if not n[0]]
+
+    assert parsed("<xmp><b>x</b> &amp;</xmp>after") == ["<b>x</b> &amp;", "after"]
+    assert parsed("<p>a<svg><title>t</title><style>s</style><text>b</text><text>c</text></svg>d") == ["a b cd"]
+    assert parsed("<object data=x><p>fall back</p></object>") == ["fall back"] and parsed("<svg/>a<canvas>b") == ["ab"]
+
+
 @pytest.mark.parametrize("page", ["", None, "<p>", "<", "<a", "<!-- x", "<script>", "</p></div>", "<p a='x", "<div " * 50, "\0", "<![CDATA[x]]>", "<p hidden>x", "&#xD800;&#0;&bogus;", "<b></b>" * 10])
 def test_odd_pages_do_not_fail(page):
     assert isinstance(text(page), str)
