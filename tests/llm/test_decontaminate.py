@@ -38,6 +38,34 @@ def test_slots_must_be_consistent(spark):
     assert tokens[2] < tokens[1]
 
 
+SHORT, LONG_NAMES = "What is the capital city of France?", "Anna Berg met Omar Hale in Oslo on 3 May 1999 with Ines Roth, Ivo 12, Uwe 13, Lea 14, Max 15 and Eva 16."
+EDGE = "Which planet in our system is the largest one?"
+
+
+def test_every_verbatim_item_is_found(spark):
+    """Short items, dense numbers and names, an edge that is a sentence in one text only, any case; against a plain search for the words."""
+    rows = [(1, SHORT), (2, LONG_NAMES), (3, EDGE), (4, "12 13 14 15 16 17 18 19 20 21"), (5, "Why?"), (6, "..."), (7, "Wer fährt über Ärmelkanal, Straße und Øresund?")]
+    around = [("", ""), (words(9, 30) + " ", " " + words(9, 31)), ("Then Bob Lee asked ", " Nobody Knew."), ("so \u201c", "\u201d\u2014and"), ("\u0130 \u1e9e \u023a. " + words(5, 32) + " ", " \u0130")]
+    changed = [str, str.lower, str.upper]
+    texts = [(1000 * i + 10 * a + c, before + change(item) + after) for i, item in rows for a, (before, after) in enumerate(around) for c, change in enumerate(changed) if "ß" not in item or c < 2]
+    expected = set()
+    for d, _ in texts:
+        i = d // 1000
+        if i != 6:
+            expected.add((d, i))
+    got = decontaminate.contaminated(documents(spark, texts), items(spark, rows))
+    assert found(got) == sorted(expected)
+    near = [(1, "What is the capital of France?"), (2, " ".join(LONG_NAMES.split()[:9])), (3, EDGE.replace("largest", "smallest")), (4, "12 13 14 15 16 17 18 19 20"), (5, "whys"), (6, words(40, 33))]
+    assert found(decontaminate.contaminated(documents(spark, near), items(spark, rows))) == []
+
+
+def test_edge_word_is_plain_or_a_name(spark):
+    asked = [(1, "Which planet near Paris is the very largest one of all?"), (2, "Maria walks along the river and never looks back at us.")]
+    texts = [(1, "we asked Which planet near London is the very largest one of all?"), (2, "so Petra walks along the river and never looks back at us."), (3, "Petra walks along the river and never looks back at us.")]
+    got = decontaminate.contaminated(documents(spark, texts), items(spark, asked))
+    assert found(got) == [(1, 1), (2, 2), (3, 2)] and all(r.n_changed >= 1 for r in got.collect())
+
+
 def test_empty_tables(spark):
     docs, benchmark = documents(spark, [(1, ITEM)]), items(spark, [(1, ITEM)])
     assert decontaminate.contaminated(docs.where("false"), benchmark).count() == 0
