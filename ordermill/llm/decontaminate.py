@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.storage import kept
-from ordermill.llm.text import mix, pieces, runs, span_hashes
+from ordermill.llm.text import lowered, mix, pieces, runs, span_hashes
 
 #: Tokens in a window (a shorter item is one window of its own length), and how many tokens of a template must be plain words (not placeholders).
 WINDOW, PLAIN = 8, 5
@@ -88,6 +88,23 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return runs(inside, offsets)
 
 
+def _lower_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each token's own lower case, which may have another length in bytes."""
+    value = span_hashes(lowered(data), starts, ends)
+    foreign = np.concatenate([[0], np.cumsum(data >= 128)])
+    chosen = np.flatnonzero(foreign[ends] > foreign[starts])
+    if len(chosen):
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts[chosen]] += 1
+        inside[ends[chosen]] -= 1
+        held = data[np.cumsum(inside[:-1], dtype=np.int8) == 1]
+        bounds = np.concatenate([[0], np.cumsum(ends[chosen] - starts[chosen])]).astype(np.int64)
+        small = pc.utf8_lower(pa.LargeStringArray.from_buffers(len(chosen), pa.py_buffer(bounds), pa.py_buffer(held)))
+        found = [span_hashes(low, at[:-1], at[1:]) for _, _, low, at in pieces(small)]
+        value[chosen] = np.concatenate(found)
+    return value
+
+
 def template(
     data: np.ndarray, value: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, first_named: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -166,10 +183,10 @@ def _all_windows(width: int, plain: int, asked: dict[bool, list[int]] | None = N
     """
     every = list(range(1, width + 1))
 
-    def read(data, small, offsets):
+    def read(data, offsets):
         """(way, windows, slots, types, first token of each row)"""
         starts, ends, rows = _tokens(data, offsets)
-        value = span_hashes(small, starts, ends)
+        value = _lower_hashes(data, starts, ends)
         for way in (_TEMPLATE, _NAMED) if asked is None else (_TEMPLATE,):
             token, kind, slot, at, either = template(data, value, starts, ends, rows, way == _NAMED)
             yield way, _windows(token, kind, at, every if asked is None else asked[False], plain, 0, either if asked is not None else None), slot, kind, at
@@ -179,12 +196,8 @@ def _all_windows(width: int, plain: int, asked: dict[bool, list[int]] | None = N
     def run(batches):
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            texts = pc.fill_null(batch.column("text"), "")
-            small = pc.utf8_lower(texts)
-            # Lower-casing rarely changes a text's length in bytes; such a text is taken lower-cased, without names.
-            texts = pc.if_else(pc.equal(pc.binary_length(texts), pc.binary_length(small)), texts, small)
-            for (first, _, data, offsets), (_, _, low, _) in zip(pieces(texts), pieces(small), strict=True):
-                for way, windows, slot, kind, rows in read(data, low, offsets):
+            for first, _, data, offsets in pieces(batch.column("text")):
+                for way, windows, slot, kind, rows in read(data, offsets):
                     for wide, at, owner, hashed, named in windows:
                         if asked is None:
                             size = rows[owner + 1] - rows[owner]

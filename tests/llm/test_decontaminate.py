@@ -66,6 +66,19 @@ def test_edge_word_is_plain_or_a_name(spark):
     assert found(got) == [(1, 1), (2, 2), (3, 2)] and all(r.n_changed >= 1 for r in got.collect())
 
 
+def test_names_are_typed_beside_any_character(spark):
+    """A character whose lower case has another length in bytes leaves the templates of its document as they are."""
+    item = "Ask Anna, then Omar, then Ines, then Ivo, then Uwe, then Lea, then Max, then Eva, then Tom, who was there first of all."
+    other = item.replace("Anna", "Petra").replace("Omar", "Luis").replace("Ines", "Mona").replace("Lea", "Rita").replace("Uwe", "Kurt").replace("Max", "Jan").replace("Ivo", "Udo")
+    odd = "Why did Anna tell Omar that Ines saw the old boat near Oslo before the long winter came to them?"
+    copy = odd.replace("Anna", "Petra").replace("Omar", "Luis").replace("Ines", "Mona").replace("Oslo", "Rome")
+    signs = ("", "\u0130 ", "\u1e9e ", "\u023a ", "\u0130 \u1e9e ")
+    texts = [(10 * k + j, sign + ". " + text + " " + sign) for k, sign in enumerate(signs) for j, text in enumerate((item, copy, other))]
+    got = {(d, i) for d, i in found(decontaminate.contaminated(documents(spark, texts), items(spark, [(1, item), (2, odd)])))}
+    plain = {(d % 10, i) for d, i in got if d < 10}
+    assert {(0, 1), (1, 2)} <= plain and got == {(10 * k + j, i) for k in range(len(signs)) for j, i in plain}
+
+
 def test_empty_tables(spark):
     docs, benchmark = documents(spark, [(1, ITEM)]), items(spark, [(1, ITEM)])
     assert decontaminate.contaminated(docs.where("false"), benchmark).count() == 0
