@@ -17,9 +17,13 @@ NEAR_PERCENT = 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without text or letters (``und``) go. Labels stay as they are."""
+    """Documents with a language; those without text or letters (``und``) go. Labels stay as they are.
+
+    Without labels to learn from all scores are 0; then every document with a letter stays.
+    """
     found = language_id.identified(docs, keep=tuple(docs.columns))
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(docs.columns)
+    unlearned = (F.col("score") == 0) & language_id.has_letter()
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) | unlearned).select(docs.columns)
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

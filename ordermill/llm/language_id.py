@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.storage import kept
@@ -284,6 +284,11 @@ def _add_words(new: list[bytes], known: dict[bytes, np.ndarray], vocab: Vocabula
             known[w] = known[w] + log if w in known else log
 
 
+def has_letter() -> Column:
+    """Whether ``text`` is not null and holds a letter."""
+    return F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False))
+
+
 def identified(docs: DataFrame, path: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",), labelled: DataFrame | None = None, **training) -> DataFrame:
     """(*keep, held_out, lang_pred, score) for every row of ``docs``.
 
@@ -292,7 +297,7 @@ def identified(docs: DataFrame, path: str = VOCABULARY, keep: tuple[str, ...] =
     nothing to learn from. Only ``text`` enters a prediction.
     """
     model = train(docs if labelled is None else labelled, path, **training)
-    lettered = F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False))
+    lettered = has_letter()
     out = held_out().alias("held_out")
     if model is None:
         return docs.select(*keep, out, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from ordermill.llm import minhash_bayes
@@ -61,6 +63,13 @@ def test_near_copies_from_a_similarity_of_80(spark, tmp_path):
     assert sum(r.kept for r in minhash_bayes.clustered(docs).collect()) == 8
 
 
+def test_documents_without_labels_stay(spark, tmp_path):
+    texts = [(i, words(20, 500 + i)) for i in range(6)] + [(6, None), (7, "12 ..."), (8, ""), (None, "some words")]
+    docs = kept(documents(spark, texts).withColumn("lang", F.lit(None).cast("string")), "stage-test")
+    got = corpus_pipeline.known_language(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(texts[:6] + texts[9:], key=str)
+
+
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     docs = documents(spark, [(1, "a")]).where("false")
