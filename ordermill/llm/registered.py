@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, suffix_dedup, url_filter, warc_fixity
+from ordermill.llm import (
+    ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, ranked_search, suffix_dedup, url_filter, warc_fixity,
+)
 from ordermill.llm.storage import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +68,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_best_positions(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.best_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ann_graph": op1_ann_graph,
     "op2_minhash_bayes": op2_minhash_bayes,
@@ -77,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op13_best_positions": op13_best_positions,
 }
 
 OP9_SQL = r"""
@@ -107,7 +114,33 @@ SELECT page_id, CAST(start // 67108864 AS BIGINT) AS archive, CAST(start - min(s
 FROM placed
 """
 
+OP13_SQL = r"""
+WITH terms AS (
+  SELECT id, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS id, doc_id, text FROM documents)
+), frequencies AS (
+  SELECT id, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), lengths AS (
+  SELECT id, sum(tf) AS n FROM frequencies GROUP BY id
+), totals AS (
+  SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS all_terms FROM lengths
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM frequencies, totals GROUP BY term, documents
+), asked AS (
+  SELECT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)
+), scored AS (
+  SELECT item, item_id, f.id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * CAST(n AS BIGINT) * documents) // all_terms)))) AS BIGINT) AS score
+  FROM asked JOIN frequencies f USING (term) JOIN weights USING (term) JOIN lengths l ON f.id = l.id, totals
+  GROUP BY item, item_id, f.id, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""
+
 SQL: dict[str, str] = {
     "op3_warc_fixity": OP3_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op13_best_positions": OP13_SQL,
 }

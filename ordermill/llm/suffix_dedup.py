@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.suffix_sort import common_prefixes, suffix_array
-from ordermill.llm.text import gram_hashes, mix, pieces, span_hashes
+from ordermill.llm.text import gram_hashes, mix, pieces, rolling_hashes
 
 WIDTH, GRAM = 50, 24
 #: Bytes of text in a group, anchors in a bucket, and the number of groups from which an anchor is hot.
@@ -73,7 +73,7 @@ class Anchors:
         for k, (_, data, _) in enumerate(self.texts):
             these = np.flatnonzero(alone & (self.piece == k))
             if len(these):
-                marks = mix(span_hashes(data, low[these], low[these] + self.width) ^ np.uint64(0x5851F42D4C957F2D))
+                marks = mix(rolling_hashes(data, low[these], low[these] + self.width) ^ np.uint64(0x5851F42D4C957F2D))
                 self.mark[these], self.key[these], self.place[these] = marks, marks >> np.uint64(24), -1
 
 
@@ -103,7 +103,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, width: int):
         fresh = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (string[1:] != string[:-1] + 1) | (row[1:] != row[:-1])])
         cut = np.flatnonzero(fresh)
         first, last, anchor = string[cut], string[np.append(cut[1:], len(string)) - 1], anchor[cut]
-        mark = mix(span_hashes(part, first, last + width) + (anchor - first).astype(np.uint64))
+        mark = mix(rolling_hashes(part, first, last + width) + (anchor - first).astype(np.uint64))
         yield row[cut], first + begin, last + begin, anchor - first, grams[anchor] >> np.uint64(24), mark
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from ordermill.llm.text import span_hashes
+from ordermill.llm.text import rolling_hashes
 
 
 def _smaller(s: np.ndarray) -> np.ndarray:
@@ -131,7 +131,7 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     number = np.zeros(n, np.int64)
     number[lms] = np.arange(len(lms))
     after = np.minimum(np.append(lms[1:], n - 1) + 1, n)
-    marks = span_hashes(s, lms, after)[number[order]]
+    marks = rolling_hashes(s, lms, after)[number[order]]
     length = (after - lms)[number[order]]
     fresh = np.ones(len(order), np.int64)
     fresh[1:] = (marks[1:] != marks[:-1]) | (length[1:] != length[:-1])
@@ -155,7 +155,7 @@ def common_prefixes(s: np.ndarray, array: np.ndarray, most: int) -> np.ndarray:
     while step:
         fits = np.flatnonzero((np.maximum(here, there) + shared + step <= n) & (shared + step <= most))
         a, b = here[fits] + shared[fits], there[fits] + shared[fits]
-        same = span_hashes(s, np.concatenate([a, b]), np.concatenate([a, b]) + step)
+        same = rolling_hashes(s, np.concatenate([a, b]), np.concatenate([a, b]) + step)
         equal = same[: len(a)] == same[len(a):]
         shared[fits[equal]] += step
         step >>= 1
