@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
-    ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, ranked_search, suffix_dedup, url_filter, warc_fixity,
+    ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, ranked_search, suffix_dedup,
+    threshold_clustering, url_filter, warc_fixity,
 )
 from ordermill.llm.storage import ship_package
 
@@ -68,6 +69,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_threshold_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return threshold_clustering.clustered(_table(spark, folder, "embeddings"))
+
+
 def op13_best_positions(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.best_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op12_threshold_clusters": op12_threshold_clusters,
     "op13_best_positions": op13_best_positions,
 }
 
@@ -139,8 +145,44 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id
 WHERE rank <= 20
 """
 
+def _op12_sql(rounds: int = 10) -> str:
+    """One step of assignment and one of centroids per round, over rows of single components."""
+    steps = [r"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), components AS MATERIALIZED (
+  SELECT id, unnest(generate_series(1, 64)) AS dim, CAST(floor(1024 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM vectors
+), starts AS (
+  SELECT id, row_number() OVER (ORDER BY sha256('3:' || vec_id), embedding) - 1 AS cluster FROM vectors WHERE vec_id IS NOT NULL
+), centroids_0 AS MATERIALIZED (
+  SELECT cluster, dim, x FROM starts JOIN components USING (id) WHERE cluster < 8
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""assigned_{r} AS MATERIALIZED (
+  SELECT id, cluster, distance FROM (
+    SELECT id, cluster, distance, row_number() OVER (PARTITION BY id ORDER BY distance, cluster) AS place
+    FROM (SELECT id, cluster, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS distance FROM components v JOIN centroids_{r} c USING (dim) GROUP BY id, cluster)
+  ) WHERE place = 1
+)""")
+        if r < rounds:
+            steps.append(f"""centroids_{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.dim, CAST(coalesce((total - ((total % n) + n) % n) // n, c.x) AS BIGINT) AS x
+  FROM centroids_{r} c LEFT JOIN (
+    SELECT cluster, dim, CAST(sum(x) AS BIGINT) AS total, count(*) AS n FROM assigned_{r} JOIN components USING (id) GROUP BY cluster, dim
+  ) s ON s.cluster = c.cluster AND s.dim = c.dim
+)""")
+    return ", ".join(steps) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM assigned_{rounds} JOIN vectors USING (id)
+JOIN (SELECT cluster, sha256(string_agg(x, ',' ORDER BY dim)) AS centroid_sha256 FROM centroids_{rounds} GROUP BY cluster) USING (cluster)
+"""
+
+
 SQL: dict[str, str] = {
     "op3_warc_fixity": OP3_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op12_threshold_clusters": _op12_sql(),
     "op13_best_positions": OP13_SQL,
 }
