@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
-    ann_graph, decontaminate, html_tree, language_id, line_dedup, minhash_bayes, mixing, ranked_search, suffix_dedup,
+    ann_graph, decontaminate, disclosure, html_tree, language_id, line_dedup, minhash_bayes, mixing, ranked_search, suffix_dedup,
     threshold_clustering, url_filter, warc_fixity,
 )
 from ordermill.llm.storage import ship_package
@@ -69,6 +69,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    return disclosure.digest_columns(disclosure.found(_table(spark, folder, "documents")))
+
+
 def op12_threshold_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return threshold_clustering.clustered(_table(spark, folder, "embeddings"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_disclosure": op11_disclosure,
     "op12_threshold_clusters": op12_threshold_clusters,
     "op13_best_positions": op13_best_positions,
 }

@@ -13,7 +13,7 @@ from tests.llm.test_minhash_bayes import shingles
 
 def test_registered_once_each():
     names = queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and [len(x) for x in corpus_pipeline.STAGES] == [2] * 5
     assert set(oracle_sql()) <= set(names)
