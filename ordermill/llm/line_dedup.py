@@ -6,7 +6,7 @@
 2. The twice-seen filter (of bounded size) goes to all tasks. Only lines it knows are shuffled: they
    are grouped by the key itself, which settles the number of documents and the one that keeps
    the line. A filter that is too full for the data lets more lines through, it loses none.
-3. Lost line numbers return to their documents by ``doc_id``.
+3. Lost line numbers return to their rows by ``doc_id`` and a digest of the text.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.storage import kept
@@ -96,11 +96,12 @@ def _suspects(min_points: int, segments: int, bits: int, shared):
         for s, packed in shared.value.items():
             held[s] = np.frombuffer(packed, np.uint8)
         for batch in batches:
-            keys, docs, lines, hashes = [], [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            keys, docs, digests, lines, hashes = [], [], [], [], []
+            for doc, digest, text in zip(batch.column("doc_id").to_pylist(), batch.column("digest").to_pylist(), batch.column("text"), strict=True):
                 for key, numbers in line_keys(text.as_py(), min_points).items():
                     keys.append(key)
                     docs.append(doc)
+                    digests.append(digest)
                     lines.append(numbers)
                     hashes.append(xxhash.xxh64_intdigest(key))
             if not keys:
@@ -115,20 +116,26 @@ def _suspects(min_points: int, segments: int, bits: int, shared):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([keys[i].decode() for i in part], pa.string()),
                     pa.array([docs[i] for i in part], pa.int64()),
+                    pa.array([digests[i] for i in part], pa.binary()),
                     pa.array([lines[i] for i in part], pa.list_(pa.int32())),
-                ], names=["key", "doc_id", "lines"])
+                ], names=["key", "doc_id", "digest", "lines"])
 
     return run
 
 
+def text_digest() -> Column:
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
 def lost_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """(doc_id, lost array<int>): numbers of the lines each document loses; documents that lose none are left out.
+    """(doc_id, digest, lost array<int>): numbers of the lines each text of a document loses; texts that lose none are left out.
 
     A key found in ``min_documents`` documents or more stays in the largest doc_id alone. Rows
-    with the same doc_id are one document here; rows without one are not looked at.
+    with the same doc_id are one document, which counts once for a key that several of them hold; each row has
+    its own lines, told apart by ``text_digest``. Rows without doc_id are not looked at.
     """
     spark = docs.sparkSession
-    texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+    texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), text_digest().alias("digest"), "text")
     n = docs.count()
     segments = max(24, -(-n * 24 // SEGMENT_HASHES))
     bits = min(MOST_BITS, max(LEAST_BITS, n * BITS_PER_DOCUMENT)) // segments // 8 * 8
@@ -136,7 +143,7 @@ def lost_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_documents: int
     hashes = texts.select("text").mapInArrow(_hashes_by_segment(min_points, segments), "segment long, hashes binary, repeated binary")
     found = hashes.groupBy("segment").applyInArrow(_twice_seen(segments, bits), "segment long, bits binary")
     shared = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in found.toLocalIterator()})
-    suspects = kept(texts.mapInArrow(_suspects(min_points, segments, bits, shared), "key string, doc_id long, lines array<int>"), "suspect-lines")
+    suspects = kept(texts.mapInArrow(_suspects(min_points, segments, bits, shared), "key string, doc_id long, digest binary, lines array<int>"), "suspect-lines")
     # As a table of its own, so that a join partition of one very common line can be split.
     verdicts = kept(
         suspects.select("key", "doc_id").distinct().groupBy("key")
@@ -145,7 +152,7 @@ def lost_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_documents: int
         "shared-lines",
     )
     lost = suspects.join(verdicts, "key").where("doc_id <> keeper")
-    return lost.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lost"))
+    return lost.groupBy("doc_id", "digest").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lost"))
 
 
 def without_repeated_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
@@ -156,11 +163,11 @@ def without_repeated_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_do
     """
     names = docs.columns
     line_count, lines_lost = (next(c for c in (f"{name}{'_' * k}" for k in range(99)) if c not in names) for name in ("line_count", "lines_lost"))
-    lost = lost_lines(docs, min_points, min_documents).select(F.col("doc_id").alias("_lost_doc_id"), F.col("lost").alias("_lost_lines"))
+    lost = lost_lines(docs, min_points, min_documents).select(F.col("doc_id").alias("_lost_doc_id"), F.col("digest").alias("_lost_digest"), F.col("lost").alias("_lost_lines"))
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_lost_lines"))
     shorter = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
-    joined = docs.join(lost, docs["doc_id"] == F.col("_lost_doc_id"), "left")
+    joined = docs.join(lost, (docs["doc_id"] == F.col("_lost_doc_id")) & (text_digest() == F.col("_lost_digest")), "left")
     return joined.select(
         *[F.when(F.col("_lost_lines").isNotNull(), shorter).otherwise(F.col("text")).alias("text") if c == "text" else docs[c] for c in names],
         F.size(lines).cast("long").alias(line_count),

@@ -6,9 +6,8 @@ batches of hashes: after n hashes with m matches it is dropped if the posterior
 prior) of a similarity at the threshold or above is below the chosen miss probability. Survivors are
 verified exactly on the full sets; only verified links join documents.
 
-No bucket emits all its pairs. First every member meets its bucket's leader, the representative of most
-copies. Buckets whose members are then one component are done. In the others only members of different
-components meet, block by block, inside tasks that emit nothing but survivors of the Bayesian test.
+No bucket emits all its pairs. Representatives connected by common buckets are a candidate cluster, and all links
+lie inside clusters. Members of a cluster meet block by block, inside tasks that emit nothing but verified links.
 """
 
 from __future__ import annotations
@@ -184,8 +183,16 @@ def clustered(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) -> Da
         "cluster", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "rep", "copies", "sig", "text"
     )
     links = kept(spread.groupBy("cluster", "one", "two").applyInArrow(_verified(percent, fewest_matches(percent, miss)), "a long, b long"), "verified-links")
+
+    # Rows with the same doc_id link their classes, and a row without words goes where the others are.
+    again = kept(features.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id")), "repeated-ids")
+    classed = features.select("doc_id", *marks).join(classes.select(*marks, "rep"), marks, "left")
+    of_again = kept(classed.join(again, F.col("doc_id") == F.col("again_id")).select("again_id", "rep").where("rep IS NOT NULL").distinct(), "repeated-classes")
+    first = of_again.groupBy("again_id").agg(F.min("rep").alias("first_rep"))
+    links = links.unionByName(of_again.join(first, "again_id").select(F.col("rep").alias("a"), F.col("first_rep").alias("b")))
     joined = components(links).select(F.col("node").alias("rep"), "component")
+    first = first.select(F.col("again_id").alias("doc_id"), "first_rep")
 
-    placed = features.select("doc_id", *marks).join(classes.select(*marks, "rep"), marks, "left").join(joined, "rep", "left")
+    placed = classed.join(first, "doc_id", "left").withColumn("rep", F.coalesce("rep", "first_rep")).join(joined, "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

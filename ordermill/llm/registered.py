@@ -99,17 +99,18 @@ QUERIES: dict[str, Query] = {
 
 OP9_SQL = r"""
 WITH split_lines AS (
-  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  SELECT r, doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)
+  FROM (SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+    FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents))
 ), shared AS (
   SELECT key, max(doc_id) AS keeper FROM split_lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
 ), marked AS (
-  SELECT s.doc_id, s.i, s.line, h.key IS NOT NULL AND s.doc_id <> h.keeper AS lost FROM split_lines s LEFT JOIN shared h ON s.key = h.key
+  SELECT s.r, s.doc_id, s.i, s.line, h.key IS NOT NULL AND s.doc_id <> h.keeper AS lost FROM split_lines s LEFT JOIN shared h ON s.key = h.key
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY r, doc_id
 """
 
 OP3_SQL = r"""

@@ -38,6 +38,12 @@ def test_as_brute_force(spark):
     assert result(line_dedup.without_repeated_lines(documents(spark, rows))) == brute(rows)
 
 
+def test_rows_of_one_id_lose_their_own_lines(spark):
+    common = words(12, 1)
+    rows = [(1, f"begin\n{common}\nend"), (2, f"first\n{common}"), (2, "keep this first\nkeep this second"), (2, f"{common}\nkeep"), *[(i, common) for i in range(3, 7)], (6, f"last\n{common}")]
+    assert result(line_dedup.without_repeated_lines(documents(spark, rows))) == brute(rows)
+
+
 def test_clashing_columns_and_empty_table(spark):
     rows = [(i, words(12, 1)) for i in range(6)]
     got = line_dedup.without_repeated_lines(documents(spark, rows, extra=True))

@@ -12,7 +12,7 @@ def shingles(text):
     return {tuple(w[i: i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """[(doc_id, n_shingles, component)] by comparing all pairs."""
     sets = [shingles(t) for _, t in rows]
     root = {i: i for i, _ in rows if i is not None}
@@ -26,7 +26,7 @@ def brute(rows):
         for b in range(a):
             if rows[a][0] is not None and rows[b][0] is not None and sets[a] and sets[b]:
                 common = len(sets[a] & sets[b])
-                if 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+                if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
                     x, y = find(rows[a][0]), find(rows[b][0])
                     root[max(x, y)] = min(x, y)
     return sorted(((i, len(s), None if i is None else find(i)) for (i, _), s in zip(rows, sets, strict=True)), key=str)
@@ -63,6 +63,21 @@ def test_blocks_of_a_large_cluster(spark, monkeypatch):
     assert result(minhash_bayes.clustered(documents(spark, rows))) == brute(rows)
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    a, b = words(40, 21), words(40, 22)
+    rows = [(3, a), (5, a), (5, b), (9, b), (11, words(30, 23)), (11, ""), (12, None), (12, words(30, 23) + " more"), (13, a + " " + b)]
+    assert result(minhash_bayes.clustered(documents(spark, rows))) == brute(rows)
+    assert {i: c for i, _, c in brute(rows)} | {9: 3, 5: 3, 11: 11} == {i: c for i, _, c in brute(rows)}
+
+
+def test_words_of_repeating_structure_differ(spark):
+    a = "a"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, a), (2, a.translate(str.maketrans("ab", "ba")))]
+    assert result(minhash_bayes.clustered(documents(spark, rows))) == [(1, 1, 1), (2, 1, 2)]
+
+
 def test_empty_table(spark):
     assert minhash_bayes.clustered(documents(spark, [(1, "a")]).where("false")).count() == 0
     assert result(minhash_bayes.clustered(documents(spark, [(1, None), (2, "")]))) == [(1, 0, 1), (2, 0, 2)]
