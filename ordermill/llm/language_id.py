@@ -26,9 +26,13 @@ UNKNOWN = "und"
 #: Labelled documents that training looks at, those with the smallest hash of doc_id.
 SAMPLE_DOCUMENTS = 2000
 ROUNDS = 3
-#: Words longer than this many bytes are scored in parts of that length.
-PART_BYTES = 40
-LONGEST_PIECE = 12
+#: Pieces up to this many bytes are looked up at every place, longer (rare) ones where their first bytes are met.
+COMMON_PIECE = 12
+#: Words from this many bytes on are cut where no piece crosses, which leaves all segmentations; parts that are
+#: still longer are scored with rescaling, and do not train.
+CUT_BYTES, SCALED_BYTES = 40, 64
+#: Factor per byte that keeps products within range, as a power of e.
+_PER_BYTE = 10.0
 _SPACE = "▁"
 _TABLE_BITS = 20
 
@@ -44,10 +48,18 @@ class Vocabulary:
         for i in range(model.get_piece_size()):
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
                 seen.add(model.id_to_piece(i).replace(_SPACE, " ").lower().encode())
-        self.names = sorted(p for p in seen if len(p) <= LONGEST_PIECE)
-        hashes = np.array([_hash_of(p) for p in self.names], np.uint64)
+        self.names = sorted(seen)
+        self.longest = max(map(len, self.names))
+        common = np.array([i for i, p in enumerate(self.names) if len(p) <= COMMON_PIECE], np.int32)
+        hashes = np.array([_hash_of(self.names[i]) for i in common], np.uint64)
         order = np.argsort(hashes)
-        self.hashes, self.numbers = hashes[order], order.astype(np.int32)
+        self.hashes, self.numbers = hashes[order], common[order]
+        # Longer pieces: their lengths by their first bytes.
+        self.long_numbers = {p: i for i, p in enumerate(self.names) if len(p) > COMMON_PIECE}
+        self.long_lengths: dict[bytes, set[int]] = {}
+        for p in self.long_numbers:
+            self.long_lengths.setdefault(p[:COMMON_PIECE], set()).add(len(p))
+        self.long_heads = np.unique(np.array([_hash_of(p) for p in self.long_lengths], np.uint64))
         # A table by the hash's low bits narrows the search to one or two places.
         low = (self.hashes & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
         self.by_low = np.argsort(low, kind="stable")
@@ -88,91 +100,141 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
-def _lattice(units: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Piece numbers [word, end, length - 1] and word lengths; the single byte falls back to piece 0."""
+def _matches(units: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces in all units as (unit, end, length, piece number), by end and unit, and the units' lengths; a single byte falls back to piece 0."""
     width = max(map(len, units))
-    text = np.zeros((len(units), width), np.uint64)
-    flat = np.frombuffer(b"".join(u.ljust(width, b"\0") for u in units), np.uint8).reshape(len(units), width)
-    text[:] = flat
+    text = np.frombuffer(b"".join(u.ljust(width, b"\0") for u in units), np.uint8).reshape(len(units), width).astype(np.uint64)
     lengths = np.fromiter(map(len, units), np.int64, len(units))
-    longest = min(LONGEST_PIECE, width)
-    found = np.full((len(units), width + 1, longest), -1, np.int32)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     rolling = np.zeros((len(units), width), np.uint64)  # hash of the bytes [end - n, end), by end
-    for n in range(1, longest + 1):
+    for n in range(1, min(COMMON_PIECE, width) + 1):
         # hash(s + c) = hash(s) * F + c, read from the end backwards: the first byte enters with F**(n-1).
         step = np.uint64(pow(_FACTOR, n - 1, 1 << 64))
-        first = (text[:, : width - n + 1] + np.uint64(1)) * step
-        ends = rolling[:, n - 1:] + first
+        ends = rolling[:, n - 1:] + (text[:, : width - n + 1] + np.uint64(1)) * step
         rolling[:, n - 1:] = ends
-        numbers = vocab.lookup(ends.ravel()).reshape(ends.shape)
-        inside = np.arange(n, width + 1)[None, :] <= lengths[:, None]
-        found[:, n:, n - 1] = np.where(inside, numbers, -1)
-    single = found[:, 1:, 0]
-    single[(single < 0) & (np.arange(1, width + 1)[None, :] <= lengths[:, None])] = 0
-    return found, lengths
+        unit, end = np.nonzero(np.arange(n, width + 1)[None, :] <= lengths[:, None])
+        numbers = vocab.lookup(ends[unit, end])
+        if n == 1:
+            numbers = np.maximum(numbers, 0)
+        hit = numbers >= 0
+        found.append((unit[hit], end[hit] + n, np.full(hit.sum(), n), numbers[hit]))
+        if n == COMMON_PIECE and len(vocab.long_heads):
+            value = ends[unit, end]
+            place = np.minimum(np.searchsorted(vocab.long_heads, value), len(vocab.long_heads) - 1)
+            more = []
+            for i in np.flatnonzero(vocab.long_heads[place] == value):
+                word, begin = units[unit[i]], int(end[i])
+                for size in vocab.long_lengths.get(word[begin: begin + COMMON_PIECE], ()):
+                    number = vocab.long_numbers.get(word[begin: begin + size])
+                    if number is not None:
+                        more.append((unit[i], begin + size, size, number))
+            if more:
+                found.append(tuple(np.array(x) for x in zip(*more, strict=True)))
+    unit, end, length, number = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((unit, end))
+    return unit[order], end[order], length[order], number[order].astype(np.int64), lengths
+
+
+def _ends(end: np.ndarray, width: int) -> np.ndarray:
+    return np.searchsorted(end, np.arange(width + 2))
+
+
+def _begun(unit: np.ndarray) -> np.ndarray:
+    """Where a new unit begins in a run sorted by unit."""
+    return np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
 
 
 def forward(units: list[bytes], vocab: Vocabulary, probability: np.ndarray) -> np.ndarray:
-    """log P(word | language) over all segmentations, [word, language]; ``probability`` is [piece + 1, language], its last row zeros."""
-    found, lengths = _lattice(units, vocab)
-    alpha = np.zeros((len(units), found.shape[1], probability.shape[1]))
+    """log P(unit | language) over all segmentations, [unit, language]; ``probability`` is [piece + 1, language], its last row zeros.
+
+    Every byte of a piece brings a factor that keeps the sums of short units within range; in longer ones
+    they are also divided by their largest recent one every few bytes. The logarithms of all factors are taken back.
+    """
+    unit, end, length, number, lengths = _matches(units, vocab)
+    width, languages = int(lengths.max()), probability.shape[1]
+    gain = np.exp(_PER_BYTE * np.arange(vocab.longest + 1)) if width <= SCALED_BYTES else np.ones(vocab.longest + 1)
+    alpha = np.zeros((len(units), width + 1, languages))
     alpha[:, 0] = 1.0
-    for end in range(1, found.shape[1]):
-        for n in range(1, min(end, found.shape[2]) + 1):
-            number = found[:, end, n - 1]
-            live = np.flatnonzero(number >= 0)
-            if len(live):
-                alpha[live, end] += alpha[live, end - n] * probability[number[live]]
-    return np.log(alpha[np.arange(len(units)), lengths])
+    scale, out = np.zeros((len(units), languages)), np.zeros((len(units), languages))
+    cuts, at_end = _ends(end, width), np.argsort(lengths, kind="stable")
+    done = np.searchsorted(lengths[at_end], np.arange(width + 2))
+    for e in range(1, width + 1):
+        own = slice(cuts[e], cuts[e + 1])
+        if cuts[e] < cuts[e + 1]:
+            rows = unit[own]
+            sums = alpha[rows, e - length[own]] * probability[number[own]] * gain[length[own]][:, None]
+            begun = _begun(rows)
+            alpha[rows[begun], e] = np.add.reduceat(sums, begun, axis=0)
+        if width > SCALED_BYTES and e % 4 == 0:
+            recent = alpha[:, max(0, e - vocab.longest): e + 1]
+            largest = recent.max(axis=1)
+            largest[largest == 0] = 1.0
+            recent /= largest[:, None]
+            scale += np.log(largest)
+        over = at_end[done[e]: done[e + 1]]
+        if len(over):
+            out[over] = np.log(alpha[over, e]) + scale[over]
+    return out - _PER_BYTE * lengths[:, None] if width <= SCALED_BYTES else out
 
 
 def expected_uses(units: list[bytes], counts: np.ndarray, vocab: Vocabulary, probability: np.ndarray) -> np.ndarray:
-    """Expected number of uses of each piece per language, [piece, language]; ``counts`` is [word, language]."""
-    found, lengths = _lattice(units, vocab)
-    rows, width = np.arange(len(units)), found.shape[1] - 1
+    """Expected number of uses of each piece per language, [piece, language]; ``counts`` is [unit, language], units of ``SCALED_BYTES`` at most."""
+    unit, end, length, number, lengths = _matches(units, vocab)
+    width = int(lengths.max())
+    weight = probability * np.exp(_PER_BYTE * np.array([*map(len, vocab.names), 1])[:, None])
+    weight[0] = probability[0] * np.exp(_PER_BYTE)  # piece 0 stands for one byte
     alpha = np.zeros((len(units), width + 1, probability.shape[1]))
     beta = np.zeros_like(alpha)
     alpha[:, 0] = 1.0
-    beta[rows, lengths] = 1.0
-    for end in range(1, width + 1):
-        for n in range(1, min(end, found.shape[2]) + 1):
-            live = np.flatnonzero(found[:, end, n - 1] >= 0)
-            alpha[live, end] += alpha[live, end - n] * probability[found[live, end, n - 1]]
-    for end in range(width, 0, -1):
-        for n in range(1, min(end, found.shape[2]) + 1):
-            live = np.flatnonzero(found[:, end, n - 1] >= 0)
-            beta[live, end - n] += beta[live, end] * probability[found[live, end, n - 1]]
-    share = counts / alpha[rows, lengths]
+    beta[np.arange(len(units)), lengths] = 1.0
+    cuts = _ends(end, width)
+    for e in range(1, width + 1):
+        own = slice(cuts[e], cuts[e + 1])
+        if cuts[e] < cuts[e + 1]:
+            begun = _begun(unit[own])
+            alpha[unit[own][begun], e] = np.add.reduceat(alpha[unit[own], e - length[own]] * weight[number[own]], begun, axis=0)
+    for e in range(width, 0, -1):
+        own = slice(cuts[e], cuts[e + 1])
+        np.add.at(beta, (unit[own], e - length[own]), beta[unit[own], e] * weight[number[own]])
+    share = counts / alpha[np.arange(len(units)), lengths]
     uses = np.zeros((len(vocab.names), probability.shape[1]))
-    for end in range(1, width + 1):
-        for n in range(1, min(end, found.shape[2]) + 1):
-            live = np.flatnonzero(found[:, end, n - 1] >= 0)
-            number = found[live, end, n - 1]
-            np.add.at(uses, number, alpha[live, end - n] * probability[number] * beta[live, end] * share[live])
+    np.add.at(uses, number, alpha[unit, end - length] * weight[number] * beta[unit, end] * share[unit])
     return uses
 
 
-def units_of(word: bytes) -> list[bytes]:
-    """A word as it is scored: begun by the mark, in parts if it is very long."""
+def units_of(word: bytes, vocab: Vocabulary) -> list[bytes]:
+    """A word as it is scored: begun by the mark; a long one cut at all places that no piece crosses, so that no segmentation is lost."""
     marked = b" " + word
-    return [marked[i: i + PART_BYTES] for i in range(0, len(marked), PART_BYTES)]
+    if len(marked) < CUT_BYTES:
+        return [marked]
+    _, end, length, _, _ = _matches([marked], vocab)
+    crossed = np.zeros(len(marked) + 2, np.int64)
+    np.add.at(crossed, end - length + 1, 1)
+    np.add.at(crossed, end, -1)
+    cuts = [*np.flatnonzero(np.cumsum(crossed)[1: len(marked)] == 0) + 1, len(marked)]
+    return [marked[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().split()
 
 
-def _count_words(batches):
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-            counts: dict[bytes, int] = {}
-            for word in words_of(text.as_py()):
-                for unit in units_of(word):
-                    counts[unit] = counts.get(unit, 0) + 1
-            if counts:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64()),
-                ], names=["lang", "unit", "n"])
+def _count_words(path: str):
+    def run(batches):
+        vocab = vocabulary(path)
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+                counts: dict[bytes, int] = {}
+                for word in words_of(text.as_py()):
+                    for unit in units_of(word, vocab):
+                        if len(unit) <= SCALED_BYTES:
+                            counts[unit] = counts.get(unit, 0) + 1
+                if counts:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64()),
+                    ], names=["lang", "unit", "n"])
+
+    return run
 
 
 @dataclass(frozen=True)
@@ -194,7 +256,7 @@ def train(docs: DataFrame, path: str = VOCABULARY, sample: int = SAMPLE_DOCUMENT
     chosen = usable.select("doc_id", F.col("lang").cast("string").alias("lang")).withColumn("draw", F.xxhash64("doc_id", F.lit(3))).orderBy("draw", "doc_id", "lang").limit(sample)
     drawn = F.broadcast(chosen.select(F.col("doc_id").alias("drawn_id")).distinct())  # at most ``sample`` rows
     texts = usable.join(drawn, F.col("doc_id") == F.col("drawn_id"), "left_semi").select(F.col("lang").cast("string").alias("lang"), "text")
-    counted = texts.mapInArrow(_count_words, "lang string, unit binary, n long").groupBy("lang", "unit").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(_count_words(path), "lang string, unit binary, n long").groupBy("lang", "unit").agg(F.sum("n").alias("n"))
     counted = kept(counted.groupBy("unit").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts")), "lid-words")
     totals = {r.lang: r.n for r in counted.select(F.explode("counts").alias("lang", "n")).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not totals:
@@ -276,12 +338,15 @@ def _word_lists(texts: pa.Array) -> list[list[bytes]]:
 
 
 def _add_words(new: list[bytes], known: dict[bytes, np.ndarray], vocab: Vocabulary, probability: np.ndarray) -> None:
-    units = [(u, w) for w in new for u in units_of(w)]
-    units.sort(key=lambda x: len(x[0]))
-    for at in range(0, len(units), 4000):
-        part = units[at: at + 4000]
+    units = sorted(((u, w) for w in new for u in units_of(w, vocab)), key=lambda x: len(x[0]))
+    at = 0
+    while at < len(units):
+        # Units of like length, a bounded number of bytes at once.
+        size = max(1, min(4000, 160_000 // len(units[min(at + 4000, len(units)) - 1][0])))
+        part = units[at: at + size]
         for (_, w), log in zip(part, forward([u for u, _ in part], vocab, probability), strict=True):
             known[w] = known[w] + log if w in known else log
+        at += size
 
 
 def has_letter() -> Column:

@@ -54,7 +54,7 @@ def test_forward_sums_all_segmentations():
         if not rest:
             return np.ones(2)
         out = np.zeros(2)
-        for n in range(1, min(len(rest), language_id.LONGEST_PIECE) + 1):
+        for n in range(1, min(len(rest), vocab.longest) + 1):
             piece = rest[:n]
             if piece in known or n == 1:
                 out += probability[known.get(piece, 0)] * total(rest[n:])
@@ -67,6 +67,45 @@ def test_forward_sums_all_segmentations():
     assert np.allclose((uses * np.array([max(1, len(p)) for p in vocab.names])[:, None]).sum(axis=0), sum(map(len, units)))
 
 
+def plain_forward(unit, known, longest, probability):
+    """log of the sum over all segmentations, one column after the other, with exponents kept apart."""
+    from fractions import Fraction
+
+    alpha = [Fraction(1)] + [Fraction(0)] * len(unit)
+    for e in range(1, len(unit) + 1):
+        for n in range(1, min(e, longest) + 1):
+            piece = unit[e - n: e]
+            if piece in known or n == 1:
+                alpha[e] += alpha[e - n] * Fraction(probability[known.get(piece, 0)])
+    top = alpha[len(unit)]
+    return np.log(float(top.numerator >> max(0, top.numerator.bit_length() - 60))) + np.log(2) * max(0, top.numerator.bit_length() - 60) - (
+        np.log(float(top.denominator >> max(0, top.denominator.bit_length() - 60))) + np.log(2) * max(0, top.denominator.bit_length() - 60))
+
+
+def test_long_and_foreign_words_have_finite_scores():
+    vocab = language_id.vocabulary(language_id.VOCABULARY)
+    known = {p: i for i, p in enumerate(vocab.names)}
+    assert vocab.longest > language_id.COMMON_PIECE
+    rng = np.random.default_rng(2)
+    probability = np.vstack([10.0 ** -rng.integers(2, 10, (len(vocab.names), 1)), np.zeros((1, 1))])
+    longest = max(vocab.names, key=len)
+    words = [b"internationalization", longest, longest * 3, "ᚠᚢᚦᚨᚱᚲ".encode() * 20, "𐍈𐌰𐌹".encode() * 20, b"a" * 150, "größenordnung".encode() * 9, b"x" * 39, "国際連合安全保障理事会".encode() * 6]
+    for word in words:
+        units = language_id.units_of(word, vocab)
+        assert b"".join(units) == b" " + word
+        got = sum(language_id.forward([u], vocab, probability)[0, 0] for u in units)
+        assert np.isclose(got, plain_forward(b" " + word, known, vocab.longest, probability[:, 0]), rtol=1e-9)
+    together = sorted((u for w in words for u in language_id.units_of(w, vocab)), key=len)
+    assert np.allclose(language_id.forward(together, vocab, probability)[:, 0], [language_id.forward([u], vocab, probability)[0, 0] for u in together])
+
+
+def test_foreign_scripts_score_between_0_and_1(spark):
+    rows = [*sample(120), (500, "ᚠᚢᚦᚨᚱᚲ" * 20, None), (501, "𐍈𐌰𐌹" * 20, None), (502, "the and of " * 9 + "ᚠᚢᚦᚨᚱᚲ" * 30, None), (503, "日本語" * 3000, None), (504, "ab1" * 60, "aa"), (505, "ᚠᚢ" * 50, None)]
+    got = {r.doc_id: r for r in language_id.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(0 <= r.score <= 1 and r.lang_pred in SYLLABLES for r in got.values())
+    assert got[502].lang_pred == "aa"
+
+
 def test_prediction_reads_text_only(spark):
     rows = sample(200)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
