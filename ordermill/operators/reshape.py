@@ -14,6 +14,8 @@ All are map-side projections except ``nest``, which groups rows into documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +91,7 @@ def explode_children(table: str, df: DataFrame) -> dict[str, DataFrame]:
 def to_flat(table: str, df: DataFrame) -> dict[str, DataFrame]:
     """The fully flat form: the parent without its arrays, and the child tables."""
     arrays = [array for _, array, _, _ in _CHILDREN.get(table, [])]
-    return {table: flatten_structs(table, df.drop(*arrays))} | explode_children(table, df)
+    return {table: flatten_structs(table, once_each(df).drop(*arrays))} | explode_children(table, df)
 
 
 def nest(rows: DataFrame, parent: list[str], fields: list[Column | str], into: str, present: Column | None = None) -> DataFrame:
@@ -97,8 +99,7 @@ def nest(rows: DataFrame, parent: list[str], fields: list[Column | str], into: s
 
     ``present`` marks rows that stand for an element; a parent whose rows are all absent gets
     an empty array, so an outer join can feed this directly. Elements sort by their fields in
-    the given order. A document is one row by definition of the format; queries that must not
-    gather an order at all read the flat layout instead.
+    the given order. A parent may have any number of rows only where it is cut into parts first, see ``in_parts``.
     """
     element = F.struct(*fields)
     if present is not None:
@@ -106,9 +107,76 @@ def nest(rows: DataFrame, parent: list[str], fields: list[Column | str], into: s
     return rows.groupBy(*parent).agg(F.sort_array(F.collect_list(element)).alias(into))
 
 
-def nest_children(parent: DataFrame, child: DataFrame, keys: list[str], into: str) -> DataFrame:
-    """Inverse of ``explode_children``: attach a child table to its parent as an array."""
+# -- documents in parts --------------------------------------------------------------------
+#
+# A document may have more elements than one row should hold. It is then filed as several rows of the same key,
+# numbered by ``o_part`` from 0, each with about PART_LINES elements and all other columns of the
+# document; ``o_parts`` is their number. What is asked of a document is folded inside its parts, and only documents
+# of several parts meet in a grouping.
+
+PART_LINES = 10_000
+PART, PARTS = "o_part", "o_parts"
+
+
+def number_of_parts(elements: Column, part_lines: int = PART_LINES) -> Column:
+    """Parts of a document of so many elements: one at least."""
+    return F.greatest(F.lit(1), F.ceil(elements / part_lines)).cast("bigint")
+
+
+def in_parts(parent: DataFrame, child: DataFrame, keys: list[str], count: str, spread: Column, part_lines: int = PART_LINES) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the number of their part: ``parent`` once per part, ``child`` rows dealt by the hash ``spread``.
+
+    ``count`` is the column of ``parent`` with the number of children. The keys of documents that have several parts are
+    joined to the child rows; all others are part 0. A key with very many rows so meets its parent in as many groups as it has parts.
+    """
+    numbered = parent.withColumn(PARTS, number_of_parts(F.col(count), part_lines))
+    several = numbered.where(F.col(PARTS) > 1).select(*keys, F.col(PARTS).alias("_parts"))
+    dealt = child.join(several, keys, "left").withColumn(PART, F.coalesce(F.pmod(spread, F.col("_parts")), F.lit(0)).cast("bigint")).drop("_parts")
+    return numbered.withColumn(PART, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(PARTS) - 1))), dealt
+
+
+def with_parts(docs: DataFrame) -> DataFrame:
+    """Documents with the part columns; a table without them holds whole documents."""
+    return docs if PART in docs.columns else docs.withColumns({PART: F.lit(0).cast("bigint"), PARTS: F.lit(1).cast("bigint")})
+
+
+def filed_parts(docs: DataFrame) -> DataFrame:
+    """The part columns null for whole documents, as file formats leave out null fields."""
+    several = F.col(PARTS) > 1
+    return docs.withColumns({name: F.when(several, F.col(name)) for name in (PART, PARTS)}) if PART in docs.columns else docs
+
+
+def read_parts(docs: DataFrame) -> DataFrame:
+    """Inverse of ``filed_parts``."""
+    return docs.withColumns({PART: F.coalesce(PART, F.lit(0)), PARTS: F.coalesce(PARTS, F.lit(1))}) if PART in docs.columns else docs
+
+
+def once_each(docs: DataFrame) -> DataFrame:
+    """One row per document, without the part columns: that of part 0."""
+    return docs.where(F.col(PART) == 0).drop(PART, PARTS) if PART in docs.columns else docs
+
+
+def folded(docs: DataFrame, columns: list[str], values: dict[str, tuple[Column, Callable[[str], Column]]]) -> DataFrame:
+    """One row per document: ``columns`` and, per entry of ``values``, a fold of the document.
+
+    A value is (fold inside a part, aggregate that joins the parts' results). Whole documents are projected
+    alone; those of several parts are grouped by ``columns``, which must determine the document.
+    """
+    inside = with_parts(docs).withColumns({name: value for name, (value, _) in values.items()})
+    whole = inside.where(F.col(PARTS) == 1).select(*columns, *values)
+    several = inside.where(F.col(PARTS) > 1).groupBy(*columns).agg(*[merge(name).alias(name) for name, (_, merge) in values.items()])
+    return whole.unionByName(several)
+
+
+def nest_children(parent: DataFrame, child: DataFrame, keys: list[str], into: str, part_lines: int | None = None, count: str | None = None) -> DataFrame:
+    """Inverse of ``explode_children``: attach a child table to its parent as an array.
+
+    With ``part_lines`` documents are in parts; ``count`` then names the parent's column with the number of children.
+    """
     fields = [c for c in child.columns if c not in keys]
+    if part_lines is not None:
+        parent, child = in_parts(parent, child, keys, count, F.xxhash64(*fields), part_lines)
+        keys = [*keys, PART]
     marked = child.withColumn("_there", F.lit(True))
     joined = parent.join(marked, keys, "left")
     return nest(joined, parent.columns, fields, into, present=F.col("_there").isNotNull())

@@ -2,8 +2,8 @@
 
 A layout answers what the queries ask: orders by date, their lines, the total or the latest
 delivery of an order, customers with their shipping address. The nested layout answers per-order
-questions inside the document, without a shuffle; an order too large for a document has its lines
-as rows beside it, and these are aggregated. The flat layout aggregates the child table by the
+questions inside the document, without a shuffle; orders of several parts are folded inside the parts, and
+only these meet in a grouping. The flat layout aggregates the child table by the
 order key throughout, so no order is ever gathered in one place.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import cents, cents_total, code_point, supplier_key
+from ordermill.operators.reshape import PART, PARTS, folded, once_each, with_parts
 
 ORDER_KEY = ["o_w_id", "o_d_id", "o_id"]
 CUSTOMER_KEY = ["c_w_id", "c_d_id", "c_id"]
@@ -35,8 +36,6 @@ def unnest(rows: DataFrame, array: str, fields: tuple[str, ...], keep: list[str]
 
 class Store(Protocol):
     suppliers: int
-    max_document_lines: int
-    apart: DataFrame | None
 
     def table(self, name: str) -> DataFrame: ...
 
@@ -61,41 +60,32 @@ class Nested:
     # -- orders ---------------------------------------------------------------------------
 
     def orders(self) -> DataFrame:
-        return self.store.table("orders")
+        """Orders by part: a condition on columns of the order holds for all its parts."""
+        return with_parts(self.store.table("orders"))
+
+    def once_each(self, orders: DataFrame) -> DataFrame:
+        """One row per order, for counting."""
+        return once_each(orders)
 
     def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE) -> DataFrame:
         """One row per order line: the asked line fields beside the columns of the order."""
         orders = self.orders() if orders is None else orders
-        kept = [c for c in orders.columns if c != "o_orderline"]
-        rows = unnest(orders, "o_orderline", fields, kept)
-        if self.store.apart is None:
-            return rows
-        large = self._large(orders).select(*kept).join(self.store.apart.select(*ORDER_KEY, *fields), ORDER_KEY)
-        return rows.unionByName(large)
-
-    def _large(self, orders: DataFrame) -> DataFrame:
-        """Orders whose lines are rows apart from their document."""
-        return orders.where(F.col("o_ol_cnt") > self.store.max_document_lines)
+        return unnest(orders, "o_orderline", fields, [c for c in orders.columns if c not in ("o_orderline", PART, PARTS)])
 
     def with_total(self, orders: DataFrame | None = None) -> DataFrame:
-        """Orders (all without an argument) that have lines, with the sum of their amounts in cents as ``o_total``."""
+        """Orders (all without an argument) that have lines, one row each, with the sum of their amounts in cents as ``o_total``."""
         orders = self.orders() if orders is None else orders
         add = F.aggregate("o_orderline.ol_amount", F.lit(0).cast("bigint"), lambda total, amount: total + cents(amount))
-        inside = orders.where(F.size("o_orderline.ol_amount") > 0).withColumn("o_total", add)
-        if self.store.apart is None:
-            return inside
-        totals = self.store.apart.groupBy(*ORDER_KEY).agg(cents_total(F.col("ol_amount")).alias("o_total"))
-        return inside.unionByName(self._large(orders).join(totals, ORDER_KEY))
+        columns = [c for c in orders.columns if c not in ("o_orderline", PART, PARTS)]
+        return folded(orders.where(F.size("o_orderline.ol_amount") > 0), columns, {"o_total": (add, F.sum)})
 
     def with_latest(self, orders: DataFrame) -> DataFrame:
-        """Orders that have a delivered line, with the latest delivery as ``o_latest``."""
-        latest = F.array_max("o_orderline.ol_delivery_d")
-        inside = orders.withColumn("o_latest", latest).where(F.col("o_latest").isNotNull())
-        if self.store.apart is None:
-            return inside
-        delivered = self.store.apart.where(F.col("ol_delivery_d").isNotNull())
-        found = delivered.groupBy(*ORDER_KEY).agg(F.max("ol_delivery_d").alias("o_latest"))
-        return inside.unionByName(self._large(orders).join(found, ORDER_KEY))
+        """Orders by part that have a delivered line in any part, with the latest delivery of the order as ``o_latest``."""
+        inside = orders.withColumn("o_latest", F.array_max("o_orderline.ol_delivery_d"))
+        whole = inside.where((F.col(PARTS) == 1) & F.col("o_latest").isNotNull())
+        several = inside.where(F.col(PARTS) > 1)
+        latest = several.where(F.col("o_latest").isNotNull()).groupBy(*ORDER_KEY).agg(F.max("o_latest").alias("o_latest"))
+        return whole.unionByName(several.drop("o_latest").join(latest, ORDER_KEY))
 
     # -- customers ------------------------------------------------------------------------
 
@@ -149,6 +139,9 @@ class Flat(Nested):
     def orders(self) -> DataFrame:
         return self.store.table("orders_header")
 
+    def once_each(self, orders: DataFrame) -> DataFrame:
+        return orders
+
     def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE) -> DataFrame:
         rows = self.store.table("orders_orderline").select(*ORDER_KEY, *fields)
         return rows if orders is None else orders.join(rows, ORDER_KEY)

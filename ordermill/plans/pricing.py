@@ -37,7 +37,7 @@ def q04(t: Nested, start: str = "2015-07-01 00:00:00", months: int = 3, weeks: i
     Some line is that late exactly when the latest one is.
     """
     orders = t.orders().where(within(c("o_entry_d"), ts(start), months_after(start, months)))
-    late = t.with_latest(orders).where(c("o_latest") >= plus_days(c("o_entry_d"), 7 * weeks))
+    late = t.once_each(t.with_latest(orders).where(c("o_latest") >= plus_days(c("o_entry_d"), 7 * weeks)))
     counts = late.groupBy("o_ol_cnt").agg(F.count("*").alias("order_count"))
     return shaped(counts, "o_ol_cnt bigint, order_count bigint").orderBy("o_ol_cnt")
 
@@ -76,7 +76,7 @@ def q13(t: Nested, carrier_above: int = 8) -> DataFrame:
     meets the join as one row.
     """
     customers = t.customer_keys()
-    counted = t.orders().where(c("o_carrier_id") > carrier_above).groupBy("o_w_id", "o_d_id", "o_c_id").agg(
+    counted = t.once_each(t.orders()).where(c("o_carrier_id") > carrier_above).groupBy("o_w_id", "o_d_id", "o_c_id").agg(
         F.count("*").alias("orders")
     )
     per_number = customers.join(counted, belongs_to_customer(), "left").groupBy("c_id").agg(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.expr import MONEY_SUM, money, money_total
 from ordermill.operators.ordering import middle_row, running_total
+from ordermill.operators.reshape import PART, PARTS, folded, once_each, with_parts
 from ordermill.plans.layouts import ORDER_KEY
 from ordermill.sources.schemas import BAD_CREDIT, MAX_CUSTOMER_NOTE, NO_CARRIER, ORDERLINE, ORIGINAL, PRIMARY_KEYS
 
@@ -70,25 +71,30 @@ def stock_level(tables: Tables, requests: DataFrame, looked_at: int = ORDERS_LOO
 
 
 def order_status(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
-    """A customer, by number or by name, with their latest order and its lines."""
-    asked = _named_customers(tables["customer"], requests, "w_id", "d_id").where(c("c_id").isNotNull())
+    """A customer, by number or by name, with their latest order and its lines.
+
+    One row per request, or per part of a latest order that has several. ``status`` is ``found``, ``no order``
+    or ``no customer``.
+    """
+    asked = _named_customers(tables["customer"], requests, "w_id", "d_id")
     people = tables["customer"].select(
         c("c_w_id").alias("w_id"), c("c_d_id").alias("d_id"), "c_id", "c_name.c_first", "c_name.c_middle",
         c("c_name.c_last").alias("last_name"), "c_balance",
     )
-    found = asked.drop("c_last").join(people, ["w_id", "d_id", "c_id"])
-    owners = found.select("w_id", "d_id", "c_id").distinct()
-    orders = tables["orders"]
+    found = asked.withColumnRenamed("c_last", "asked_name").join(people.withColumn("_known", F.lit(True)), ["w_id", "d_id", "c_id"], "left")
+    owners = found.where("_known").select("w_id", "d_id", "c_id").distinct()
+    orders = with_parts(tables["orders"])
     owned = (
         (c("o_w_id") == c("w_id")) & (c("o_d_id") == c("d_id")) & (c("o_c_id") == c("c_id"))
     )
     latest = orders.join(owners, owned, "left_semi").groupBy("o_w_id", "o_d_id", "o_c_id").agg(F.max("o_id").alias("o_id"))
     documents = latest.join(
-        orders.select(*ORDER_KEY, "o_carrier_id", "o_entry_d", "o_orderline"), ORDER_KEY
+        orders.select(*ORDER_KEY, "o_carrier_id", "o_entry_d", PART, "o_orderline"), ORDER_KEY
     )
+    status = F.when(c("_known").isNull(), "no customer").when(c("o_id").isNull(), "no order").otherwise("found")
     result = found.join(documents, owned, "left").select(
-        "seq", "w_id", "d_id", "c_id", "c_first", "c_middle", c("last_name").alias("c_last"), "c_balance",
-        "o_id", "o_carrier_id", "o_entry_d", "o_orderline",
+        "seq", "w_id", "d_id", "c_id", "c_first", "c_middle", F.coalesce("last_name", "asked_name").alias("c_last"), "c_balance",
+        "o_id", "o_carrier_id", "o_entry_d", PART, "o_orderline", status.alias("status"),
     )
     return {}, result
 
@@ -118,7 +124,9 @@ def delivery(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
     }).select(tables["orders"].columns)
 
     add = F.aggregate("o_orderline.ol_amount", F.lit(0).cast(MONEY_SUM), lambda t, a: (t + money(a)).cast(MONEY_SUM))
+    # Money per part, then per order.
     delivered = taken.join(tables["orders"].select(*ORDER_KEY, "o_c_id", add.alias("amount")), ORDER_KEY)
+    delivered = delivered.groupBy("seq", *ORDER_KEY, "o_c_id").agg(F.sum("amount").alias("amount"))
     owed = delivered.groupBy(c("o_w_id").alias("c_w_id"), c("o_d_id").alias("c_d_id"), c("o_c_id").alias("c_id")).agg(
         F.sum("amount").alias("_owed")
     )
@@ -136,12 +144,14 @@ def payment(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
 
     The paying customer is the one of ``c_w_id`` and ``c_d_id``. A customer with bad credit gets
     a note in front of their text, cut to its longest length: only the newest notes can be part
-    of what remains, so no more than those are brought together per customer.
+    of what remains, so no more than those are brought together per customer. The result has a row for every request;
+    ``status`` is ``booked`` or ``no customer``.
     """
-    named = _named_customers(tables["customer"], requests, "c_w_id", "c_d_id").where(c("c_id").isNotNull())
+    named = _named_customers(tables["customer"], requests, "c_w_id", "c_d_id")
     person = ["c_w_id", "c_d_id", "c_id"]
     credit = tables["customer"].select(*person, "c_credit")
-    booked = named.join(credit, person)
+    answered = named.join(credit.withColumn("_known", F.lit(True)), person, "left")
+    booked = answered.where("_known")
 
     def added(old: str, plus: str) -> Column:
         return (money(c(old)) + F.coalesce(plus, F.lit(0))).cast("double")
@@ -183,7 +193,7 @@ def payment(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
         "warehouse": warehouses.select(tables["warehouse"].columns),
         "district": districts.select(tables["district"].columns),
         "history": tables["history"].unionByName(history),
-    }, booked.select("seq", "w_id", "d_id", *person, "h_amount")
+    }, answered.select("seq", "w_id", "d_id", *person, "h_amount", F.when(c("_known"), "booked").otherwise("no customer").alias("status"))
 
 
 def stock_after(start: Column, taken: Column) -> Column:
@@ -218,7 +228,7 @@ def new_order(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
     return {
         "district": overlay(tables["district"], changes["district"], PRIMARY_KEYS["district"]),
         "stock": overlay(tables["stock"], changes["stock"], PRIMARY_KEYS["stock"]),
-        "orders": tables["orders"].select(changes["orders"].columns).unionByName(changes["orders"]),
+        "orders": with_parts(tables["orders"]).select(changes["orders"].columns).unionByName(changes["orders"]),
         "neworder": tables["neworder"].select(changes["neworder"].columns).unionByName(changes["neworder"]),
     }, result
 
@@ -238,12 +248,22 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Callable[[DataF
     Requests: seq, w_id, d_id, c_id, o_entry_d, lines ARRAY<STRUCT<i_id, w_id, qty>>. A request
     without lines, with an unknown item or for an unknown customer is not placed and takes no
     number. A line without a stock row is left out of the order.
+
+    Lines are taken as they stand. A request with very many lines comes in parts (``o_part``, ``o_parts``, the other
+    columns repeated) whose lines have a number ``n`` (from 0) as a further field; all parts must be in one batch. Orders and result then have a row per part too, and
+    ``total`` is that of the whole order.
     """
+    requests = with_parts(requests)
+    head = requests.where(c(PART) == 0).drop("lines", PART)
+    sizes = folded(requests, ["seq"], {"n_lines": (F.size("lines").cast("bigint"), F.sum), "all_local": (
+        F.forall("lines", lambda line: line["w_id"] == c("w_id")).cast("bigint"), F.min)})
+    numbered = "n" in requests.schema["lines"].dataType.elementType.names
+    number = F.when(c(PARTS) > 1, c("line.n")).otherwise(c("pos")) if numbered else c("pos")
     items = tables["item"].select(c("i_id").alias("ol_i_id"), "i_name", "i_price", "i_data")
     asked = requests.select(
-        "seq", c("w_id"), c("d_id"), F.posexplode("lines").alias("pos", "line")
+        "seq", c("w_id"), c("d_id"), PART, PARTS, F.posexplode("lines").alias("pos", "line")
     ).select(
-        "seq", "w_id", "d_id", (c("pos") + 1).cast("bigint").alias("ol_number"), c("line.i_id").alias("ol_i_id"),
+        "seq", "w_id", "d_id", PART, "pos", (number + 1).cast("bigint").alias("ol_number"), c("line.i_id").alias("ol_i_id"),
         c("line.w_id").alias("ol_supply_w_id"), c("line.qty").alias("ol_quantity"),
     ).join(items, "ol_i_id", "left")
     unknown = asked.where(c("i_price").isNull()).select("seq").distinct()
@@ -255,7 +275,7 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Callable[[DataF
         tables["warehouse"].select("w_id", "w_tax"), "w_id"
     )
     valid = (
-        requests.where(F.size("lines") > 0).join(unknown, "seq", "left_anti")
+        head.join(sizes.where(c("n_lines") > 0), "seq").join(unknown, "seq", "left_anti")
         .join(rates, ["w_id", "d_id"]).join(people, ["w_id", "d_id", "c_id"])
     )
     placed = running_total(valid, ["w_id", "d_id"], ["seq"], {"_earlier": F.lit(1)}).withColumn(
@@ -269,7 +289,7 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Callable[[DataF
     )
     stock = tables["stock"].select(*stock_key, "s_quantity", "s_data", "s_dists")
     lines = lines.join(stock, stock_key).withColumn("ol_quantity", _checked_quantity(c("ol_quantity"), c("s_quantity")))
-    lines = running_total(lines, stock_key, ["seq", "ol_number"], {"_taken": c("ol_quantity")})
+    lines = running_total(lines, stock_key, ["seq", "ol_number", PART, "pos"], {"_taken": c("ol_quantity")})
     lines = lines.withColumns({
         "ol_amount": money(c("ol_quantity") * money(c("i_price"))).cast("double"),
         "left_in_stock": stock_after(c("s_quantity"), c("_taken") + c("ol_quantity")),
@@ -279,23 +299,23 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Callable[[DataF
     })
     lines = keep(lines.drop("s_dists", "i_data", "s_data"), "lines")
 
-    # One group per request; a request already holds its lines in one row.
+    # One group per part of a request, which already holds its lines in one row.
     line_fields = ["ol_number", "ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_quantity", "ol_amount", "ol_dist_info"]
-    grouped = lines.groupBy("seq").agg(
+    grouped = lines.groupBy("seq", PART).agg(
         F.sort_array(F.collect_list(F.struct(*line_fields))).alias("o_orderline"),
         F.sort_array(F.collect_list(F.struct(
             "ol_number", "i_name", "left_in_stock", "brand", "i_price", "ol_amount"))).alias("items"),
         money_total(c("ol_amount")).alias("_sum"),
     )
-    full = placed.join(grouped, "seq", "left")
-    all_local = F.forall("lines", lambda line: line["w_id"] == c("w_id"))
+    parts = placed.withColumn(PART, F.explode(F.sequence(F.lit(0).cast("bigint"), c(PARTS) - 1)))
+    full = parts.join(grouped, ["seq", PART], "left")
     documents = full.select(
         "o_id", c("c_id").alias("o_c_id"), c("d_id").alias("o_d_id"), c("w_id").alias("o_w_id"),
-        F.lit(NO_CARRIER).cast("bigint").alias("o_carrier_id"), F.size("lines").cast("bigint").alias("o_ol_cnt"),
-        all_local.cast("bigint").alias("o_all_local"), "o_entry_d",
+        F.lit(NO_CARRIER).cast("bigint").alias("o_carrier_id"), c("n_lines").alias("o_ol_cnt"),
+        c("all_local").alias("o_all_local"), "o_entry_d", PART, PARTS,
         F.coalesce("o_orderline", F.array().cast(f"ARRAY<{ORDERLINE.format(date='TIMESTAMP_NTZ')}>")).alias("o_orderline"),
     )
-    waiting = full.select(c("o_id").alias("no_o_id"), c("d_id").alias("no_d_id"), c("w_id").alias("no_w_id"))
+    waiting = placed.select(c("o_id").alias("no_o_id"), c("d_id").alias("no_d_id"), c("w_id").alias("no_w_id"))
 
     counts = placed.groupBy(c("w_id").alias("d_w_id"), "d_id").agg(F.count("*").alias("_orders"))
     districts = tables["district"].join(counts, ["d_w_id", "d_id"]).withColumn(
@@ -312,8 +332,11 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Callable[[DataF
         "s_remote_cnt": c("s_remote_cnt") + c("_remote"),
     }).select(tables["stock"].columns)
 
+    # The whole sum of an order of several parts beside each of them.
+    several = full.where(c(PARTS) > 1).groupBy("seq").agg(F.sum("_sum").alias("_whole"))
+    full = full.join(several, "seq", "left").withColumn("_sum", F.coalesce("_whole", "_sum"))
     result = full.select(
-        "seq", "w_id", "d_id", "c_id", "o_id", "c_last", "c_credit", "c_discount", "w_tax", "d_tax",
+        "seq", "w_id", "d_id", "c_id", "o_id", PART, "c_last", "c_credit", "c_discount", "w_tax", "d_tax",
         (F.coalesce("_sum", F.lit(0)).cast("double") * (1.0 - c("c_discount")) * (1.0 + c("w_tax") + c("d_tax"))).alias("total"),
         "items",
     )
@@ -347,7 +370,7 @@ def orders_by_district(tables: Tables, d_id: int) -> DataFrame:
     for its totals without the pairs.
     """
     districts = tables["district"].where(c("d_id") == d_id).drop("d_address")
-    return tables["orders"].where(c("o_d_id") == d_id).drop("o_orderline").join(districts, c("o_d_id") == c("d_id"))
+    return once_each(tables["orders"]).where(c("o_d_id") == d_id).drop("o_orderline").join(districts, c("o_d_id") == c("d_id"))
 
 
 def district_order_counts(tables: Tables) -> DataFrame:
@@ -355,7 +378,7 @@ def district_order_counts(tables: Tables) -> DataFrame:
 
     Orders are summed per district number first: ten rows meet the districts.
     """
-    per_number = tables["orders"].groupBy("o_d_id").agg(
+    per_number = once_each(tables["orders"]).groupBy("o_d_id").agg(
         F.count("*").alias("orders"), F.sum("o_ol_cnt").alias("lines"), F.max("o_entry_d").alias("latest")
     )
     joined = tables["district"].select("d_w_id", "d_id", "d_next_o_id").join(per_number, c("o_d_id") == c("d_id"))

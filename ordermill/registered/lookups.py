@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.draws import last_name, nurand
 from ordermill.functions.expr import shaped
+from ordermill.operators.reshape import once_each
 from ordermill.plans import lookups
 from ordermill.plans.layouts import Nested
 from ordermill.registered import Entries, Query
@@ -78,7 +79,7 @@ def _lookup_sql(table: str) -> str:
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = loaded_store(spark, sf_dir)
-    found = lookups.order_lines_by_key(store.whole_documents(), _keys(store, "orders"))
+    found = lookups.order_lines_by_key(store.table("orders"), _keys(store, "orders"))
     lines = found.select("o_w_id", "o_d_id", "o_id", "o_entry_d", F.explode("o_orderline").alias("ol"))
     return lines.select("o_w_id", "o_d_id", "o_id", "o_entry_d", c("ol.ol_number").alias("ol_number"), c("ol.ol_i_id").alias("ol_i_id"), c("ol.ol_amount").alias("ol_amount"))
 
@@ -98,13 +99,13 @@ def _windows(store: LoadedStore) -> DataFrame:
 
 def _range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = loaded_store(spark, sf_dir)
-    counts = lookups.window_counts(store.table("orders").select("o_entry_d"), _windows(store), ["minutes", "low", "high"])
+    counts = lookups.window_counts(once_each(store.table("orders")).select("o_entry_d"), _windows(store), ["minutes", "low", "high"])
     return shaped(counts, "minutes int, low timestamp_ntz, high timestamp_ntz, orders bigint")
 
 
 def _range_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = loaded_store(spark, sf_dir)
-    found = lookups.orders_in_windows(store.table("orders").select("o_id", "o_entry_d"), _windows(store))
+    found = lookups.orders_in_windows(once_each(store.table("orders")).select("o_id", "o_entry_d"), _windows(store))
     return shaped(found, "minutes int, o_id bigint, o_entry_d timestamp_ntz")
 
 
@@ -143,7 +144,7 @@ def _skewed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _last_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = loaded_store(spark, sf_dir).table("orders")
+    orders = once_each(loaded_store(spark, sf_dir).table("orders"))
     names = orders.select(last_name(c("o_id") % 1000).alias("last_name")).groupBy("last_name").agg(F.count("*").alias("n"))
     return shaped(names, "last_name string, n bigint")
 

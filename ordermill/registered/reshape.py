@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import shaped
-from ordermill.operators.reshape import explode_children, flatten_structs, keep_first, nest_children, to_flat, to_toplevel
+from ordermill.operators.reshape import explode_children, flatten_structs, folded, keep_first, nest_children, to_flat, to_toplevel
 from ordermill.registered import Entries, Query
 from ordermill.sources.schemas import key_projection
 from ordermill.sources.store import loaded_store
@@ -19,22 +19,23 @@ CUSTOMER = "c_id bigint, c_d_id bigint, c_w_id bigint"
 def _on(table: str, step) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = loaded_store(spark, sf_dir)
-        return step(store.whole_documents() if table == "orders" else store.table(table))
+        return step(store.table(table))
 
     return run
 
 
 def _nested_again(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat header and child table back to documents, shown by what each document holds."""
+    """Flat header and child table back to documents (in parts), shown by what each document holds."""
     store = loaded_store(spark, sf_dir)
-    header = store.table("orders_header")
-    docs = nest_children(header, store.table("orders_orderline"), ["o_id", "o_d_id", "o_w_id"], "o_orderline")
-    first, last = F.get("o_orderline", F.lit(0)), F.get("o_orderline", F.size("o_orderline") - 1)
+    header, keys = store.table("orders_header"), ["o_id", "o_d_id", "o_w_id"]
+    docs = nest_children(header, store.table("orders_orderline"), keys, "o_orderline", store.part_lines, "o_ol_cnt")
+    pieces = F.aggregate("o_orderline.ol_quantity", F.lit(0).cast("bigint"), lambda s, q: s + q)
+    shown = folded(docs, keys, {
+        "lines": (F.size("o_orderline"), F.sum), "pieces": (pieces, F.sum),
+        "first": (F.get("o_orderline", F.lit(0)), F.min), "last": (F.get("o_orderline", F.size("o_orderline") - 1), F.max),
+    })
     return shaped(
-        docs.select(
-            "o_id", "o_w_id", "o_d_id", F.size("o_orderline").alias("lines"), first["ol_i_id"].alias("first_item"), last["ol_i_id"].alias("last_item"),
-            F.aggregate("o_orderline.ol_quantity", F.lit(0).cast("bigint"), lambda s, q: s + q).alias("pieces"),
-        ),
+        shown.withColumns({"first_item": c("first.ol_i_id"), "last_item": c("last.ol_i_id")}),
         "o_id bigint, o_w_id bigint, o_d_id bigint, lines bigint, first_item bigint, last_item bigint, pieces bigint",
     )
 

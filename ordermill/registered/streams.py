@@ -21,7 +21,7 @@ c = F.col
 def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders filed as JSON arrive in a columnar table."""
     source, target, checkpoint = (fresh_path(spark, n) for n in ("landing", "ingested", "ingest-checkpoint"))
-    text_dates("orders", loaded_store(spark, sf_dir).whole_documents()).write.json(source)
+    text_dates("orders", loaded_store(spark, sf_dir).table("orders")).write.json(source)
     jobs.ingest_documents(spark, source, target, checkpoint, "orders", files_per_batch=4).awaitTermination()
     lines = spark.read.parquet(target).select("o_id", "o_w_id", "o_entry_d", F.explode_outer("o_orderline").alias("ol"))
     return shaped(
@@ -43,7 +43,8 @@ def _apply(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = spark.readStream.schema(requests.schema).parquet(source)
         jobs.apply_orders(stream, applied, checkpoint).awaitTermination()
     return shaped(
-        applied.results().withColumn("left_in_stock", F.aggregate("items.left_in_stock", F.lit(0).cast("bigint"), lambda s, x: s + x)),
+        applied.results().withColumn("left_in_part", F.aggregate("items.left_in_stock", F.lit(0).cast("bigint"), lambda s, x: s + x))
+        .groupBy("seq", "w_id", "d_id", "o_id", "total").agg(F.sum("left_in_part").alias("left_in_stock")),
         "seq bigint, w_id bigint, d_id bigint, o_id bigint, total double, left_in_stock bigint",
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import plus_days, shaped
+from ordermill.operators.reshape import folded, once_each
 from ordermill.plans import transactions as txn
 from ordermill.registered import Entries, Query
 from ordermill.sources.store import loaded_store
@@ -20,7 +21,7 @@ TABLES = ("district", "warehouse", "orders", "neworder", "customer", "stock", "i
 
 def document_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
     store = loaded_store(spark, sf_dir)
-    return {name: store.whole_documents() if name == "orders" else store.table(name) for name in names}
+    return {name: store.table(name) for name in names}
 
 
 # -- requests -----------------------------------------------------------------------------
@@ -73,7 +74,7 @@ def payment_requests(t: dict[str, DataFrame]) -> DataFrame:
     """One payment per order; three in five by name, one in seven at a remote warehouse."""
     o, w = c("o_id"), c("o_w_id")
     by_name = o % 5 < 3
-    return t["orders"].select(
+    return once_each(t["orders"]).select(
         o.alias("seq"), w.alias("w_id"), c("o_d_id").alias("d_id"),
         F.when(o % 7 == 0, 1 + w % 4).otherwise(w).alias("c_w_id"), c("o_d_id").alias("c_d_id"),
         F.when(~by_name, c("o_c_id")).alias("c_id"),
@@ -103,7 +104,8 @@ def order_requests(t: dict[str, DataFrame]) -> DataFrame:
     return t["orders"].select(
         c("o_id").alias("seq"), c("o_w_id").alias("w_id"), c("o_d_id").alias("d_id"), c("o_c_id").alias("c_id"), "o_entry_d",
         F.transform("o_orderline", lambda ol: F.struct(
-            (ol["ol_i_id"] + shift).alias("i_id"), ol["ol_supply_w_id"].alias("w_id"), ol["ol_quantity"].alias("qty"))).alias("lines"),
+            (ol["ol_i_id"] + shift).alias("i_id"), ol["ol_supply_w_id"].alias("w_id"), ol["ol_quantity"].alias("qty"), ol["ol_number"].alias("n"))).alias("lines"),
+        "o_part", "o_parts",
     )
 
 
@@ -135,8 +137,10 @@ def _run(step: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
 def _status(t: dict[str, DataFrame]) -> DataFrame:
     _, result = txn.order_status(t, status_requests(t))
     amount = F.aggregate("o_orderline.ol_amount", F.lit(0).cast("decimal(28,2)"), lambda s, a: (s + a.cast("decimal(18,2)")).cast("decimal(28,2)"))
+    header = ["seq", "w_id", "d_id", "c_id", "c_first", "c_last", "c_balance", "o_id", "o_carrier_id", "o_entry_d"]
+    parts = result.withColumns({"in_part": F.size(F.coalesce("o_orderline", F.array())), "of_part": amount})
     return shaped(
-        result.withColumns({"lines": F.size(F.coalesce("o_orderline", F.array())), "amount": amount}),
+        parts.groupBy(*header).agg(F.sum("in_part").alias("lines"), F.sum("of_part").alias("amount")),
         "seq bigint, w_id bigint, d_id bigint, c_id bigint, c_first string, c_last string, c_balance double, o_id bigint,"
         " o_carrier_id bigint, o_entry_d timestamp_ntz, lines bigint, amount double",
     )
@@ -146,18 +150,20 @@ def _delivered_orders(t: dict[str, DataFrame]) -> DataFrame:
     changed, _ = txn.delivery(t, delivery_requests(t))
     stamped = F.filter("o_orderline", lambda ol: ol["ol_delivery_d"] >= F.lit("2002-01-01").cast("timestamp_ntz"))
     return shaped(
-        changed["orders"].withColumn("stamped", F.size(stamped)), "o_id bigint, o_w_id bigint, o_d_id bigint, o_carrier_id bigint, stamped bigint"
+        folded(changed["orders"], ["o_id", "o_w_id", "o_d_id", "o_carrier_id"], {"stamped": (F.size(stamped), F.sum)}), "o_id bigint, o_w_id bigint, o_d_id bigint, o_carrier_id bigint, stamped bigint"
     )
 
 
 def _new_order_result(t: dict[str, DataFrame]) -> DataFrame:
     _, result = txn.new_order(t, order_requests(t))
+    parts = result.withColumns({
+        "in_part": F.size("items"),
+        "left_in_part": F.aggregate("items.left_in_stock", F.lit(0).cast("bigint"), lambda s, x: s + x),
+        "branded_in_part": F.size(F.filter("items.brand", lambda b: b == "B")),
+    })
     return shaped(
-        result.withColumns({
-            "lines": F.size("items"),
-            "left_in_stock": F.aggregate("items.left_in_stock", F.lit(0).cast("bigint"), lambda s, x: s + x),
-            "branded": F.size(F.filter("items.brand", lambda b: b == "B")),
-        }),
+        parts.groupBy("seq", "w_id", "d_id", "c_id", "o_id", "c_last", "c_credit", "total").agg(
+            F.sum("in_part").alias("lines"), F.sum("left_in_part").alias("left_in_stock"), F.sum("branded_in_part").alias("branded")),
         "seq bigint, w_id bigint, d_id bigint, c_id bigint, o_id bigint, c_last string, c_credit string, total double,"
         " lines bigint, left_in_stock bigint, branded bigint",
     )
@@ -166,7 +172,7 @@ def _new_order_result(t: dict[str, DataFrame]) -> DataFrame:
 def _changed(step, requests, table: str, columns: str) -> Query:
     def run(t: dict[str, DataFrame]) -> DataFrame:
         changed, _ = step(t, requests(t))
-        return shaped(changed[table], columns)
+        return shaped(once_each(changed[table]), columns)
 
     return _run(run)
 
@@ -229,8 +235,11 @@ def entries() -> Entries:
             with_views("SELECT no_o_id, no_d_id, no_w_id FROM d_neworder WHERE no_o_id NOT IN (SELECT o_id FROM taken)", DELIVERY_SQL),
         ),
         "txn_payment": (
-            _run(lambda t: shaped(txn.payment(t, payment_requests(t))[1], "seq bigint, w_id bigint, d_id bigint, c_w_id bigint, c_d_id bigint, c_id bigint, h_amount double")),
-            with_views("SELECT seq, w_id, d_id, c_w_id, c_d_id, c_id, h_amount FROM booked", PAYMENT_SQL),
+            _run(lambda t: shaped(txn.payment(t, payment_requests(t))[1], "seq bigint, w_id bigint, d_id bigint, c_w_id bigint, c_d_id bigint, c_id bigint, h_amount double, status string")),
+            with_views("""SELECT r.seq, r.w_id, r.d_id, r.c_w_id, r.c_d_id, coalesce(r.c_id, m.c_id) AS c_id, r.h_amount,
+                CASE WHEN k.c_id IS NULL THEN 'no customer' ELSE 'booked' END AS status
+                FROM requests r LEFT JOIN middle m ON r.c_id IS NULL AND m.c_w_id = r.c_w_id AND m.c_d_id = r.c_d_id AND m.c_last = r.c_last
+                LEFT JOIN d_customer k ON k.c_w_id = r.c_w_id AND k.c_d_id = r.c_d_id AND k.c_id = coalesce(r.c_id, m.c_id)""", PAYMENT_SQL),
         ),
         "txn_payment_customer": (
             _changed(txn.payment, payment_requests, "customer",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import plus_days, supplier_key, ts
-from ordermill.operators.reshape import nest
+from ordermill.operators.reshape import PART, PART_LINES, PARTS, in_parts, nest
 
 WAREHOUSES = 4
 DISTRICTS = 10
@@ -243,10 +243,12 @@ class Bridge:
             _c("o_orderdate").alias("o_entry_d"),
         )
 
-    def _lines(self) -> DataFrame:
-        """Given lines under the document names; delivery as days after the order date."""
+    def _lines(self, placed: bool = False) -> DataFrame:
+        """Given lines under the document names; delivery as days after the order date; ``placed`` adds where a line stands."""
         p, n = _c("l_partkey"), _c("l_linenumber")
+        where = [_c("_metadata.file_name").alias("_file"), _c("_metadata.row_index").alias("_row")] if placed else []
         return self.given("lineitem").select(
+            *where,
             _c("l_orderkey").alias("o_id"),
             _big(n - 1).alias("ol_number"),
             p.alias("ol_i_id"),
@@ -270,23 +272,18 @@ class Bridge:
             F.concat(F.lit("D"), _text(_c("o_d_id"))).alias("ol_dist_info"),
         ]
 
-    def documents(self, header: DataFrame, oversized: DataFrame) -> DataFrame:
-        """Nested orders. Both sides hash on the order once; the grouping reuses that layout.
+    def documents(self, header: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
+        """Nested orders, in parts of about ``part_lines`` lines.
 
-        Orders in ``oversized`` keep an empty array: their lines are in ``lines_of``.
+        Lines are dealt to parts by where they stand in their file, so that also lines that look alike spread. Both
+        sides hash on order and part once; the grouping reuses that layout.
         """
-        lines = self._lines().join(oversized, "o_id", "left_anti")
-        joined = header.join(lines, "o_id", "left")
-        docs = nest(joined, header.columns, self._line_fields(), "o_orderline", present=_c("ol_number").isNotNull())
+        place = F.xxhash64("_file", "_row")
+        parents, lines = in_parts(header, self._lines(placed=True), ["o_id"], "o_ol_cnt", place, part_lines)
+        joined = parents.join(lines, ["o_id", PART], "left")
+        docs = nest(joined, parents.columns, self._line_fields(), "o_orderline", present=_c("ol_number").isNotNull())
         return docs.select(
-            "o_id", "o_c_id", "o_d_id", "o_w_id", "o_carrier_id", "o_ol_cnt", "o_all_local", "o_entry_d", "o_orderline"
-        )
-
-    def lines_of(self, header: DataFrame, orders: DataFrame) -> DataFrame:
-        """Lines of some orders as plain rows."""
-        chosen = header.join(orders, "o_id", "left_semi").drop("o_ol_cnt")
-        return chosen.join(self._lines().join(orders, "o_id", "left_semi"), "o_id").select(
-            "o_id", "o_d_id", "o_w_id", *self._line_fields()
+            "o_id", "o_c_id", "o_d_id", "o_w_id", "o_carrier_id", "o_ol_cnt", "o_all_local", "o_entry_d", PART, PARTS, "o_orderline"
         )
 
     def _order_header(self) -> DataFrame:

@@ -26,13 +26,13 @@ TASK_BYTES = 128 << 20
 
 def read_documents(spark: SparkSession, root: str, table: str, extra_fields: int = 0, typed: bool = True) -> DataFrame:
     """JSON-lines shards of one data set from ``root/table``, read with its schema."""
-    rows = spark.read.schema(document_schema(table, extra_fields=extra_fields)).json(f"{root.rstrip('/')}/{table}")
+    rows = spark.read.schema(document_schema(table, extra_fields=extra_fields, parts=True)).json(f"{root.rstrip('/')}/{table}")
     return typed_dates(table, rows) if typed else rows
 
 
 def read_flat_directory(spark: SparkSession, folder: str, table: str, extra_fields: int = 0, typed: bool = True) -> DataFrame:
     """All ``*.json`` files of one flat folder as one data set."""
-    reader = spark.read.schema(document_schema(table, extra_fields=extra_fields))
+    reader = spark.read.schema(document_schema(table, extra_fields=extra_fields, parts=True))
     rows = reader.option("pathGlobFilter", "*.json").json(folder)
     return typed_dates(table, rows) if typed else rows
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.operators.reshape import PART, PARTS, filed_parts, once_each, read_parts
+
 # Data volume per warehouse.
 ITEMS = 100_000
 SUPPLIERS = 10_000
@@ -89,9 +91,11 @@ def document_ddl(table: str, date_type: str = "STRING") -> str:
     return _DDL[table].replace("{date}", date_type)
 
 
-def document_schema(table: str, date_type: str = "STRING", extra_fields: int = 0) -> T.StructType:
-    """StructType of one data set, with the numbered filler columns where the files carry them."""
+def document_schema(table: str, date_type: str = "STRING", extra_fields: int = 0, parts: bool = False) -> T.StructType:
+    """StructType of one data set, with the numbered filler columns and the part numbers of orders where the files carry them."""
     schema = T.StructType.fromDDL(document_ddl(table, date_type))
+    if parts and table == "orders":
+        schema = schema.add(PART, T.LongType()).add(PARTS, T.LongType())
     prefix = {"customer": "c", "orders": "o", "item": "i"}.get(table)
     if extra_fields and prefix:
         for n in range(1, extra_fields + 1):
@@ -103,16 +107,16 @@ DOCUMENT_TABLES = list(_DDL)
 
 
 def typed_dates(table: str, df: DataFrame) -> DataFrame:
-    """Text dates to TIMESTAMP_NTZ, inside the order lines too."""
+    """Text dates to TIMESTAMP_NTZ, inside the order lines too, and part numbers of whole documents."""
     for name in DATE_COLUMNS.get(table, []):
         df = df.withColumn(name, F.col(name).cast("timestamp_ntz"))
     if table == "orders" and "o_orderline" in df.columns:
         df = df.withColumn("o_orderline", F.col("o_orderline").cast(f"ARRAY<{ORDERLINE.format(date='TIMESTAMP_NTZ')}>"))
-    return df
+    return read_parts(df)
 
 
 def text_dates(table: str, df: DataFrame) -> DataFrame:
-    """Timestamps back to the filed text form."""
+    """Timestamps back to the filed text form, and no part numbers for whole documents."""
 
     def text(c):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
@@ -124,9 +128,9 @@ def text_dates(table: str, df: DataFrame) -> DataFrame:
             "o_orderline",
             F.transform("o_orderline", lambda ol: ol.withField("ol_delivery_d", text(ol["ol_delivery_d"]))),
         )
-    return df
+    return filed_parts(df)
 
 
 def key_projection(table: str, df: DataFrame, name: str = "doc_key") -> DataFrame:
-    """Add the document key: primary-key values joined by dots."""
-    return df.withColumn(name, F.concat_ws(".", *[F.col(c).cast("string") for c in PRIMARY_KEYS[table]]))
+    """Add the document key: primary-key values joined by dots. Documents in parts are named once."""
+    return once_each(df).withColumn(name, F.concat_ws(".", *[F.col(c).cast("string") for c in PRIMARY_KEYS[table]]))

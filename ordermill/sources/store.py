@@ -12,13 +12,11 @@ paid once and not by each of the queries, and scans can prune columns and row gr
 
 from __future__ import annotations
 
-from functools import cached_property
 from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ordermill.operators.reshape import to_flat, to_toplevel
+from ordermill.operators.reshape import PART_LINES, to_flat, to_toplevel
 from ordermill.sources.bridge import Bridge
 from ordermill.sources.schemas import SUPPLIERS
 from ordermill.sources.workspace import fresh_path
@@ -51,16 +49,9 @@ def write_table(df: DataFrame, path: str, table: str = "") -> None:
     (df.sortWithinPartitions(*keys) if keys else df).write.parquet(path)
 
 
-# A document is one row. An order with more lines than this is not nested: its lines stay rows.
-MAX_DOCUMENT_LINES = 1_000_000
-
-
 class FolderStore:
     """Parquet tables under one folder; ``suppliers`` is the modulus of the supplier rule.
-    Its documents hold all their lines."""
-
-    max_document_lines = MAX_DOCUMENT_LINES
-    apart: DataFrame | None = None
+    Its documents are whole or in parts, see ``operators/reshape.py``."""
 
     def __init__(self, spark: SparkSession, folder: str, suppliers: int = SUPPLIERS):
         self.spark = spark
@@ -77,9 +68,9 @@ class FolderStore:
 class LoadedStore:
     """Document tables of one folder of given tables, written on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, max_document_lines: int = MAX_DOCUMENT_LINES):
+    def __init__(self, spark: SparkSession, sf_dir: str, part_lines: int = PART_LINES):
         self.spark = spark
-        self.max_document_lines = max_document_lines
+        self.part_lines = part_lines
         self.bridge = Bridge(spark, sf_dir)
         self.folder = fresh_path(spark, "store")
         self._tables: dict[str, DataFrame] = {}
@@ -89,30 +80,11 @@ class LoadedStore:
     def suppliers(self) -> int:
         return self.bridge.suppliers
 
-    @cached_property
-    def apart(self) -> DataFrame | None:
-        """Lines of the orders that are too large for a document, if there are any.
-
-        Which orders those are is a small written table, so that its size is known when the
-        joins with it are planned.
-        """
-        return None if self.table("orders_oversized").isEmpty() else self.table("orders_apart")
-
-    def whole_documents(self) -> DataFrame:
-        """Orders for jobs that hand out or rewrite documents, which then must hold all lines."""
-        if self.apart is not None:
-            raise ValueError("an order here has too many lines for a document; use the flat layout")
-        return self.table("orders")
-
     def _derive(self, name: str) -> DataFrame:
         if name == "orders_header":
             return self.bridge.table("order_header")
-        if name == "orders_oversized":
-            return self.table("orders_header").where(F.col("o_ol_cnt") > self.max_document_lines).select("o_id")
         if name == "orders":
-            return self.bridge.documents(self.table("orders_header"), self.table("orders_oversized"))
-        if name == "orders_apart":
-            return self.bridge.lines_of(self.table("orders_header"), self.table("orders_oversized"))
+            return self.bridge.documents(self.table("orders_header"), self.part_lines)
         if name == "toplevel_customer":
             return to_toplevel("customer", self.table("customer"))
         if name in _FLAT_PARTS:

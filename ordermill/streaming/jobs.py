@@ -18,7 +18,7 @@ def ingest_documents(spark: SparkSession, source: str, target: str, checkpoint:
     The file source logs which files it took and the sink commits per batch, so a restart from
     the same checkpoint neither repeats nor skips a file.
     """
-    rows = spark.readStream.schema(document_schema(table)).option("maxFilesPerTrigger", files_per_batch).json(source)
+    rows = spark.readStream.schema(document_schema(table, parts=True)).option("maxFilesPerTrigger", files_per_batch).json(source)
     return (
         typed_dates(table, rows).writeStream.format("parquet").option("path", target)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -86,7 +86,7 @@ class ChangedTables:
 def apply_orders(requests: DataFrame, tables: ChangedTables, checkpoint: str) -> StreamingQuery:
     """A stream of new-order requests, each micro-batch applied with the batch function.
 
-    ``seq`` must grow from batch to batch.
+    ``seq`` must grow from batch to batch; the parts of one request come in one batch.
     """
     return (
         requests.writeStream.foreachBatch(tables.apply).option("checkpointLocation", checkpoint)

@@ -120,7 +120,8 @@ def test_payment(documents, mix):
     assert by_key(changed["customer"], "c_w_id", "c_d_id", "c_id") == people
     assert {r.w_id: r.w_ytd for r in changed["warehouse"].collect()} == w_ytd
     assert changed["district"].agg(F.round(F.sum("d_ytd"), 2)).first()[0] == pytest.approx(sum(w_ytd.values()))
-    assert changed["history"].count() == documents["history"].count() + applied == documents["history"].count() + result.count()
+    assert changed["history"].count() == documents["history"].count() + applied == documents["history"].count() + result.where("status = 'booked'").count()
+    assert result.count() == requests.count()
 
 
 def test_delivery(documents, mix):
@@ -157,7 +158,10 @@ def test_order_status_and_stock_level(documents, mix):
     newest = {}
     for (w, d, o), doc in orders.items():
         newest[(w, d, doc["o_c_id"])] = max(o, newest.get((w, d, doc["o_c_id"]), 0))
-    rows = status.collect()
+    assert {r.seq for r in status.collect()} == {r.seq for r in requests_of(mix, "order_status").collect()}
+    nobody = requests_of(mix, "order_status").limit(2).withColumns({"c_id": F.lit(None).cast("bigint"), "c_last": F.lit("NOBODY")})
+    assert {(r.status, r.c_last, r.o_id) for r in txn.order_status(documents, nobody)[1].collect()} == {("no customer", "NOBODY", None)}
+    rows = status.where("status = 'found'").collect()
     assert rows and all(r.o_id == newest[(r.w_id, r.d_id, r.c_id)] for r in rows)
     requests = requests_of(mix, "stock_level")
     _, levels = txn.stock_level(documents, requests)
