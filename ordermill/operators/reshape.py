@@ -151,6 +151,28 @@ def read_parts(docs: DataFrame) -> DataFrame:
     return docs.withColumns({PART: F.coalesce(PART, F.lit(0)), PARTS: F.coalesce(PARTS, F.lit(1))}) if PART in docs.columns else docs
 
 
+# -- delivery zones ------------------------------------------------------------------------
+#
+# Scans cannot skip rows by what is inside an array. A stored order therefore carries the first and the last delivery
+# of its lines (of its part) as plain columns; files that are ranged by entry date have narrow zones.
+
+FIRST_DELIVERY, LAST_DELIVERY = "o_first_delivery", "o_last_delivery"
+ZONES = (FIRST_DELIVERY, LAST_DELIVERY)
+
+
+def with_zones(orders: DataFrame) -> DataFrame:
+    deliveries = "o_orderline.ol_delivery_d"
+    return orders.withColumns({FIRST_DELIVERY: F.array_min(deliveries), LAST_DELIVERY: F.array_max(deliveries)})
+
+
+def in_zone(orders: DataFrame, low: Column | None, high: Column | None) -> DataFrame:
+    """Orders that may have a line delivered from ``low`` to ``high``; all where zones are not known."""
+    if FIRST_DELIVERY not in orders.columns:
+        return orders
+    orders = orders if low is None else orders.where(F.col(LAST_DELIVERY) >= low)
+    return orders if high is None else orders.where(F.col(FIRST_DELIVERY) <= high)
+
+
 def once_each(docs: DataFrame) -> DataFrame:
     """One row per document, without the part columns: that of part 0."""
     return docs.where(F.col(PART) == 0).drop(PART, PARTS) if PART in docs.columns else docs

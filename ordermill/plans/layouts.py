@@ -11,14 +11,16 @@ from __future__ import annotations
 
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import cents, cents_total, code_point, supplier_key
-from ordermill.operators.reshape import PART, PARTS, folded, once_each, with_parts
+from ordermill.operators.reshape import LAST_DELIVERY, PART, PARTS, ZONES, folded, in_zone, once_each, with_parts
 
 ORDER_KEY = ["o_w_id", "o_d_id", "o_id"]
 CUSTOMER_KEY = ["c_w_id", "c_d_id", "c_id"]
+Period = tuple[Column | None, Column | None]
+_OF_PARTS = ("o_orderline", PART, PARTS, *ZONES)
 LINE = ("ol_number", "ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_quantity", "ol_amount")
 
 
@@ -39,6 +41,8 @@ class Store(Protocol):
 
     def table(self, name: str) -> DataFrame: ...
 
+    def zoned(self, name: str) -> DataFrame: ...
+
 
 class Nested:
     """Documents as filed: struct name, arrays of addresses, phones and order lines."""
@@ -61,27 +65,31 @@ class Nested:
 
     def orders(self) -> DataFrame:
         """Orders by part: a condition on columns of the order holds for all its parts."""
-        return with_parts(self.store.table("orders"))
+        return with_parts(self.store.zoned("orders"))
 
     def once_each(self, orders: DataFrame) -> DataFrame:
         """One row per order, for counting."""
         return once_each(orders)
 
-    def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE) -> DataFrame:
-        """One row per order line: the asked line fields beside the columns of the order."""
-        orders = self.orders() if orders is None else orders
-        return unnest(orders, "o_orderline", fields, [c for c in orders.columns if c not in ("o_orderline", PART, PARTS)])
+    def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE, delivered: Period = (None, None)) -> DataFrame:
+        """One row per order line: the asked line fields beside the columns of the order.
+
+        ``delivered`` bounds the deliveries the caller will ask for: orders, and files, whose zones are outside are not read.
+        """
+        orders = in_zone(self.orders() if orders is None else orders, *delivered)
+        return unnest(orders, "o_orderline", fields, [c for c in orders.columns if c not in _OF_PARTS])
 
     def with_total(self, orders: DataFrame | None = None) -> DataFrame:
         """Orders (all without an argument) that have lines, one row each, with the sum of their amounts in cents as ``o_total``."""
         orders = self.orders() if orders is None else orders
         add = F.aggregate("o_orderline.ol_amount", F.lit(0).cast("bigint"), lambda total, amount: total + cents(amount))
-        columns = [c for c in orders.columns if c not in ("o_orderline", PART, PARTS)]
+        columns = [c for c in orders.columns if c not in _OF_PARTS]
         return folded(orders.where(F.size("o_orderline.ol_amount") > 0), columns, {"o_total": (add, F.sum)})
 
     def with_latest(self, orders: DataFrame) -> DataFrame:
         """Orders by part that have a delivered line in any part, with the latest delivery of the order as ``o_latest``."""
-        inside = orders.withColumn("o_latest", F.array_max("o_orderline.ol_delivery_d"))
+        known = LAST_DELIVERY in orders.columns
+        inside = orders.withColumn("o_latest", F.col(LAST_DELIVERY) if known else F.array_max("o_orderline.ol_delivery_d"))
         whole = inside.where((F.col(PARTS) == 1) & F.col("o_latest").isNotNull())
         several = inside.where(F.col(PARTS) > 1)
         latest = several.where(F.col("o_latest").isNotNull()).groupBy(*ORDER_KEY).agg(F.max("o_latest").alias("o_latest"))
@@ -142,7 +150,7 @@ class Flat(Nested):
     def once_each(self, orders: DataFrame) -> DataFrame:
         return orders
 
-    def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE) -> DataFrame:
+    def lines(self, orders: DataFrame | None = None, fields: tuple[str, ...] = LINE, delivered: Period = (None, None)) -> DataFrame:
         rows = self.store.table("orders_orderline").select(*ORDER_KEY, *fields)
         return rows if orders is None else orders.join(rows, ORDER_KEY)
 

@@ -72,7 +72,7 @@ def q07(t: Nested, nation_a: str = "Germany", nation_b: str = "Cambodia", first:
     pair = t.table("nation").where(c("n_name").isin(nation_a, nation_b)).select("n_nationkey", "n_name")
     sellers = suppliers_of(t, pair).select("su_suppkey", c("su_nationkey").alias("supp_nation"), opposite.alias("to_name"))
     buyers = customers_of(t, pair).select(*CUSTOMER_KEY, initial(c("c_state")).alias("cust_nation"), c("n_name").alias("c_name"))
-    lines = t.lines(t.orders(), ("ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_amount")).where(
+    lines = t.lines(t.orders(), ("ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_amount"), (ts(first), ts(last))).where(
         c("ol_delivery_d").between(ts(first), ts(last))
     ).withColumn("supplier_no", supplier_key(c("ol_supply_w_id"), c("ol_i_id"), t.suppliers))
     sold = lines.join(sellers, c("supplier_no") == c("su_suppkey")).withColumn("l_year", F.year("o_entry_d"))

@@ -15,7 +15,7 @@ c = F.col
 
 def q01(t: Nested, since: str = "2014-07-01 00:00:00") -> DataFrame:
     """Quantity and amount per line number, for lines delivered after a date."""
-    lines = t.lines(None, ("ol_number", "ol_delivery_d", "ol_quantity", "ol_amount")).where(c("ol_delivery_d") > ts(since))
+    lines = t.lines(None, ("ol_number", "ol_delivery_d", "ol_quantity", "ol_amount"), (ts(since), None)).where(c("ol_delivery_d") > ts(since))
     sums = lines.groupBy("ol_number").agg(
         F.sum("ol_quantity").alias("sum_qty"),
         cents_total(c("ol_amount")).alias("cents"),
@@ -44,7 +44,7 @@ def q04(t: Nested, start: str = "2015-07-01 00:00:00", months: int = 3, weeks: i
 
 def q06(t: Nested, year: int = 2016, min_amount: float = 600.0) -> DataFrame:
     """Revenue of the lines delivered in a year above an amount."""
-    lines = t.lines(None, ("ol_delivery_d", "ol_amount")).where(
+    lines = t.lines(None, ("ol_delivery_d", "ol_amount"), (ts(f"{year}-01-01 00:00:00"), ts(f"{year + 1}-01-01 00:00:00"))).where(
         year_range(c("ol_delivery_d"), year) & (c("ol_amount") > min_amount)
     )
     return shaped(lines.agg(from_cents(cents_total(c("ol_amount"))).alias("revenue")), "revenue double")
@@ -58,7 +58,7 @@ def q12(t: Nested, year: int = 2016, carriers: tuple[int, int] = (1, 2)) -> Data
     """
     upper = ts(f"{year + 1}-01-01 00:00:00")
     orders = t.orders().where(c("o_entry_d") < upper)
-    lines = t.lines(orders, ("ol_delivery_d",)).where(
+    lines = t.lines(orders, ("ol_delivery_d",), (ts(f"{year}-01-01 00:00:00"), upper)).where(
         year_range(c("ol_delivery_d"), year) & (c("o_entry_d") <= c("ol_delivery_d"))
     )
     high = c("o_carrier_id").isin(*carriers)
@@ -88,7 +88,7 @@ def q13(t: Nested, carrier_above: int = 8) -> DataFrame:
 
 def q14(t: Nested, start: str = "2017-09-01 00:00:00", months: int = 1, prefix: str = "pr") -> DataFrame:
     """Share of promoted items in a month's revenue, in percent."""
-    lines = t.lines(None, ("ol_i_id", "ol_delivery_d", "ol_amount")).where(
+    lines = t.lines(None, ("ol_i_id", "ol_delivery_d", "ol_amount"), (ts(start), months_after(start, months))).where(
         within(c("ol_delivery_d"), ts(start), months_after(start, months))
     )
     per_item = lines.groupBy("ol_i_id").agg(cents_total(c("ol_amount")).alias("amount"))

@@ -58,7 +58,7 @@ def q15(t: Nested, start: str = "2018-01-01 00:00:00", months: int = 3) -> DataF
     Revenue is summed in whole cents, so the comparison with its own maximum is exact however often
     the sum is computed.
     """
-    lines = t.lines(None, ("ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_amount")).where(
+    lines = t.lines(None, ("ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_amount"), (ts(start), months_after(start, months))).where(
         within(c("ol_delivery_d"), ts(start), months_after(start, months))
     )
     per_stock = lines.groupBy("ol_supply_w_id", "ol_i_id").agg(cents_total(c("ol_amount")).alias("amount"))
@@ -97,7 +97,7 @@ def q20(t: Nested, prefix: str = "co", nation: str = "Germany", start: str = "20
     meets stock as one row per item.
     """
     items = t.table("item").where(c("i_data").startswith(prefix)).select("i_id")
-    lines = t.lines(None, ("ol_i_id", "ol_delivery_d", "ol_quantity")).where(
+    lines = t.lines(None, ("ol_i_id", "ol_delivery_d", "ol_quantity"), (ts(start), months_after(start, months))).where(
         within(c("ol_delivery_d"), ts(start), months_after(start, months))
     )
     ordered = lines.join(items, c("ol_i_id") == c("i_id"), "left_semi").groupBy("ol_i_id").agg(

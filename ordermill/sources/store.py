@@ -16,7 +16,7 @@ from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.operators.reshape import PART_LINES, to_flat, to_toplevel
+from ordermill.operators.reshape import PART, PART_LINES, ZONES, to_flat, to_toplevel, with_zones
 from ordermill.sources.bridge import Bridge
 from ordermill.sources.schemas import SUPPLIERS
 from ordermill.sources.workspace import fresh_path
@@ -44,7 +44,16 @@ _FLAT_PARTS = {
 }
 
 
+# Files of these tables are ranges of their rows; the key behind the date splits a date of very many rows.
+RANGED = {"orders": ["o_entry_d", "o_w_id", "o_d_id", "o_id", PART]}
+
+
 def write_table(df: DataFrame, path: str, table: str = "") -> None:
+    """Parquet rows in clustering order; orders in date ranges and with their delivery zones."""
+    if table == "orders" and "o_orderline" in df.columns:
+        df = with_zones(df)
+    if table in RANGED:
+        df = df.repartitionByRange(*[c for c in RANGED[table] if c in df.columns])
     keys = [c for c in CLUSTERING.get(table, []) if c in df.columns]
     (df.sortWithinPartitions(*keys) if keys else df).write.parquet(path)
 
@@ -59,11 +68,15 @@ class FolderStore:
         self.suppliers = suppliers
         self._tables: dict[str, DataFrame] = {}
 
-    def table(self, name: str) -> DataFrame:
+    def zoned(self, name: str) -> DataFrame:
+        """The table as written, with delivery zones if it has them."""
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}")
         return self._tables[name]
 
+    def table(self, name: str) -> DataFrame:
+        return self.zoned(name).drop(*ZONES)
+
 
 class LoadedStore:
     """Document tables of one folder of given tables, written on first use."""
@@ -100,13 +113,17 @@ class LoadedStore:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def table(self, name: str) -> DataFrame:
+        return self.zoned(name).drop(*ZONES)
+
+    def zoned(self, name: str) -> DataFrame:
         """The table as written; files are listed once and the schema is known without reading."""
         with self._lock:
             if name not in self._tables:
                 path = f"{self.folder}/{name}"
                 derived = self._derive(name)
                 write_table(derived, path, name)
-                self._tables[name] = self.spark.read.schema(derived.schema).parquet(path)
+                schema = with_zones(derived).schema if name == "orders" else derived.schema
+                self._tables[name] = self.spark.read.schema(schema).parquet(path)
             return self._tables[name]
 
 

@@ -2,17 +2,19 @@
 
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from ordermill import twin_sql
 from ordermill.plans.catalog import ANALYTIC
 from ordermill.plans.fixture_params import FIXTURE_PARAMS
+from ordermill.operators.reshape import ZONES
 from ordermill.plans.layouts import LAYOUTS
 from ordermill.registered import registered
 from ordermill.registered import twin_sql as twin_sql_of
 from ordermill.sources import store as store_module
-from ordermill.sources.store import FolderStore, LoadedStore, loaded_store
+from ordermill.sources.store import FolderStore, LoadedStore, loaded_store, write_table
 from ordermill.synth.tables import Scale, Synth
 from tests.conftest import GIVEN, given_views, rows_of
 
@@ -46,6 +48,32 @@ def test_scans_are_pruned(spark, sf_dir):
     assert "c_addresses:array<struct<c_address_kind:string,c_state:string>>" in physical("q03")
 
 
+def test_a_month_reads_few_files(spark, tmp_path):
+    """Orders of seven years, stored in date ranges: what one month of entries or deliveries concerns, by the files' own statistics."""
+    days = "cast(date_add(date'2012-01-01', cast(pmod(id * 7919, 2500) as int)) as timestamp_ntz)"
+    lines = f"transform(sequence(0, 3), n -> struct(cast(n as bigint) as ol_number, {days} + make_dt_interval(2 + pmod(id + n * 37, 150)) as ol_delivery_d, 1.0D as ol_amount))"
+    orders = spark.range(20_000).selectExpr("id as o_id", "1L as o_d_id", "1L as o_w_id", f"{days} as o_entry_d", f"{lines} as o_orderline")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the data are small: as many files as ranges
+    write_table(orders.repartition(8), f"{tmp_path}/orders", "orders")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for column, low, high, most in (("o_entry_d", "2015-03-01", "2015-04-01", 2), ("delivery", "2015-03-01", "2015-04-01", 3)):
+        read = 0
+        files = sorted(tmp_path.glob("orders/*.parquet"))
+        for file in files:
+            groups = pq.ParquetFile(file).metadata
+            first, last = (column, column) if column == "o_entry_d" else ZONES
+            statistics = [{g.column(i).path_in_schema: g.column(i).statistics for i in range(g.num_columns)} for g in map(groups.row_group, range(groups.num_row_groups))]
+            read += any(str(s[first].min) < high and str(s[last].max) >= low for s in statistics)
+        assert len(files) == 8 and 1 <= read <= most, column
+    store = FolderStore(spark, str(tmp_path))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    month = LAYOUTS["nested"](store).lines(None, ("ol_delivery_d", "ol_amount"), tuple(F.lit(x).cast("timestamp_ntz") for x in ("2015-03-01", "2015-04-01")))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(o_last_delivery.*LessThanOrEqual\(o_first_delivery", month._jdf.queryExecution().executedPlan().toString())
+    inside = "ol_delivery_d >= '2015-03-01' AND ol_delivery_d < '2015-04-01'"
+    assert month.where(inside).count() == orders.selectExpr("inline(o_orderline)").where(inside).count() > 0
+    assert "o_first_delivery" not in store.table("orders").columns
+
+
 def test_synthesised_documents_answer_alike_in_all_layouts(spark, tmp_path):
     """The reference parameters on the document data set: nested, top-level and flat agree."""
     from ordermill.operators.reshape import to_flat, to_toplevel
