@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import epoch_seconds
@@ -51,21 +51,58 @@ def sample_key_space(spark, n: int, w: tuple[int, int], d: tuple[int, int], o: t
     )
 
 
+#: Levels that any range of 64-bit numbers is covered by.
+_LEVELS = 63
+
+
+def dyadic_cover(low: Column, high: Column) -> Column:
+    """The whole numbers from ``low`` to ``high`` as few blocks (level, block): ``block`` spans 2**level of them and starts at a multiple.
+
+    From level to level an end that is no boundary of the next level gives its block away, so that a range of n
+    numbers has at most two blocks per level, and about log2(n) levels. An empty range has none.
+    """
+    def step(state: Column, level: Column) -> Column:
+        a, b = state["a"], state["b"]
+        left = (a <= b) & (F.pmod(a, F.lit(2)) == 1)
+        rest = F.when(left, a + 1).otherwise(a)
+        right = (rest <= b) & (F.pmod(b, F.lit(2)) == 0)
+        back = F.when(right, b - 1).otherwise(b)
+        blocks = F.filter(
+            F.array(F.when(left, F.struct(level.alias("level"), a.alias("block"))), F.when(right, F.struct(level.alias("level"), b.alias("block")))),
+            lambda x: x.isNotNull(),
+        )
+        over = rest > back
+        return F.struct(
+            F.when(over, F.lit(1).cast("bigint")).otherwise(F.shiftright(rest, 1)).alias("a"),
+            F.when(over, F.lit(0).cast("bigint")).otherwise(F.shiftright(back, 1)).alias("b"),
+            F.concat(state["blocks"], blocks).alias("blocks"),
+        )
+
+    empty = F.array().cast("array<struct<level:int,block:bigint>>")
+    start = F.struct(low.cast("bigint").alias("a"), high.cast("bigint").alias("b"), empty.alias("blocks"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(_LEVELS)), start, step, lambda state: state["blocks"])
+
+
 def orders_in_windows(orders: DataFrame, windows: DataFrame, bin_minutes: int = 60) -> DataFrame:
     """Orders strictly inside time windows (columns ``low`` and ``high``).
 
-    Time is cut into bins. A window is repeated for every bin it touches, an order falls into
-    one, and the two meet by equality on the bin before the exact comparison.
+    Time is cut into bins. The bins a window touches are covered by few dyadic blocks, an order lies in one
+    block of every level, and the two meet by equality on level and block before the exact comparison: a window of
+    ten years is tens of rows. Orders are repeated only for the levels that occur, which is one if all windows are short.
     """
     width = bin_minutes * 60
 
     def bin_of(ts):
         return F.floor(epoch_seconds(ts) / width)
 
-    spread = windows.withColumn("_bin", F.explode(F.sequence(bin_of(c("low")), bin_of(c("high")))))
-    placed = orders.withColumn("_bin", bin_of(c("o_entry_d")))
+    spread = windows.withColumn("_at", F.explode(dyadic_cover(bin_of(c("low")), bin_of(c("high")))))
+    spread = spread.withColumns({"_level": c("_at.level"), "_block": c("_at.block")}).drop("_at")
+    levels = sorted(r[0] for r in spread.select("_level").distinct().collect())  # 64 at most
+    here = [F.struct(F.lit(n).alias("level"), F.shiftright(bin_of(c("o_entry_d")), n).alias("block")) for n in levels or [0]]
+    placed = orders.withColumn("_at", F.explode(F.array(*here)))
+    placed = placed.withColumns({"_level": c("_at.level"), "_block": c("_at.block")}).drop("_at")
     inside = (c("o_entry_d") > c("low")) & (c("o_entry_d") < c("high"))
-    return placed.join(spread, "_bin").where(inside).drop("_bin")
+    return placed.join(spread, ["_level", "_block"]).where(inside).drop("_level", "_block")
 
 
 def window_counts(orders: DataFrame, windows: DataFrame, by: list[str], bin_minutes: int = 60) -> DataFrame:

@@ -31,8 +31,8 @@ def total(x: Column) -> Column:
 
 
 def seconds(text: Column) -> Column:
-    """'12ms' and '1.2s' as seconds."""
-    number = F.regexp_extract(text, r"^([0-9.eE+-]+?)m?s$", 1).cast("double")
+    """'12ms' and '1.2s' as seconds, null for text that is no such time."""
+    number = F.regexp_extract(text, r"^([0-9.eE+-]+?)m?s$", 1).try_cast("double")
     return F.when(text.endswith("ms"), number / 1000.0).otherwise(number)
 
 
