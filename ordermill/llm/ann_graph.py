@@ -138,7 +138,17 @@ def _offer_back(x: np.ndarray, graph: np.ndarray, own: np.ndarray, degree: int,
             graph[some[k: k + 1024]] = pruned(x, some[k: k + 1024], cand[k: k + 1024], degree, alpha)
 
 
-_GRAPH = "dim int, shard int, rows int, vectors binary, edges binary, entry binary, ids binary, id_ends binary"
+_GRAPH = "dim int, shard int, rows int, core int, vectors binary, edges binary, entry binary, ids binary, id_ends binary"
+#: A vector is searched in single precision if its largest component is within these factors of the shard's median one.
+LARGEST, SMALLEST = 1e4, 1e-12
+
+
+def _sizes(x: np.ndarray) -> np.ndarray:
+    return np.abs(x).max(axis=1)
+
+
+def _like(sizes: np.ndarray, scale: float) -> np.ndarray:
+    return (sizes <= scale * LARGEST) & (sizes >= scale * SMALLEST)
 
 
 def _build_shard(key, table):
@@ -149,10 +159,16 @@ def _build_shard(key, table):
     ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     order = np.lexsort((np.minimum.reduceat(ids, np.cumsum(counts) - counts),))  # the same graph whatever order rows came in
     starts = np.cumsum(counts) - counts
-    x, flat = x[order], np.concatenate([ids[starts[i]: starts[i] + counts[i]] for i in order])
-    graph, entry = build((x / np.abs(x).max()).astype(np.float32))
+    x = x[order]
+    # Vectors of another order of size than most go behind the graph's; searches measure them all.
+    scale = float(np.median(_sizes(x)))
+    like = _like(_sizes(x), scale)
+    place, core = np.argsort(~like, kind="stable"), int(like.sum())
+    x, order = x[place], order[place]
+    flat = np.concatenate([ids[starts[i]: starts[i] + counts[i]] for i in order])
+    graph, entry = build((x[:core] / scale).astype(np.float32))
     return pa.table({
-        "dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "rows": pa.array([len(x)], pa.int32()),
+        "dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "rows": pa.array([len(x)], pa.int32()), "core": pa.array([core], pa.int32()),
         **{k: pa.array([v.tobytes()], pa.binary()) for k, v in (("vectors", x), ("edges", graph), ("entry", entry), ("ids", flat), ("id_ends", np.cumsum(counts[order])))},
     })
 
@@ -162,18 +178,20 @@ def _search_shard(k: int, beam: int):
         out_q, out_id, out_score = [], [], []
         if graphs.num_rows and queries.num_rows:
             dim = key[0].as_py()
-            row = {c: graphs.column(c)[0].as_py() for c in ("vectors", "edges", "entry", "ids", "id_ends")}
-            x = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
-            graph = np.frombuffer(row["edges"], np.int32).reshape(len(x), -1)
+            row = {c: graphs.column(c)[0].as_py() for c in ("core", "vectors", "edges", "entry", "ids", "id_ends")}
+            x, core = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim), row["core"]
+            graph = np.frombuffer(row["edges"], np.int32).reshape(core, -1)
             entry, ids, ends = np.frombuffer(row["entry"], np.int32), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["id_ends"], np.int64)
-            starts, scale = np.append(0, ends[:-1]), np.abs(x).max()
-            small = (x / scale).astype(np.float32)
+            starts, scale, rest = np.append(0, ends[:-1]), float(np.median(_sizes(x))), np.arange(core, len(x))
+            small = (x[:core] / scale).astype(np.float32)
             q = np.array(queries.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
             own = queries.column("query_id").to_numpy()
             for at in range(0, len(q), LOCKSTEP):
-                found, _ = greedy(small, graph, entry, (q[at: at + LOCKSTEP] / scale).astype(np.float32), max(beam, k + 1))
+                part = q[at: at + LOCKSTEP]
+                like = _sizes(part) <= scale * LARGEST
+                found, _ = greedy(small, graph, entry, (np.where(like[:, None], part, 0) / scale).astype(np.float32), max(beam, k + 1))
                 for i, nodes in enumerate(found):
-                    nodes = nodes[nodes >= 0]
+                    nodes = np.concatenate([nodes[nodes >= 0], rest]) if like[i] else np.arange(len(x))
                     score = np.sqrt(((x[nodes] - q[at + i]) ** 2).sum(axis=1))
                     flat = np.concatenate([ids[starts[v]: ends[v]] for v in nodes])
                     score = np.repeat(score, ends[nodes] - starts[nodes])

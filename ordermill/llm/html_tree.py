@@ -12,6 +12,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
@@ -33,9 +35,12 @@ _CLOSES = {
 #: Elements whose content is no text of the page. Formulas, drawings and fallback content (math, svg, canvas, object) are text like any other.
 _RAW = frozenset("script style title textarea iframe noembed noframes".split())
 _SPACED = frozenset("br hr img input wbr text mtd".split()) - {"wbr"}
+#: Elements that say what part of the page their descendants belong to.
+_PARTS = frozenset("article main nav aside header footer form section".split())
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)""", re.S)
+_MARKS = re.compile(r"""[>"']""")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _XMP_END = re.compile(r"</xmp(?=[\s/>])", re.I)
@@ -44,10 +49,29 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 TAG, PARENT, NAMES, PIECES, LINKED = range(5)
 
 
+def tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of all ``>`` and quotes, and for each the place of the ``>`` that ends a tag whose attributes go on there, -1 if none does.
+
+    Quoted text is skipped as a whole. Found from the end of the page backwards, in one pass.
+    """
+    marks = [(m.start(), m.group()) for m in _MARKS.finditer(page)]
+    ends, later = [-1] * (len(marks) + 1), {}
+    for i in range(len(marks) - 1, -1, -1):
+        place, mark = marks[i]
+        if mark == ">":
+            ends[i] = place
+        else:
+            ends[i] = ends[later[mark] + 1] if mark in later else -1
+            later[mark] = i
+    return [place for place, _ in marks], ends
+
+
 def parse(page: str) -> list[list]:
     """Nodes in page order as [tag, parent, names, text pieces, linked characters]; the root is node 0, text runs have tag ''."""
     nodes: list[list] = [["html", -1, (), None, 0]]
     stack, run, in_link, at = [0], -1, False, 0
+    opened: Counter = Counter()  # open elements by name
+    marks, ends = tag_ends(page)
 
     def add_text(raw: str, literal: bool = False) -> None:
         nonlocal run
@@ -62,7 +86,13 @@ def parse(page: str) -> list[list]:
             if in_link:
                 nodes[run][LINKED] += len(text)
 
+    def cut(depth: int) -> None:
+        opened.subtract(nodes[i][TAG] for i in stack[depth:])
+        del stack[depth:]
+
     def open_at(names, stops) -> int:
+        if not any(opened[name] for name in names):
+            return 0
         for depth in range(len(stack) - 1, 0, -1):
             tag = nodes[stack[depth]][TAG]
             if tag in names:
@@ -76,12 +106,18 @@ def parse(page: str) -> list[list]:
         if m is None:
             add_text(page[at:])
             break
-        add_text(page[at: m.start()])
-        at = m.end()
-        name = m.group(2) or m.group(5)
-        if name is None:
+        if m.group(2) is None:
+            add_text(page[at: m.start()])
+            at = m.end()
             continue
-        name, closing, attributes = name.lower(), m.group(1) or m.group(4), m.group(3) or m.group(6) or ""
+        end = ends[bisect_left(marks, m.end())]
+        if end < 0:  # a quote that is never closed is no quote
+            end = page.find(">", m.end())
+        if end < 0:
+            add_text(page[at:])
+            break
+        add_text(page[at: m.start()])
+        name, closing, attributes, at = m.group(2).lower(), m.group(1), page[m.end(): end], end + 1
         if name == "a":
             in_link = not closing
         elif name in _RAW:
@@ -92,16 +128,16 @@ def parse(page: str) -> list[list]:
             if name in _BLOCKS:
                 depth = open_at({name}, set() if name != "p" else _CLOSES_P - {"p"})
                 if depth:
-                    del stack[depth:]
+                    cut(depth)
                     run = -1
         elif name in _BLOCKS or name == "hr":
             run = -1
             if name in _CLOSES_P and (depth := open_at({"p"}, {"td", "th", "button", "template"})):
-                del stack[depth:]
+                cut(depth)
             if name in _CLOSES:
                 names, stops = _CLOSES[name]
                 while depth := open_at(names, stops):
-                    del stack[depth:]
+                    cut(depth)
             if name in ("html", "hr"):
                 continue
             found = [x for g in _NAMES.findall(attributes) for x in g if x] if attributes else []
@@ -110,6 +146,7 @@ def parse(page: str) -> list[list]:
                 words.add("hidden!")
             nodes.append([name, stack[-1], tuple(sorted(words)), None, 0])
             stack.append(len(nodes) - 1)
+            opened[name] += 1
             if name == "xmp" and (end := _XMP_END.search(page, at)):  # tags and references in it are its text
                 add_text(page[at: end.start()], literal=True)
                 at = end.start()
@@ -129,18 +166,19 @@ def features(nodes: list[list], texts: list[str]) -> list[list[str]]:
     for i in range(n - 1, 0, -1):
         length[nodes[i][PARENT]] += length[i]
         linked[nodes[i][PARENT]] += linked[i]
-    out = []
+    out, part = [], [""] * n
     for i, node in enumerate(nodes):
         tag = node[TAG]
+        part[i] = tag if tag in _PARTS or not i else part[node[PARENT]]
         size = min(8, length[i].bit_length())
         share = min(3, 4 * linked[i] // max(1, length[i])) if length[i] else 0
-        found = ["all", f"tag {tag}"]
+        found = ["all", f"tag {tag}", f"part {part[i]}"]
         if tag:
             found += [f"block size {size // 2}", f"block links {share}"]
             found += [f"name {w}" for w in node[NAMES]] + [f"stem {w[:4]}" for w in node[NAMES] if len(w) > 3]
         else:
             above = nodes[node[PARENT]][TAG]
-            found += [f"text size {size // 2}", f"text links {share}", f"text in {'h' if above in _HEADINGS else above}"]
+            found += [f"text size {size // 2}", f"text links {share}", f"text links {share} part {part[i]}", f"text in {'h' if above in _HEADINGS else above}"]
             if texts[i][-1:] in ".!?…":
                 found.append("text stop")
         out.append(found)
@@ -220,6 +258,10 @@ LABELLED = (
     '<body><header><h1>{w}</h1><p>{s}</p><p>{m}</p></header><nav><a href=1>{w}</a></nav><main data-main><p>{l}</p><ul><li>{s}</li></ul></main><aside><h2>{w}</h2><p>{m}</p></aside><footer><h3>{w}</h3><p>{m}</p></footer></body>',
     '<body><div class="header"><h1>{w}</h1><p>{m}</p></div><article data-main><h1>{w}</h1><p>{m}</p><p>{w}.</p></article><header><h2>{w}</h2><p>{m}</p></header></body>',
     '<body><p>{s}</p><article><header data-not><p>{s}</p></header><div data-main><p>{l}</p><p>{m}</p></div><footer data-not><p>{s}</p></footer></article><aside class="warning notice">{m}</aside></body>',
+    '<body><nav><ul><li><a href=1>{w}</a></li><li><a href=2>{s}</a></li></ul></nav><article data-main><h1>{s}</h1><p>{m}</p><ul><li><a href=1>{s}</a></li><li><a href=2>{w}</a></li><li><a href=3>{s}</a></li></ul><p>{l}</p></article><footer><ul><li><a href=1>{w}</a></li></ul></footer></body>',
+    '<body><header><p>{s}</p></header><main data-main><h1>{s}</h1><p>{l}</p><h2>{w}</h2><ol><li><a href=1>{s}</a></li><li><a href=2>{m}</a> {s}</li></ol><table><tr><td><a href=3>{s}</a></td><td>{w}</td></tr></table></main><aside><ul><li><a href=1>{s}</a></li><li><a href=2>{s}</a></li></ul></aside></body>',
+    '<body><nav><a href=1>{w}</a><a href=2>{w}</a></nav><article data-main><h2>{s}</h2><ul><li><a href=1>{s}</a></li><li><a href=2>{s}</a></li><li><a href=3>{s}</a></li></ul></article><div class="menu"><ul><li><a href=1>{s}</a></li><li><a href=2>{w}</a></li></ul></div><footer><p>{s}</p></footer></body>',
+    '<body><article data-main><p><a href=1>{s}</a></p><p><a href=2>{m}</a></p><p>{l}</p><h3>{w}</h3><ul><li>{s} <a href=1>{s}</a></li><li><a href=2>{w}</a></li></ul></article><nav><ul><li><a href=1>{s}</a></li></ul></nav><form><p>{s}</p></form></body>',
 )
 
 

@@ -50,6 +50,17 @@ def test_edges_ties_and_shards(spark):
     assert ann_graph.nearest(table.where("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_vectors_of_other_sizes_hide_nothing(spark):
+    r = np.random.default_rng(8)
+    rows = [(int(i), r.normal(size=6).tolist()) for i in range(1500)]
+    rows += [(1600, [1e30] * 6), (1601, [-1e30, 1e29, 0.0, 0.0, 0.0, 1.0]), (1602, [1e-25] * 6), (1700, [1e5] * 6), (1701, [1.1e5] * 6)]
+    rows += [(2000 + i, (1e-30 * r.normal(size=6)).tolist()) for i in range(20)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for shard_rows in (8192, 300):
+        got = ann_graph.nearest(table, F.col("vec_id") % 100 == 0, shard_rows=shard_rows).collect()
+        assert recall(got, brute(rows, 10)) >= 0.98
+
+
 def test_graph_keeps_degree_and_reaches_all():
     r = np.random.default_rng(1)
     x = r.normal(size=(700, 8)).astype(np.float32)

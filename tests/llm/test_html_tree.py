@@ -3,6 +3,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,23 @@ def test_drawings_formulas_and_fallback_are_text(tag, end):
     assert tags.count("p") == 4 and "footer" in tags
 
 
+def test_linked_lists_of_the_article_stay():
+    s = " ".join(S.split())
+    items = ["Alpha beta gamma", "Delta", "Epsilon zeta eta theta", "Iota kappa"]
+    listed = "<ul>" + "".join(f"<li><a href={i}>{x}</a></li>" for i, x in enumerate(items)) + "</ul>"
+    for before in ("", f"<p>{S * 3}</p>"):
+        page = f"<body><nav>{listed}</nav><article><h1>Head of it</h1>{before}{listed}<p>{S}</p></article><footer>{listed}</footer></body>"
+        assert text(page).split("\n") == ["Head of it", *[" ".join((S * 3).split())] * bool(before), *items, s]
+
+
+def test_hostile_pages_take_linear_time():
+    started = time.perf_counter()
+    for page in ("<p a='x " * 20_000, '<p a="x' * 20_001 + ">", "<div>" * 20_000 + "</p>" * 20_000, "<div><li>" * 8_000 + S, "<a b=\"'" * 20_000 + ">" * 20_000):
+        H.parse(page)
+    assert time.perf_counter() - started < 8
+    assert [("".join(n[3]) if n[3] else n[0]) for n in H.parse("<p title='a>b'>x</p><p a=\"1>y<p b='>z")] == ["html", "p", "x", "p", "y", "p", "z"]
+
+
 def test_literal_text_and_parts_of_drawings():
     def parsed(page):
         return ["".join(n[3]) for n in H.parse(page) if not n[0]]
