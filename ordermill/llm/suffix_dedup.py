@@ -34,6 +34,8 @@ GROUP_BYTES, BUCKET_ANCHORS, HOT_GROUPS = 4 << 20, 1 << 20, 64
 #: Bytes of text whose suffixes are sorted at once; an anchor's texts stay together.
 SORT_BYTES = 1 << 19
 _CHUNK = 1 << 23
+#: Bytes hashed at once: arrays of eight bytes per byte of text stay in cache.
+_PIECE = 1 << 16
 _NONE = np.iinfo(np.int64).max
 
 
@@ -44,7 +46,7 @@ class Anchors:
         self.width = width
         self.texts = []  # (first row, bytes, offsets)
         parts = []
-        for first, end, data, offsets in pieces(table.column("text"), 1 << 19):
+        for first, end, data, offsets in pieces(table.column("text"), _PIECE):
             self.texts.append((first, data, offsets))
             parts += [(first, len(self.texts) - 1, *found) for found in _anchors(data, offsets, width)]
         get = lambda k, kind: np.concatenate([p[k] for p in parts]).astype(kind) if parts else np.zeros(0, kind)
@@ -88,7 +90,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, width: int):
         part = data[begin: begin + _CHUNK + width - 1]
         if len(part) < width:
             break
-        grams = gram_hashes(part, GRAM)
+        grams, sums = gram_hashes(part, GRAM)
         low = (grams & ~np.uint64(0xFFFFFF)) | np.arange(len(grams), dtype=np.uint64)  # ties go to the first
         reach = 1
         while reach * 2 <= window:
@@ -103,7 +105,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, width: int):
         fresh = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (string[1:] != string[:-1] + 1) | (row[1:] != row[:-1])])
         cut = np.flatnonzero(fresh)
         first, last, anchor = string[cut], string[np.append(cut[1:], len(string)) - 1], anchor[cut]
-        mark = mix(rolling_hashes(part, first, last + width) + (anchor - first).astype(np.uint64))
+        mark = mix(rolling_hashes(part, first, last + width, sums) + (anchor - first).astype(np.uint64))
         yield row[cut], first + begin, last + begin, anchor - first, grams[anchor] >> np.uint64(24), mark
 
 

@@ -27,11 +27,12 @@ _FIRST_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1]
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers (in place where possible)."""
-    x = x ^ (x >> np.uint64(30))
+    shifted = x >> np.uint64(30)
+    x = x ^ shifted
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
+    x ^= np.right_shift(x, np.uint64(27), out=shifted)
     x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    x ^= np.right_shift(x, np.uint64(31), out=shifted)
     return x
 
 
@@ -94,27 +95,35 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def rolling_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """As ``span_hashes``, for spans that overlap and for numbers beyond a byte: one pass over the data; polynomial modulo 2**64."""
-    up, down = _power_tables(len(data) + 1)
+def _sums(data: np.ndarray) -> np.ndarray:
+    """Prefix sums that the polynomial hashes below are differences of."""
+    up, _ = _power_tables(len(data) + 1)
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    terms = data.astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= up[: len(data)]
+    np.cumsum(terms, out=sums[1:])
+    return sums
+
+
+def rolling_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """As ``span_hashes``, for spans that overlap and for numbers beyond a byte: one pass over the data; polynomial modulo 2**64."""
+    _, down = _power_tables(len(data) + 1)
+    sums = _sums(data) if sums is None else sums
     found = (sums[ends] - sums[starts]) * down[starts]
     found += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     return mix(found)
 
 
-def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
-    """``rolling_hashes`` of all ranges of ``width`` bytes, by start."""
-    up, down = _power_tables(len(data) + 1)
-    sums = np.empty(len(data) + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+def gram_hashes(data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``rolling_hashes`` of all ranges of ``width`` bytes, by start, and the sums for more hashes of the same data."""
+    _, down = _power_tables(len(data) + 1)
+    sums = _sums(data)
     found = sums[width:] - sums[:-width]
     found *= down[: len(found)]
     found += np.uint64(width * 0xD6E8FEB86659FD93 % 2**64)
-    return mix(found)
+    return mix(found), sums
 
 
 def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
