@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ordermill.operators.reshape import with_parts
 from ordermill.plans.transactions import new_order_changes, overlay
 from ordermill.sources.schemas import PRIMARY_KEYS, document_schema, typed_dates
 
@@ -40,7 +41,7 @@ class ChangedTables:
     def __init__(self, spark: SparkSession, folder: str, base: dict[str, DataFrame], since: int = 0):
         self.spark = spark
         self.folder = folder
-        self.base = base
+        self.base = base | {name: with_parts(base[name]) for name in ("orders",) if name in base}
         self.since = since
 
     def _changes(self, name: str, before: int) -> DataFrame:
