@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import MONEY_SUM, money, money_total
+from ordermill.operators.changes import laid_over, overlay, possible, without_keys
 from ordermill.operators.ordering import middle_row, running_total
 from ordermill.operators.reshape import PART, PARTS, folded, once_each, with_parts
 from ordermill.plans.layouts import ORDER_KEY
 from ordermill.sources.schemas import BAD_CREDIT, MAX_CUSTOMER_NOTE, NO_CARRIER, ORDERLINE, ORIGINAL, PRIMARY_KEYS
 
 Tables = dict[str, DataFrame]
+# Writes an intermediate result under a label and gives it back as read, or gives it back as it is.
+Keep = Callable[[DataFrame, str], DataFrame]
 c = F.col
 
 # Fixed values of the restocking rule: stock stays at ten or more, and refills by 91.
@@ -59,9 +62,8 @@ def stock_level(tables: Tables, requests: DataFrame, looked_at: int = ORDERS_LOO
         "seq", c("w_id").alias("o_w_id"), c("d_id").alias("o_d_id"), "threshold",
         F.explode(F.sequence(c("d_next_o_id") - looked_at, c("d_next_o_id") - 1)).alias("o_id"),
     )
-    lines = wanted.join(tables["orders"].select(*ORDER_KEY, "o_orderline.ol_i_id"), ORDER_KEY).select(
-        "seq", "threshold", "o_w_id", F.explode("ol_i_id").alias("ol_i_id")
-    ).distinct()
+    documents = possible(tables["orders"], wanted, ORDER_KEY).select(*ORDER_KEY, "o_orderline.ol_i_id")
+    lines = wanted.join(documents, ORDER_KEY).select("seq", "threshold", "o_w_id", F.explode("ol_i_id").alias("ol_i_id")).distinct()
     stock = tables["stock"].select("s_w_id", "s_i_id", "s_quantity")
     low = lines.join(
         stock, (c("o_w_id") == c("s_w_id")) & (c("ol_i_id") == c("s_i_id")) & (c("s_quantity") < c("threshold")), "left_semi"
@@ -89,7 +91,7 @@ def order_status(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame
     )
     latest = orders.join(owners, owned, "left_semi").groupBy("o_w_id", "o_d_id", "o_c_id").agg(F.max("o_id").alias("o_id"))
     documents = latest.join(
-        orders.select(*ORDER_KEY, "o_carrier_id", "o_entry_d", PART, "o_orderline"), ORDER_KEY
+        possible(orders, latest, ORDER_KEY).select(*ORDER_KEY, "o_carrier_id", "o_entry_d", PART, "o_orderline"), ORDER_KEY
     )
     status = F.when(c("_known").isNull(), "no customer").when(c("o_id").isNull(), "no order").otherwise("found")
     result = found.join(documents, owned, "left").select(
@@ -99,11 +101,17 @@ def order_status(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame
     return {}, result
 
 
-def delivery(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
+def _as_is(rows: DataFrame, label: str) -> DataFrame:
+    return rows
+
+
+def delivery(tables: Tables, requests: DataFrame, keep: Keep = _as_is) -> tuple[Tables, DataFrame]:
     """Deliver the oldest waiting order of every district of a warehouse.
 
     The n-th request for a warehouse takes the n-th oldest order of each of its districts.
     Requests: seq, w_id, o_carrier_id, ol_delivery_d. Result: one row per delivered order.
+    Documents, customers and waiting orders that do not change are not shuffled. All outputs follow from the orders taken
+    and what is owed for them; ``keep`` may write these two, see ``new_order_changes``.
     """
     numbered = running_total(requests, ["w_id"], ["seq"], {"place": F.lit(1)})
     waiting = tables["neworder"].join(requests.select(c("w_id").alias("no_w_id")).distinct(), "no_w_id", "left_semi")
@@ -112,45 +120,49 @@ def delivery(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
         "seq", c("w_id").alias("o_w_id"), c("no_d_id").alias("o_d_id"), c("no_o_id").alias("o_id"),
         c("o_carrier_id").alias("_carrier"), c("ol_delivery_d").alias("_delivered"),
     )
+    taken = keep(taken, "taken")
     key = {"no_w_id": "o_w_id", "no_d_id": "o_d_id", "no_o_id": "o_id"}
-    left_over = tables["neworder"].join(taken.select(*[c(v).alias(k) for k, v in key.items()]), list(key), "left_anti")
+    left_over = without_keys(tables["neworder"], taken.select(*[c(v).alias(k) for k, v in key.items()]), list(key))
+
+    def stamp(orders: DataFrame) -> DataFrame:
+        hit = c("_carrier").isNotNull()
+        stamped = F.transform("o_orderline", lambda ol: ol.withField("ol_delivery_d", c("_delivered")))
+        return orders.withColumns({
+            "o_carrier_id": F.when(hit, c("_carrier")).otherwise(c("o_carrier_id")),
+            "o_orderline": F.when(hit, stamped).otherwise(c("o_orderline")),
+        })
 
-    marked = tables["orders"].join(taken.drop("seq"), ORDER_KEY, "left")
-    hit = c("_carrier").isNotNull()
-    stamped = F.transform("o_orderline", lambda ol: ol.withField("ol_delivery_d", c("_delivered")))
-    orders = marked.withColumns({
-        "o_carrier_id": F.when(hit, c("_carrier")).otherwise(c("o_carrier_id")),
-        "o_orderline": F.when(hit, stamped).otherwise(c("o_orderline")),
-    }).select(tables["orders"].columns)
+    orders = laid_over(tables["orders"], taken.drop("seq"), ORDER_KEY, stamp)
 
     add = F.aggregate("o_orderline.ol_amount", F.lit(0).cast(MONEY_SUM), lambda t, a: (t + money(a)).cast(MONEY_SUM))
     # Money per part, then per order.
-    delivered = taken.join(tables["orders"].select(*ORDER_KEY, "o_c_id", add.alias("amount")), ORDER_KEY)
-    delivered = delivered.groupBy("seq", *ORDER_KEY, "o_c_id").agg(F.sum("amount").alias("amount"))
+    priced = possible(tables["orders"], taken, ORDER_KEY).select(*ORDER_KEY, "o_c_id", add.alias("amount"))
+    delivered = taken.join(priced, ORDER_KEY).groupBy("seq", *ORDER_KEY, "o_c_id").agg(F.sum("amount").alias("amount"))
+    delivered = keep(delivered, "delivered")
     owed = delivered.groupBy(c("o_w_id").alias("c_w_id"), c("o_d_id").alias("c_d_id"), c("o_c_id").alias("c_id")).agg(
         F.sum("amount").alias("_owed")
     )
-    customers = tables["customer"].join(owed, ["c_w_id", "c_d_id", "c_id"], "left").withColumn(
-        "c_balance", (money(c("c_balance")) + F.coalesce("_owed", F.lit(0))).cast("double")
-    ).select(tables["customer"].columns)
+    customers = laid_over(tables["customer"], owed, ["c_w_id", "c_d_id", "c_id"], lambda rows: rows.withColumn(
+        "c_balance", (money(c("c_balance")) + F.coalesce("_owed", F.lit(0))).cast("double")))
     result = delivered.select(
         "seq", c("o_w_id").alias("w_id"), c("o_d_id").alias("d_id"), "o_id", c("amount").cast("double").alias("amount")
     )
     return {"neworder": left_over, "orders": orders, "customer": customers}, result
 
 
-def payment(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
+def payment(tables: Tables, requests: DataFrame, keep: Keep = _as_is) -> tuple[Tables, DataFrame]:
     """Book payments on customers, districts and warehouses, and append them to history.
 
     The paying customer is the one of ``c_w_id`` and ``c_d_id``. A customer with bad credit gets
     a note in front of their text, cut to its longest length: only the newest notes can be part
     of what remains, so no more than those are brought together per customer. The result has a row for every request;
-    ``status`` is ``booked`` or ``no customer``.
+    ``status`` is ``booked`` or ``no customer``. Customers that do not pay are not shuffled; ``keep`` may write the answered
+    requests and the changes per customer, from which all outputs follow.
     """
     named = _named_customers(tables["customer"], requests, "c_w_id", "c_d_id")
     person = ["c_w_id", "c_d_id", "c_id"]
-    credit = tables["customer"].select(*person, "c_credit")
-    answered = named.join(credit.withColumn("_known", F.lit(True)), person, "left")
+    credit = possible(tables["customer"], named, person).select(*person, "c_credit")
+    answered = keep(named.join(credit.withColumn("_known", F.lit(True)), person, "left"), "answered")
     booked = answered.where("_known")
 
     def added(old: str, plus: str) -> Column:
@@ -168,12 +180,13 @@ def payment(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
         .agg(F.sort_array(F.collect_list(F.struct("_rank", "note"))).alias("_notes"))
         .select(*person, F.array_join("_notes.note", "").alias("_notes"))
     )
-    customers = tables["customer"].join(sums, person, "left").join(notes, person, "left").withColumns({
+    paid = keep(sums.join(notes, person, "left"), "paid")
+    customers = laid_over(tables["customer"], paid, person, lambda rows: rows.withColumns({
         "c_balance": (money(c("c_balance")) - F.coalesce("_paid", F.lit(0))).cast("double"),
         "c_ytd_payment": added("c_ytd_payment", "_paid"),
         "c_payment_cnt": c("c_payment_cnt") + F.coalesce("_times", F.lit(0)),
         "c_data": F.when(c("_notes").isNotNull(), F.substring(F.concat("_notes", "c_data"), 1, MAX_CUSTOMER_NOTE)).otherwise(c("c_data")),
-    }).select(tables["customer"].columns)
+    }))
 
     paid_w = booked.groupBy("w_id").agg(money_total(c("h_amount")).alias("_paid"))
     warehouses = tables["warehouse"].join(paid_w, "w_id", "left").withColumn("w_ytd", added("w_ytd", "_paid"))
@@ -213,18 +226,9 @@ def _checked_quantity(quantity: Column, stock: Column) -> Column:
     return F.when(valid, quantity).otherwise(F.raise_error(F.lit("order quantity or stock level out of range")).cast("bigint"))
 
 
-def overlay(base: DataFrame, changed: DataFrame, keys: list[str]) -> DataFrame:
-    """``base`` with the rows of ``changed`` in place of those with the same key."""
-    new = changed.select(*keys, F.struct(*base.columns).alias("_new"))
-    hit = c("_new").isNotNull()
-    return base.join(new, keys, "left").select(
-        *[F.when(hit, c(f"_new.{name}")).otherwise(c(name)).alias(name) for name in base.columns]
-    )
-
-
-def new_order(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
+def new_order(tables: Tables, requests: DataFrame, keep: Keep = _as_is) -> tuple[Tables, DataFrame]:
     """Place orders and return whole new table versions; see ``new_order_changes``."""
-    changes, result = new_order_changes(tables, requests)
+    changes, result = new_order_changes(tables, requests, keep)
     return {
         "district": overlay(tables["district"], changes["district"], PRIMARY_KEYS["district"]),
         "stock": overlay(tables["stock"], changes["stock"], PRIMARY_KEYS["stock"]),
@@ -233,11 +237,7 @@ def new_order(tables: Tables, requests: DataFrame) -> tuple[Tables, DataFrame]:
     }, result
 
 
-def _as_is(rows: DataFrame, label: str) -> DataFrame:
-    return rows
-
-
-def new_order_changes(tables: Tables, requests: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = _as_is) -> tuple[Tables, DataFrame]:
+def new_order_changes(tables: Tables, requests: DataFrame, keep: Keep = _as_is) -> tuple[Tables, DataFrame]:
     """Place orders: number them per district, take the pieces from stock, price the lines.
 
     Returns only what changes: new ``orders`` and ``neworder`` rows, and the ``district`` and

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ordermill.operators.changes import overlay
 from ordermill.operators.reshape import with_parts
-from ordermill.plans.transactions import new_order_changes, overlay
+from ordermill.plans.transactions import new_order_changes
 from ordermill.sources.schemas import PRIMARY_KEYS, document_schema, typed_dates
 
 c = F.col
