@@ -7,10 +7,18 @@ the slices by their (few) totals. Results are the same as those of the plain win
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.sources.workspace import fresh_path
+
 SLICE = 65_536
+# A selection cuts a key at about this many of the rows it draws.
+CUTS = 32
+DRAWN = 256
+BROADCAST_BYTES = 8 << 20
 
 
 def running_total(rows: DataFrame, keys: list[str], order: list[str], values: dict[str, Column | str], slice_width: int = SLICE) -> DataFrame:
@@ -37,42 +45,57 @@ def running_total(rows: DataFrame, keys: list[str], order: list[str], values: di
     return joined.withColumns(out).drop("_slice", *[f"_start_{n}" for n in values])
 
 
-def middle_row(rows: DataFrame, keys: list[str], text: str, tie: str, prefix: int = 3) -> DataFrame:
-    """The row at 0-based position floor((n - 1) / 2) of each key, ordered by ``text`` then ``tie``.
+def row_at(rows: DataFrame, keys: list[str], text: str, tie: str, place: Column, bound: int = SLICE) -> DataFrame:
+    """The row at a 0-based place of each key, ordered by ``text`` then ``tie`` (unique within its key).
 
-    The position is found among counts per leading characters first; only the rows that share
-    the leading characters of the middle one are sorted.
+    ``place`` is an expression of ``_n``, the rows of the key; keys without that place have no row. Keys of more
+    than ``bound`` rows are cut at rows drawn by a hash, the pieces are counted, and only the piece that
+    holds the place goes on, until all pieces are small enough to be sorted: an exact selection in a few rounds,
+    whatever the texts look like. Rows that are equal in ``text`` and ``tie`` cannot be cut; they end up in one sort.
     """
-    marked = rows.withColumn("_head", F.substring(text, 1, prefix))
-    counts = marked.groupBy(*keys, "_head").agg(F.count("*").alias("_n"))
-    heads = Window.partitionBy(*keys)
-    before = heads.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.select(
-        *keys, "_head", "_n",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.floor((F.sum("_n").over(heads) - 1) / 2).alias("_target"),
-    )
-    chosen = placed.where((F.col("_before") <= F.col("_target")) & (F.col("_target") < F.col("_before") + F.col("_n")))
-    chosen = chosen.select(*keys, "_head", (F.col("_target") - F.col("_before")).alias("_offset"))
-    within_head = Window.partitionBy(*keys, "_head").orderBy(text, tie)
-    ranked = marked.join(chosen, [*keys, "_head"]).withColumn("_rank", F.row_number().over(within_head))
-    return ranked.where(F.col("_rank") - 1 == F.col("_offset")).drop("_head", "_offset", "_rank")
+    spark = rows.sparkSession
+    groups = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.octet_length(F.col(text).cast("string"))).alias("_longest"))
+    groups = groups.withColumn("_offset", place.cast("bigint")).where((F.col("_offset") >= 0) & (F.col("_offset") < F.col("_n")))
+    state, width = rows, None
+    for turn in itertools.count():
+        # What the small sides of the joins below hold: known before they may be broadcast.
+        known = groups.agg(F.max("_n"), F.count("*"), F.max("_longest")).first()
+        largest, count, longest = known[0] or 0, known[1], known[2] or 0
+        small = F.broadcast if count * CUTS * (longest + 64) <= BROADCAST_BYTES else lambda side: side
+        state = state.join(small(groups.drop("_longest")), keys)
+        if largest <= bound or largest == width:
+            break
+        width = largest
+        row = F.struct(text, tie)
+        drawn = state.where((F.col("_n") > bound) & (F.pmod(F.xxhash64(F.lit(turn), text, tie), F.ceil(F.col("_n") / DRAWN)) == 0))
+        drawn = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_drawn"))
+        step = F.greatest(F.lit(1), F.ceil(F.size("_drawn") / CUTS)).cast("int")
+        cuts = drawn.select(*keys, F.filter("_drawn", lambda x, i: i % step == 0).alias("_cuts"))
+        # Piece 2 i lies behind i cuts, piece 2 i + 1 is the cut behind them itself.
+        passed = F.size(F.filter("_cuts", lambda x: x < row)) * 2
+        piece = F.coalesce(passed + F.exists("_cuts", lambda x: x == row).cast("int"), F.lit(0)).alias("_piece")
+        pieces = state.join(small(cuts), keys, "left").select(*rows.columns, *[n for n in ("_offset",) if n not in rows.columns], piece)
+        pieces.write.parquet(path := fresh_path(spark, "selection"))
+        pieces = spark.read.parquet(path)
+        counts = pieces.groupBy(*keys, "_offset", "_piece").agg(F.count("*").alias("_n"), F.max(F.octet_length(F.col(text).cast("string"))).alias("_longest"))
+        before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        counts = counts.where((F.col("_before") <= F.col("_offset")) & (F.col("_offset") < F.col("_before") + F.col("_n")))
+        chosen = counts.select(*keys, "_piece", "_n", "_longest", (F.col("_offset") - F.col("_before")).alias("_offset"))
+        state = pieces.drop("_offset").join(small(chosen.select(*keys, "_piece")), [*keys, "_piece"], "left_semi").drop("_piece")
+        groups = chosen.drop("_piece")
+    ranked = state.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(text, tie)))
+    return ranked.where(F.col("_rank") - 1 == F.col("_offset")).select(rows.columns)
 
 
-def smallest_rows(rows: DataFrame, n: int, text: str, tie: str, prefix: int = 4) -> DataFrame:
-    """The ``n`` smallest rows by a text column, without gathering them in one task.
+def middle_row(rows: DataFrame, keys: list[str], text: str, tie: str, bound: int = SLICE) -> DataFrame:
+    """The row at 0-based place floor((n - 1) / 2) of each key, ordered by ``text`` then ``tie``."""
+    return row_at(rows, keys, text, tie, F.floor((F.col("_n") - 1) / 2), bound)
 
-    Counts per leading characters tell which heads are taken whole and which single head the
-    limit falls into; only that head is ranked. Meant for digests, whose heads are even.
-    """
-    marked = rows.withColumn("_head", F.substring(text, 1, prefix))
-    counts = marked.groupBy("_head").agg(F.count("*").alias("_n"))
-    # At most one row per head; the constant key keeps this small table together.
-    before = Window.partitionBy(F.lit(0)).orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    room = counts.withColumn("_room", F.lit(n) - F.coalesce(F.sum("_n").over(before), F.lit(0))).where("_room > 0")
-    kept = marked.join(room, "_head")
-    whole = kept.where(F.col("_n") <= F.col("_room"))
-    last = kept.where(F.col("_n") > F.col("_room")).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_head").orderBy(text, tie))
-    ).where(F.col("_rank") <= F.col("_room"))
-    return whole.select(rows.columns).unionByName(last.select(rows.columns))
+
+def smallest_rows(rows: DataFrame, n: int, text: str, tie: str, bound: int = SLICE) -> DataFrame:
+    """The ``n`` smallest rows by ``text`` then ``tie`` (neither null), without gathering them in one task: those up to the n-th."""
+    last = row_at(rows.select(text, tie).withColumn("_all", F.lit(0)), ["_all"], text, tie, F.lit(n - 1), bound).first()
+    if last is None:
+        return rows if n > 0 else rows.where("false")
+    return rows.where(F.struct(text, tie) <= F.struct(F.lit(last[text]).alias(text), F.lit(last[tie]).alias(tie)))
