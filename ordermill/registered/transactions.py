@@ -134,6 +134,16 @@ def _run(step: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, sf_dir: step(document_tables(spark, sf_dir))
 
 
+def _batch(step, requests, show: Callable[[dict[str, DataFrame], DataFrame], DataFrame]) -> Query:
+    """One batch of requests; the entries that show its outputs share the intermediate results, written once."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store, t = loaded_store(spark, sf_dir), document_tables(spark, sf_dir)
+        return show(*step(t, requests(t), lambda rows, label: store.kept(rows, f"{step.__name__}-{label}")))
+
+    return run
+
+
 def _status(t: dict[str, DataFrame]) -> DataFrame:
     _, result = txn.order_status(t, status_requests(t))
     amount = F.aggregate("o_orderline.ol_amount", F.lit(0).cast("decimal(28,2)"), lambda s, a: (s + a.cast("decimal(18,2)")).cast("decimal(28,2)"))
@@ -146,16 +156,14 @@ def _status(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _delivered_orders(t: dict[str, DataFrame]) -> DataFrame:
-    changed, _ = txn.delivery(t, delivery_requests(t))
+def _delivered_orders(changed: dict[str, DataFrame], _: DataFrame) -> DataFrame:
     stamped = F.filter("o_orderline", lambda ol: ol["ol_delivery_d"] >= F.lit("2002-01-01").cast("timestamp_ntz"))
     return shaped(
         folded(changed["orders"], ["o_id", "o_w_id", "o_d_id", "o_carrier_id"], {"stamped": (F.size(stamped), F.sum)}), "o_id bigint, o_w_id bigint, o_d_id bigint, o_carrier_id bigint, stamped bigint"
     )
 
 
-def _new_order_result(t: dict[str, DataFrame]) -> DataFrame:
-    _, result = txn.new_order(t, order_requests(t))
+def _new_order_result(_: dict[str, DataFrame], result: DataFrame) -> DataFrame:
     parts = result.withColumns({
         "in_part": F.size("items"),
         "left_in_part": F.aggregate("items.left_in_stock", F.lit(0).cast("bigint"), lambda s, x: s + x),
@@ -170,11 +178,7 @@ def _new_order_result(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def _changed(step, requests, table: str, columns: str) -> Query:
-    def run(t: dict[str, DataFrame]) -> DataFrame:
-        changed, _ = step(t, requests(t))
-        return shaped(once_each(changed[table]), columns)
-
-    return _run(run)
+    return _batch(step, requests, lambda changed, _: shaped(once_each(changed[table]), columns))
 
 
 def entries() -> Entries:
@@ -217,11 +221,11 @@ def entries() -> Entries:
             ),
         ),
         "txn_delivery": (
-            _run(lambda t: shaped(txn.delivery(t, delivery_requests(t))[1], "seq bigint, w_id bigint, d_id bigint, o_id bigint, amount double")),
+            _batch(txn.delivery, delivery_requests, lambda _, result: shaped(result, "seq bigint, w_id bigint, d_id bigint, o_id bigint, amount double")),
             with_views("SELECT CAST(seq AS BIGINT) AS seq, w_id, d_id, o_id, CAST(amount AS DOUBLE) AS amount FROM amounts", DELIVERY_SQL),
         ),
         "txn_delivery_orders": (
-            _run(_delivered_orders),
+            _batch(txn.delivery, delivery_requests, _delivered_orders),
             with_views("""SELECT h.o_id, o_w_id, o_d_id, CAST(coalesce(carrier, o_carrier_id) AS BIGINT) AS o_carrier_id,
                 CASE WHEN carrier IS NULL THEN 0 ELSE o_ol_cnt END AS stamped FROM d_header h LEFT JOIN taken t ON t.o_id = h.o_id""", DELIVERY_SQL),
         ),
@@ -235,7 +239,7 @@ def entries() -> Entries:
             with_views("SELECT no_o_id, no_d_id, no_w_id FROM d_neworder WHERE no_o_id NOT IN (SELECT o_id FROM taken)", DELIVERY_SQL),
         ),
         "txn_payment": (
-            _run(lambda t: shaped(txn.payment(t, payment_requests(t))[1], "seq bigint, w_id bigint, d_id bigint, c_w_id bigint, c_d_id bigint, c_id bigint, h_amount double, status string")),
+            _batch(txn.payment, payment_requests, lambda _, result: shaped(result, "seq bigint, w_id bigint, d_id bigint, c_w_id bigint, c_d_id bigint, c_id bigint, h_amount double, status string")),
             with_views("""SELECT r.seq, r.w_id, r.d_id, r.c_w_id, r.c_d_id, coalesce(r.c_id, m.c_id) AS c_id, r.h_amount,
                 CASE WHEN k.c_id IS NULL THEN 'no customer' ELSE 'booked' END AS status
                 FROM requests r LEFT JOIN middle m ON r.c_id IS NULL AND m.c_w_id = r.c_w_id AND m.c_d_id = r.c_d_id AND m.c_last = r.c_last
@@ -271,7 +275,7 @@ def entries() -> Entries:
                 UNION ALL SELECT c_id, c_d_id, c_w_id, d_id, w_id, h_date, h_amount, 'WH' || w_id || '    ' || 'DI' || d_id FROM booked""", PAYMENT_SQL),
         ),
         "txn_new_order": (
-            _run(_new_order_result),
+            _batch(txn.new_order, order_requests, _new_order_result),
             with_views(f"""SELECT p.seq, p.w_id, p.d_id, p.c_id, p.o_id, c_last, c_credit,
                 CAST(sum(amount) AS DOUBLE) * (CAST(1 AS DOUBLE) - CAST(c_discount AS DOUBLE)) * (CAST(1 AS DOUBLE) + CAST(w_tax AS DOUBLE) + CAST(d_tax AS DOUBLE)) AS total,
                 count(*) AS lines, CAST(sum({_level('s_quantity', 'taken')}) AS BIGINT) AS left_in_stock,

@@ -105,6 +105,15 @@ class LoadedStore:
             return to_flat(parent, self.table(parent))[part]
         return self.bridge.table(name)
 
+    def kept(self, rows: DataFrame, label: str) -> DataFrame:
+        """``rows`` as written under this label: by the first call; later ones read what that wrote."""
+        with self._lock:
+            key = f"kept/{label}"
+            if key not in self._tables:
+                rows.write.parquet(f"{self.folder}/{key}")
+                self._tables[key] = self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{key}")
+            return self._tables[key]
+
     def close(self) -> None:
         """Delete what was written; tables handed out earlier cannot be read any more."""
         with self._lock:
