@@ -9,7 +9,7 @@ from ordermill.functions.expr import shaped
 from ordermill.operators.reshape import once_each, to_flat
 from ordermill.registered import Entries
 from ordermill.sources import files
-from ordermill.sources.schemas import text_dates
+from ordermill.sources.schemas import PRIMARY_KEYS, text_dates
 from ordermill.sources.store import loaded_store
 from ordermill.sources.workspace import fresh_path
 from ordermill.twin_sql import with_views
@@ -24,7 +24,7 @@ CUSTOMER_SQL = with_views("SELECT c_id, c_d_id, c_w_id, c_balance, c_last, c_sta
 def _json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as filed JSON shards, read back typed."""
     root = fresh_path(spark, "json")
-    files.write_json_shards(text_dates("orders", loaded_store(spark, sf_dir).table("orders")), f"{root}/orders")
+    files.write_json_shards(text_dates("orders", loaded_store(spark, sf_dir).table("orders")), f"{root}/orders", order=PRIMARY_KEYS["orders"])
     docs = files.read_documents(spark, root, "orders")
     lines = docs.select("o_id", "o_w_id", "o_entry_d", F.explode("o_orderline").alias("ol"))
     return shaped(
@@ -44,7 +44,7 @@ def _json_flat_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _json_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in shards, and that no file is larger than the bound."""
     path = fresh_path(spark, "shards")
-    files.write_json_shards(text_dates("orders", loaded_store(spark, sf_dir).table("orders")), path)
+    files.write_json_shards(text_dates("orders", loaded_store(spark, sf_dir).table("orders")), path, order=PRIMARY_KEYS["orders"])
     # A document of several parts is told by its part 0; others carry no part number.
     first = F.coalesce(F.get_json_object("value", "$.o_part"), F.lit("0")) == "0"
     sizes = spark.read.text(path).select(c("_metadata.file_path").alias("file"), c("_metadata.file_size").alias("size"), first.alias("first"))

@@ -17,16 +17,14 @@ c = F.col
 # Shard bound of the document writer, objects per store upload.
 SHARD_BYTES = 256 * 1024
 ROWS_PER_OBJECT = 10_000
-# Bytes of documents one task writes.
-TASK_BYTES = 128 << 20
 
 
 # -- sources ----------------------------------------------------------------------------------
 
 
 def read_documents(spark: SparkSession, root: str, table: str, extra_fields: int = 0, typed: bool = True) -> DataFrame:
-    """JSON-lines shards of one data set from ``root/table``, read with its schema."""
-    rows = spark.read.schema(document_schema(table, extra_fields=extra_fields, parts=True)).json(f"{root.rstrip('/')}/{table}")
+    """JSON-lines shards of one data set from ``root/table``, in folders or not, read with its schema."""
+    rows = spark.read.schema(document_schema(table, extra_fields=extra_fields, parts=True)).option("recursiveFileLookup", True).json(f"{root.rstrip('/')}/{table}")
     return typed_dates(table, rows) if typed else rows
 
 
@@ -40,21 +38,24 @@ def read_flat_directory(spark: SparkSession, folder: str, table: str, extra_fiel
 # -- sinks ------------------------------------------------------------------------------------
 
 
-def write_json_shards(df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES) -> None:
-    """JSON lines in files of at most ``shard_bytes`` (or one document, if that is larger).
+def write_json_shards(df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, order: list[str] | None = None) -> None:
+    """JSON lines in files of at most ``shard_bytes`` (or one document, if that is larger), one folder per shard.
 
-    Documents are written by size class, each up to twice as large as the one before: a class
-    knows how many of its documents fit a file, so files are at least half full and a large document
-    concerns its own class alone. A task writes as many files as its share of bytes needs.
+    One pass: every task of the scan adds up the bytes of its documents, in the order of the columns ``order`` if given, and cuts
+    the running total at every half bound. A shard begins inside one half and ends with a document no longer than that, so it
+    keeps the bound; a longer document has a shard of its own and concerns no other. A split writes as many
+    files as its bytes need.
     """
     size = F.octet_length(F.to_json(F.struct(*df.columns))) + 1
-    kind = F.ceil(F.log2(size)).cast("int")
-    classes = df.groupBy(kind.alias("class")).agg(F.sum(size).alias("bytes"), F.max(size).alias("largest")).orderBy("class").collect()
-    if not classes:
-        df.write.json(path)
-    for row in classes:  # at most one per power of two
-        part = df.where(kind == row["class"]).repartition(-(-row["bytes"] // TASK_BYTES))
-        part.write.mode("append").option("maxRecordsPerFile", max(1, shard_bytes // row["largest"])).json(path)
+    half = max(1, shard_bytes // 2)
+    placed = df.withColumns({"_split": F.spark_partition_id(), "_row": F.monotonically_increasing_id(), "_size": size.cast("bigint")})
+    by = [*(order or []), "_row"]
+    earlier = Window.partitionBy("_split").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    packed = F.when(c("_size") <= half, c("_size")).otherwise(0)
+    number = F.floor(F.coalesce(F.sum(packed).over(earlier), F.lit(0)) / half)
+    alone = F.when(c("_size") > half, F.format_string("-%d", "_row")).otherwise("")
+    sharded = placed.withColumn("shard", F.concat(F.format_string("%06d-%08d", "_split", number), alone))
+    sharded.sortWithinPartitions("shard", *by).drop("_split", "_row", "_size").write.partitionBy("shard").json(path)
 
 
 def write_csv_quoted(df: DataFrame, path: str) -> None:

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordermill.operators.reshape import once_each
 from ordermill.sources import files
@@ -45,13 +46,44 @@ def test_key_order_across_blocks(spark, tmp_path):
 
 def test_json_shards_are_bounded_and_complete(spark, documents, tmp_path):
     path = tmp_path / "root" / "orders"
-    files.write_json_shards(text_dates("orders", documents["orders"]), str(path), 20_000)
-    sizes = [f.stat().st_size for f in path.glob("*.json")]
-    assert max(sizes) <= 20_000 and len(sizes) > 10
+    files.write_json_shards(text_dates("orders", documents["orders"]), str(path), 20_000, ["o_w_id", "o_d_id", "o_id"])
+    shards = list(path.glob("shard=*/*.json"))
+    sizes = [f.stat().st_size for f in shards]
+    assert max(sizes) <= 20_000 and len(shards) > 10 and len({f.parent for f in shards}) == len(shards)
+    assert sum(sizes) / len(sizes) > 7_000
+    for f in shards:
+        keys = [(r["o_w_id"], r["o_d_id"], r["o_id"]) for r in map(json.loads, f.read_text().splitlines())]
+        assert keys == sorted(keys)
     again = files.read_documents(spark, str(tmp_path / "root"), "orders")
     assert sorted(once_each(again).toJSON().collect()) == sorted(documents["orders"].toJSON().collect())
 
 
+def test_a_large_document_concerns_its_own_shard(spark, tmp_path):
+    """Documents around the bound: each file holds it, or is one document; the small ones are packed as without the large."""
+    texts = [(n, "x" * (5_000 if n in (3, 40) else 900 if n == 41 else 10 + n % 7)) for n in range(200)]
+    rows = spark.createDataFrame(texts, "id bigint, t string").coalesce(1)
+    written = {}
+    for name, df in (("all", rows), ("small", rows.where("length(t) < 500"))):
+        files.write_json_shards(df, str(tmp_path / name), 1_000, ["id"])
+        written[name] = [f.read_text().splitlines() for f in sorted((tmp_path / name).glob("shard=*/*.json"))]
+        assert all(len(lines) == 1 or sum(len(x) + 1 for x in lines) <= 1_000 for lines in written[name])
+    assert sorted(len(x) for x in written["all"]) == sorted([*(len(x) for x in written["small"]), 1, 1, 1])
+    assert sorted(json.loads(x)["id"] for lines in written["all"] for x in lines) == list(range(200))
+
+
+def test_shards_read_their_input_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = spark.range(1000).withColumn("t", F.repeat(F.lit("a"), 50)).mapInPandas(counted, "id bigint, t string")
+    files.write_json_shards(rows, str(tmp_path / "s"), 5_000)
+    assert read.value == 1000
+
+
 def test_empty_shards(spark, documents, tmp_path):
     files.write_json_shards(documents["nation"].where("false"), str(tmp_path / "none"))
     assert spark.read.schema("n_name string").json(str(tmp_path / "none")).count() == 0
