@@ -10,6 +10,7 @@ from ordermill.operators.reshape import once_each, to_flat
 from ordermill.registered import Entries
 from ordermill.sources import files
 from ordermill.sources.schemas import PRIMARY_KEYS, text_dates
+from ordermill.sources.statistics import column_statistics, described
 from ordermill.sources.store import loaded_store
 from ordermill.sources.workspace import fresh_path
 from ordermill.twin_sql import with_views
@@ -95,6 +96,51 @@ _STAT_COLUMNS = {"o_id": "o_id", "o_c_id": "o_c_id", "o_d_id": "o_d_id", "o_w_id
                  "o_all_local": "1", "o_ol_cnt": "o_ol_cnt"}
 
 
+# Columns of all tables that the SQL views hold, as path and view expression; other columns of the documents are texts put together in the bridge.
+_ALL_COLUMNS = {
+    "region": ("d_region", "r_regionkey r_name"),
+    "nation": ("d_nation", "n_nationkey n_name n_regionkey"),
+    "supplier": ("d_supplier", "su_suppkey su_name su_nationkey su_phone su_acctbal su_comment"),
+    "item": ("d_item", "i_id i_name i_price i_data i_im_id"),
+    "customer": ("d_customer", "c_id c_d_id c_w_id c_discount c_credit c_name.c_first c_name.c_last c_balance c_data c_since"),
+    "stock": ("d_stock", "s_i_id s_w_id s_quantity s_order_cnt s_remote_cnt s_data"),
+    "neworder": ("d_neworder", "no_o_id no_d_id no_w_id"),
+    "district": ("d_district", "d_id d_w_id d_ytd d_tax d_next_o_id"),
+    "warehouse": ("d_warehouse", "w_id w_ytd w_tax"),
+    "history": ("(SELECT c_id AS h_c_id, c_d_id AS h_c_d_id, c_w_id AS h_c_w_id, c_since AS h_date, 10 AS h_amount, 'H' || c_custkey AS h_data FROM d_customer)",
+                "h_c_id h_c_d_id h_c_w_id h_date h_amount h_data"),
+    "orders": ("d_header", "o_id o_c_id o_d_id o_w_id o_carrier_id o_ol_cnt o_entry_d"),
+    "orders ": ("d_ol", " ".join(f"o_orderline[].{n}" for n in "ol_number ol_i_id ol_supply_w_id ol_delivery_d ol_quantity ol_amount".split())),
+}
+
+
+def _all_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of the eleven tables; header columns of orders once per order, line fields of all its parts."""
+    store = loaded_store(spark, sf_dir)
+    found = None
+    for name in _COUNTED:
+        rows = store.table(name)
+        one = column_statistics(name, once_each(rows), rows)
+        found = one if found is None else found.unionByName(one)
+    shown = [(table.strip(), path) for table, (_, paths) in _ALL_COLUMNS.items() for path in paths.split()]
+    known = F.struct("table_name", "column_name").isin([F.struct(F.lit(t).alias("table_name"), F.lit(p).alias("column_name")) for t, p in shown])
+    return shaped(described(found).where(known), "table_name string, column_name string, row_count bigint, null_count bigint,"
+                  " min_number double, max_number double, min_text string, max_text string")
+
+
+def _all_stats_sql() -> str:
+    rows = []
+    for table, (view, paths) in _ALL_COLUMNS.items():
+        for path in paths.split():
+            name = path.split(".")[-1]
+            text = name.endswith(("_name", "_phone", "_comment", "_data", "_credit", "_first", "_last", "_since", "_date", "_entry_d", "_delivery_d"))
+            number, words = (("NULL", "NULL"), (f"min({name})", f"max({name})")) if text else ((f"min({name})", f"max({name})"), ("NULL", "NULL"))
+            rows.append(f"SELECT '{table.strip()}' AS table_name, '{path}' AS column_name, count(*) AS row_count, count(*) - count({name}) AS null_count, "
+                        + ", ".join(f"CAST({x} AS DOUBLE) AS {n}_number" for x, n in zip(number, ("min", "max"))) + ", "
+                        + ", ".join(f"CAST({x} AS VARCHAR) AS {n}_text" for x, n in zip(words, ("min", "max"))) + f" FROM {view}")
+    return " UNION ALL ".join(rows)
+
+
 #: Rows of a document table for those of the table it comes from; places are four warehouses of ten districts.
 _COUNTED = {"customer": ("customer", "count(*)"), "history": ("customer", "count(*)"), "orders": ("orders", "count(*)"), "neworder": ("orders", "count_if(o_orderstatus = 'O')"),
             "item": ("part", "count(*)"), "stock": ("part", "4 * count(*)"), "supplier": ("supplier", "count(*)"), "nation": ("nation", "count(*)"), "region": ("region", "count(*)"),
@@ -154,6 +200,7 @@ def entries() -> Entries:
             "SELECT count(*) AS documents, CAST(sum(s_quantity) AS BIGINT) AS quantity, CAST(sum(s_order_cnt) AS BIGINT) AS orders, true AS bounded FROM d_stock")),
         "sink_columnar": (_columnar, CUSTOMER_SQL),
         "table_stats": (_stats, with_views(stats)),
+        "table_stats_all": (_all_stats, with_views(_all_stats_sql())),
         "check_row_counts": (_row_counts, " UNION ALL ".join(rows)),
         "check_key_order_broken": (_key_order_broken, with_views(_BROKEN)),
         "check_key_order": (_key_order, "SELECT count(*) AS records, CAST(0 AS BIGINT) AS unkeyed, CAST(0 AS BIGINT) AS breaks FROM customer"),
