@@ -84,6 +84,16 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("o_w_id", "o_d_id", "o_id", "o_entry_d", c("ol.ol_number").alias("ol_number"), c("ol.ol_i_id").alias("ol_i_id"), c("ol.ol_amount").alias("ol_amount"))
 
 
+def _order_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order number from 1 up to the next one of a district is asked for in its warehouse; numbers of other districts find nothing."""
+    store = loaded_store(spark, sf_dir)
+    numbered = store.table("district").where("d_w_id = 2 and d_id = 3").agg(F.max("d_next_o_id")).first()[0] or 1
+    keys = lookups.key_range(spark, 1, numbered - 1, o_w_id=2, o_d_id=3).withColumnRenamed("k", "o_id")
+    found = lookups.order_lines_by_key(store.table("orders"), keys)
+    parts = found.select("o_id", "o_entry_d", F.size("o_orderline").cast("bigint").alias("in_part"))
+    return parts.groupBy("o_id", "o_entry_d").agg(F.sum("in_part").alias("lines"))
+
+
 MINUTES = (1, 5, 15, 60)
 
 
@@ -154,6 +164,7 @@ def entries() -> Entries:
     found["lookup_orders_by_key"] = (_order_lines, with_views(
         "SELECT l.o_w_id, l.o_d_id, l.o_id, o_entry_d, ol_number, ol_i_id, ol_amount FROM k JOIN d_ol l ON l.o_w_id = k.o_w_id AND l.o_d_id = k.o_d_id AND l.o_id = k.o_id",
         {"k": "SELECT DISTINCT o_w_id, o_d_id, o_id + ol_number AS o_id FROM d_ol"}))
+    found["lookup_orders_id_range"] = (_order_range, with_views("SELECT o_id, o_entry_d, o_ol_cnt AS lines FROM d_header WHERE o_w_id = 2 AND o_d_id = 3"))
     found["range_orders_by_entry"] = (_range_counts, with_views(
         "SELECT minutes, low, high, (SELECT count(*) FROM d_header WHERE o_entry_d > low AND o_entry_d < high) AS orders FROM windows", _WINDOWS_SQL))
     found["range_orders_rows"] = (_range_orders, with_views(
