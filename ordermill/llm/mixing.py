@@ -26,6 +26,8 @@ BLOCK_WORDS, FEWEST_BLOCKS = 1024, 256
 #: Words an output shard is meant to hold.
 SHARD_WORDS = 16_000_000
 _RANGE = 1 << 31
+#: Standard deviations around the mode that a draw from an urn looks at.
+REACH = 12
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -94,18 +96,32 @@ def _hypergeometric(counts: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     wanted = rest // 2
     for k, count in enumerate(counts):
         rest -= int(count)
-        # numpy draws from urns of below 1e9; larger ones are split by their share, exactly rounded.
-        if max(int(count), rest) < 10**9:
-            left[k] = rng.hypergeometric(int(count), rest, wanted) if wanted and count + rest else 0
-        else:
-            total = int(count) + rest
-            mean = wanted * (int(count) / total)
-            deviation = (mean * (rest / total) * ((total - wanted) / max(1, total - 1))) ** 0.5
-            left[k] = int(min(count, wanted, max(0, wanted - rest, round(rng.normal(mean, deviation)))))
+        left[k] = _urn(int(count), rest, wanted, rng.random())
         wanted -= int(left[k])
     return left
 
 
+def _urn(good: int, bad: int, wanted: int, at: float) -> int:
+    """The number of good ones among ``wanted`` drawn from an urn, by inversion at ``at`` in [0, 1).
+
+    Probabilities are built outward from the mode by the ratio of neighbours, for REACH deviations to both sides; what lies
+    beyond has less weight than a double can tell from 0. That takes about 200 bytes times the root of the draws.
+    """
+    low, high = max(0, wanted - bad), min(good, wanted)
+    if low == high:
+        return low
+    total = good + bad
+    mode = min(high, max(low, (wanted + 1) * (good + 1) // (total + 2)))
+    deviation = (wanted / total * good * (bad / total) * ((total - wanted) / max(1, total - 1))) ** 0.5
+    reach = int(REACH * deviation) + 64
+    first, last = max(low, mode - reach), min(high, mode + reach)
+    x = np.arange(first, last, dtype=np.float64)  # p(x + 1) / p(x)
+    ratio = np.log((good - x) / (x + 1)) + np.log((wanted - x) / (float(bad - wanted) + x + 1))
+    logs = np.concatenate([[0.0], np.cumsum(ratio)])
+    below = np.cumsum(np.exp(logs - logs[mode - first]))
+    return first + int(np.searchsorted(below, at * below[-1], side="right"))
+
+
 def permuted(numbers: np.ndarray, n: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Each number's place in a drawn permutation of 0..n-1 (one per key): a Feistel network walked until it lands inside."""
     half = np.ceil(np.log2(np.maximum(n, 2).astype(np.float64)) / 2).astype(np.uint64)

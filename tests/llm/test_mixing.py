@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -70,6 +72,30 @@ def test_permutation():
         assert sorted(mixing.permuted(np.arange(n), np.full(n, n), keys)) == list(range(n))
 
 
+def test_urns_of_any_size():
+    """Inversion against exact probabilities in whole numbers; large urns against mean and deviation."""
+    for good, bad, wanted in ((0, 5, 3), (5, 0, 3), (4, 6, 5), (1, 9, 10), (30, 7, 20), (2, 300, 151)):
+        weights = {x: math.comb(good, x) * math.comb(bad, wanted - x) for x in range(max(0, wanted - bad), min(good, wanted) + 1)}
+        assert sum(weights.values()) == math.comb(good + bad, wanted)
+        edge, total = 0, math.comb(good + bad, wanted)
+        for x, w in weights.items():
+            if w / total > 1e-9:
+                assert mixing._urn(good, bad, wanted, (edge + w / 2) / total) == x
+            edge += w
+    rng = np.random.default_rng(3)
+    for good, bad in ((10**9 - 1, 10**9 - 1), (10**9, 10**9 + 1), (10**11, 3 * 10**11), (5, 10**12), (10**12, 0)):
+        total = good + bad
+        wanted, draws = total // 2, 40
+        got = np.array([mixing._urn(good, bad, wanted, u) for u in rng.random(draws)], np.float64)
+        deviation = math.sqrt(wanted * (good / total) * (bad / total) * ((total - wanted) / (total - 1)))
+        assert abs(got.mean() - wanted * (good / total)) <= 5 * deviation / math.sqrt(draws)
+        assert deviation * 0.5 <= got.std() <= deviation * 1.6 or deviation == 0
+        assert ((0 <= got) & (got <= min(good, wanted))).all()
+    counts = np.array([7 * 10**10, 0, 3, 10**9, 10**9 + 7])
+    left = mixing._hypergeometric(counts, rng)
+    assert left.sum() == counts.sum() // 2 and (left >= 0).all() and (left <= counts).all()
+
+
 def test_empty_table_and_query(spark, sf_dir):
     assert mixing.taken_words(documents(spark, [(1, "a")]).where("false")).count() == 0
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
