@@ -30,11 +30,12 @@ def op2_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
-    """All pages as WARC records against a replica in which every 97th page has a changed byte and every 389th is gone."""
+    """All pages as WARC records against a replica in which every 97th page has a changed byte, every 389th is gone, and every 401st is filed once more under -1 - page_id."""
     pages = _table(spark, folder, "pages").select("page_id", "url", "html")
     damaged = F.when(F.col("page_id") % 97 == 5, F.concat(F.lit("?"), F.substr("html", F.lit(2)))).otherwise(F.col("html"))
     replica = pages.where(~F.coalesce(F.col("page_id") % 389 == 7, F.lit(False))).withColumn("html", damaged)
-    return warc_fixity.audited(warc_fixity.records(pages), warc_fixity.records(replica)).drop("copy")
+    added = pages.where(F.col("page_id") % 401 == 11).withColumn("page_id", -1 - F.col("page_id"))
+    return warc_fixity.audited(warc_fixity.records(pages), warc_fixity.records(replica.unionByName(added))).drop("copy")
 
 
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,13 +118,15 @@ OP3_SQL = r"""
 WITH whole AS (
   SELECT page_id, concat('WARC/1.1', e, 'WARC-Type: resource', e, 'WARC-Record-ID: <urn:uuid:', substr(m, 1, 8), '-', substr(m, 9, 4), '-', substr(m, 13, 4), '-', substr(m, 17, 4), '-', substr(m, 21, 12), '>', e,
     'WARC-Date: 1970-01-01T00:00:00Z', e, 'WARC-Target-URI: ', regexp_replace(coalesce(url, ''), '[\r\n]', ' ', 'g'), e, 'Content-Type: text/html', e, 'Content-Length: ', strlen(coalesce(html, '')), e, e, coalesce(html, ''), e, e) AS record
-  FROM (SELECT *, chr(13) || chr(10) AS e, md5(concat(page_id, ' ', coalesce(url, ''))) AS m FROM pages WHERE page_id IS NOT NULL)
+  FROM (SELECT *, chr(13) || chr(10) AS e, md5(concat(page_id, ' ', coalesce(url, ''))) AS m
+    FROM (SELECT page_id, url, html FROM pages WHERE page_id IS NOT NULL UNION ALL SELECT -1 - page_id, url, html FROM pages WHERE page_id % 401 = 11))
 ), placed AS (
-  SELECT page_id, strlen(record) AS length, sha256(record) AS sha256, sum(strlen(record)) OVER (ORDER BY page_id) - strlen(record) AS start FROM whole
+  SELECT page_id, strlen(record) AS length, sha256(record) AS sha256, sum(strlen(record)) OVER (ORDER BY page_id) - strlen(record) AS start FROM whole WHERE page_id >= 0
 )
 SELECT page_id, CAST(start // 67108864 AS BIGINT) AS archive, CAST(start - min(start) OVER (PARTITION BY start // 67108864) AS BIGINT) AS "offset", length, sha256,
   CASE WHEN page_id % 389 = 7 THEN 'missing' WHEN page_id % 97 = 5 THEN 'damaged' ELSE 'intact' END AS status
 FROM placed
+UNION ALL SELECT page_id, 0, NULL, strlen(record), sha256(record), 'extra' FROM whole WHERE page_id < 0
 """
 
 OP13_SQL = r"""

@@ -32,18 +32,40 @@ def test_damage_is_located(spark):
         at[r.archive] = r.offset + len(raw)
     assert len(at) == 3
     assert {r.status for r in warc_fixity.audited(original, original, archive_bytes=100_000).collect()} == {"intact"}
-    assert warc_fixity.audited(original.where("false"), original).count() == 0
+    assert warc_fixity.audited(original.where("false"), original.where("false")).count() == 0
+
+
+def test_records_only_the_replica_has(spark):
+    """Added records are reported, wherever they sort, and make no other record look damaged; so with two copies of a page."""
+    original = warc_fixity.records(pages(spark))
+    more = [(-5, "a", "first"), (3, "zz", "a second page 3"), (150, "h", "x" * 70_000), (5000, "h", "last")] + [(9000 + i, "h", "many") for i in range(700)]
+    gone = original.where("page_id not in (0, 33, 150, 399)")
+    replica = gone.unionByName(warc_fixity.records(spark.createDataFrame(more, "page_id long, url string, html string")))
+    status = {}
+    for r in warc_fixity.audited(original, replica, archive_bytes=100_000).collect():
+        status.setdefault(r.status, []).append(r.page_id)
+        assert (r.offset is None) == (r.status == "extra") and r.archive is not None and len(r.sha256) == 64
+    assert sorted(status["missing"]) == [0, 33, 399] and 150 in status["damaged"] and set(status["damaged"]) <= {3, 150}
+    assert sorted(status["extra"]) == [-5, 3, 5000, *range(9000, 9700)]
+    assert sum(map(len, status.values())) == 405 + 703
+    assert [r.status for r in warc_fixity.audited(original.where("false"), original.where("page_id < 3")).collect()] == ["extra"] * 3
+    assert {r.status for r in warc_fixity.audited(original, original.where("false")).collect()} == {"missing"}
 
 
 def test_only_differing_branches_are_followed(spark):
-    """A changed record changes one node per level; siblings keep their hashes."""
-    placed = warc_fixity.layout(warc_fixity.digests(warc_fixity.records(pages(spark))), 1 << 22).cache()
-    changed = placed.withColumn("digest", F.when(F.col("page_id") == 3, F.lit("0")).otherwise(F.col("digest")))
-    one, two = warc_fixity.Tree(placed, 1 << 22), warc_fixity.Tree(changed, 1 << 22)
-    for a, b in zip(one.levels, two.levels, strict=True):
-        assert a.select("archive", "node", "digest").exceptAll(b.select("archive", "node", "digest")).count() == 1
+    """A changed, lost or added record changes one node per level; siblings keep their hashes."""
+    held = warc_fixity.digests(warc_fixity.records(pages(spark))).cache()
+    placed = warc_fixity.layout(held, 1 << 22).cache()
+    one = warc_fixity.Tree(placed, 1 << 22)
+    assert one.levels[0].count() > 3
+    added = held.where("page_id = 3").withColumn("copy", F.lit(1).cast("long"))
+    for other in (held.withColumn("digest", F.when(F.col("page_id") == 3, F.lit("0")).otherwise(F.col("digest"))), held.where("page_id <> 3"), held.unionByName(added)):
+        two = warc_fixity.Tree(warc_fixity.fitted(other, placed), 1 << 22)
+        for a, b in zip(one.levels, two.levels, strict=True):
+            assert a.exceptAll(b).count() == b.exceptAll(a).count() == 1
+        assert [(r.archive, r.node) for r in warc_fixity.differing(one, two).collect()] == [(r.archive, r.range) for r in placed.where("page_id = 3").collect()]
     assert one.levels[-1].count() == placed.select("archive").distinct().count()
-    assert [(r.archive, r.offset) for r in warc_fixity.differing(one, two).collect()] == [(r.archive, r.offset) for r in placed.where("page_id = 3").collect()]
+    assert warc_fixity.differing(one, warc_fixity.Tree(warc_fixity.fitted(held, placed), 1 << 22)).count() == 0
 
 
 def test_files_round_trip(spark, tmp_path):
@@ -57,5 +79,7 @@ def test_files_round_trip(spark, tmp_path):
 
 
 def test_query(spark, sf_dir):
+    ids = [r.page_id for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
     got = {r.page_id: r.status for r in op3_warc_fixity(spark, sf_dir).collect()}
-    assert got == {r.page_id: "missing" if r.page_id % 389 == 7 else "damaged" if r.page_id % 97 == 5 else "intact" for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    assert {i for i, status in got.items() if status == "extra"} == {-1 - i for i in ids if i % 401 == 11}
+    assert {i: status for i, status in got.items() if i >= 0} == {i: "missing" if i % 389 == 7 else "damaged" if i % 97 == 5 else "intact" for i in ids}
