@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import epoch_seconds
 from ordermill.operators.ordering import smallest_rows
 from ordermill.sources.schemas import PRIMARY_KEYS
+from ordermill.sources.store import ROW_KEY, key_hash
 
 c = F.col
 
@@ -19,6 +22,27 @@ def lookup(table: str, rows: DataFrame, keys: DataFrame) -> DataFrame:
     return keys.join(rows, PRIMARY_KEYS[table])
 
 
+#: Up to so many keys, a lookup tells the scan which key hashes it wants. Scans compare at most ten values of one IN with Bloom filters.
+MOST_POINTS, VALUES_OF_IN = 200, 10
+
+
+def lookup_points(store, table: str, keys: DataFrame) -> DataFrame:
+    """``lookup`` in a stored table, made for few keys (hand them over as a table that is cheap to read).
+
+    With MOST_POINTS keys at most, their hashes go into the scan's filter, and row groups whose Bloom filter holds none
+    of them are skipped; the join by key decides. More keys, or a table without hashes, make it the plain lookup. Rows with null keys match nothing.
+    """
+    rows = store.keyed(table)
+    if ROW_KEY in rows.columns:
+        few = keys.dropna(subset=PRIMARY_KEYS[table]).select(key_hash(table).alias(ROW_KEY)).limit(MOST_POINTS + 1).collect()
+        if len(few) <= MOST_POINTS:
+            wanted = sorted({r[0] for r in few})
+            runs = [c(ROW_KEY).isin(wanted[i: i + VALUES_OF_IN]) for i in range(0, len(wanted), VALUES_OF_IN)]
+            rows = rows.where(reduce(Column.__or__, runs, F.lit(False)))
+        rows = rows.drop(ROW_KEY)
+    return lookup(table, rows, keys)
+
+
 def order_lines_by_key(orders: DataFrame, keys: DataFrame) -> DataFrame:
     """Order lines and entry date of orders by (warehouse, district, order)."""
     return lookup("orders", orders.select(*PRIMARY_KEYS["orders"], "o_orderline", "o_entry_d"), keys)

@@ -94,6 +94,13 @@ def _order_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy("o_id", "o_entry_d").agg(F.sum("in_part").alias("lines"))
 
 
+def _newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order with the last number of every district, asked for by its key."""
+    store = loaded_store(spark, sf_dir)
+    keys = store.table("district").select(c("d_w_id").alias("o_w_id"), c("d_id").alias("o_d_id"), (c("d_next_o_id") - 1).alias("o_id"))
+    return shaped(once_each(lookups.lookup_points(store, "orders", keys)), "o_w_id bigint, o_d_id bigint, o_id bigint, o_c_id bigint, o_entry_d timestamp_ntz")
+
+
 MINUTES = (1, 5, 15, 60)
 
 
@@ -165,6 +172,8 @@ def entries() -> Entries:
         "SELECT l.o_w_id, l.o_d_id, l.o_id, o_entry_d, ol_number, ol_i_id, ol_amount FROM k JOIN d_ol l ON l.o_w_id = k.o_w_id AND l.o_d_id = k.o_d_id AND l.o_id = k.o_id",
         {"k": "SELECT DISTINCT o_w_id, o_d_id, o_id + ol_number AS o_id FROM d_ol"}))
     found["lookup_orders_id_range"] = (_order_range, with_views("SELECT o_id, o_entry_d, o_ol_cnt AS lines FROM d_header WHERE o_w_id = 2 AND o_d_id = 3"))
+    found["lookup_newest_orders"] = (_newest, with_views(
+        "SELECT o_w_id, o_d_id, o_id, o_c_id, o_entry_d FROM d_header JOIN d_district ON o_w_id = d_w_id AND o_d_id = d_id AND o_id = d_next_o_id - 1"))
     found["range_orders_by_entry"] = (_range_counts, with_views(
         "SELECT minutes, low, high, (SELECT count(*) FROM d_header WHERE o_entry_d > low AND o_entry_d < high) AS orders FROM windows", _WINDOWS_SQL))
     found["range_orders_rows"] = (_range_orders, with_views(

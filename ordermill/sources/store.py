@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from threading import RLock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.operators.reshape import PART, PART_LINES, ZONES, to_flat, to_toplevel, with_zones
 from ordermill.sources.bridge import Bridge
-from ordermill.sources.schemas import SUPPLIERS
+from ordermill.sources.schemas import PRIMARY_KEYS, SUPPLIERS
 from ordermill.sources.workspace import fresh_path
 
 # Row order inside each file, so that min/max statistics let date ranges skip row groups.
@@ -48,14 +49,37 @@ _FLAT_PARTS = {
 RANGED = {"orders": ["o_entry_d", "o_w_id", "o_d_id", "o_id", PART]}
 
 
-def write_table(df: DataFrame, path: str, table: str = "") -> None:
-    """Parquet rows in clustering order; orders in date ranges and with their delivery zones."""
+# Large tables that are asked for single keys: their rows carry a hash of the key, which Parquet keeps Bloom filters of.
+KEYED = ("customer", "item", "neworder", "orders", "stock")
+ROW_KEY = "row_key"
+
+
+def key_hash(table: str) -> Column:
+    return F.xxhash64(*[F.col(k).cast("bigint") for k in PRIMARY_KEYS[table]])
+
+
+def as_stored(df: DataFrame, table: str) -> DataFrame:
+    """Rows with the plain columns that let scans skip files and row groups: delivery zones of orders, hashes of keys."""
     if table == "orders" and "o_orderline" in df.columns:
         df = with_zones(df)
+    return df.withColumn(ROW_KEY, key_hash(table)) if table in KEYED and set(PRIMARY_KEYS[table]) <= set(df.columns) else df
+
+
+def write_table(df: DataFrame, path: str, table: str = "") -> None:
+    """Parquet rows in clustering order, orders in date ranges, with the columns of ``as_stored``.
+
+    Every row group has a Bloom filter of its key hashes, of at most Parquet's one megabyte. Hashes are not
+    put in a dictionary, which would be as large as they are.
+    """
+    df = as_stored(df, table)
     if table in RANGED:
         df = df.repartitionByRange(*[c for c in RANGED[table] if c in df.columns])
     keys = [c for c in CLUSTERING.get(table, []) if c in df.columns]
-    (df.sortWithinPartitions(*keys) if keys else df).write.parquet(path)
+    writer = (df.sortWithinPartitions(*keys) if keys else df).write
+    if ROW_KEY in df.columns:
+        bloom = {"bloom.filter.enabled": "true", "bloom.filter.adaptive.enabled": "true", "enable.dictionary": "false"}
+        writer = writer.options(**{f"parquet.{k}" + ("" if "adaptive" in k else f"#{ROW_KEY}"): v for k, v in bloom.items()})
+    writer.parquet(path)
 
 
 class FolderStore:
@@ -68,12 +92,15 @@ class FolderStore:
         self.suppliers = suppliers
         self._tables: dict[str, DataFrame] = {}
 
-    def zoned(self, name: str) -> DataFrame:
-        """The table as written, with delivery zones if it has them."""
+    def keyed(self, name: str) -> DataFrame:
+        """The table as written, with delivery zones and key hashes if it has them."""
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}")
         return self._tables[name]
 
+    def zoned(self, name: str) -> DataFrame:
+        return self.keyed(name).drop(ROW_KEY)
+
     def table(self, name: str) -> DataFrame:
         return self.zoned(name).drop(*ZONES)
 
@@ -125,14 +152,17 @@ class LoadedStore:
         return self.zoned(name).drop(*ZONES)
 
     def zoned(self, name: str) -> DataFrame:
+        """The table with delivery zones if it has them."""
+        return self.keyed(name).drop(ROW_KEY)
+
+    def keyed(self, name: str) -> DataFrame:
         """The table as written; files are listed once and the schema is known without reading."""
         with self._lock:
             if name not in self._tables:
                 path = f"{self.folder}/{name}"
                 derived = self._derive(name)
                 write_table(derived, path, name)
-                schema = with_zones(derived).schema if name == "orders" else derived.schema
-                self._tables[name] = self.spark.read.schema(schema).parquet(path)
+                self._tables[name] = self.spark.read.schema(as_stored(derived, name).schema).parquet(path)
             return self._tables[name]
 
 
