@@ -17,6 +17,8 @@ from ordermill.operators.reshape import PART, PART_LINES, PARTS, in_parts, nest
 WAREHOUSES = 4
 DISTRICTS = 10
 FIRST_NATION = 97  # code point of "a": nation 0 owns the states starting with "a"
+# Given rows that one task turns into documents and sorts: at most about two kilobytes each when wide.
+ROWS_PER_TASK = 1 << 16
 
 
 def _c(name: str) -> Column:
@@ -51,14 +53,28 @@ def customer_of(custkey: Column) -> Column:
 class Bridge:
     """Derived tables by name; ``table("orders")`` and so on."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, rows_per_task: int = ROWS_PER_TASK):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.rows_per_task = rows_per_task
         self._supplier_count: int | None = None
 
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str, *keys: Column) -> DataFrame:
+        """Given rows in ranges of ``keys``, one per ``rows_per_task`` rows (counted from file footers).
+
+        Wide documents take many times the bytes of the rows they come from, and a given file of a few megabytes is one
+        split: the narrow rows are dealt to tasks before they are widened. Where a row stands splits a key of very many rows.
+        """
+        rows = self.given(name)
+        tasks = -(-rows.count() // self.rows_per_task)
+        if tasks <= 1:
+            return rows
+        placed = rows.select("*", _c("_metadata.file_name").alias("_file"), _c("_metadata.row_index").alias("_row"))
+        return placed.repartitionByRange(tasks, *keys, "_file", "_row").drop("_file", "_row")
+
     @property
     def suppliers(self) -> int:
         """Number of suppliers, the modulus of the supplier rule (answered from file footers)."""
@@ -213,7 +229,7 @@ class Bridge:
     def _stock(self) -> DataFrame:
         """Every item in every warehouse; ``s_suppkey`` is the generated supplier column."""
         i, w = _c("s_i_id"), _c("s_w_id")
-        rows = self.given("part").select(
+        rows = self.spread("part", _c("p_partkey")).select(
             _c("p_partkey").alias("s_i_id"),
             F.explode(F.sequence(_big(F.lit(1)), _big(F.lit(WAREHOUSES)))).alias("s_w_id"),
         )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ordermill.plans import lookups
 from ordermill.sources.schemas import PRIMARY_KEYS
-from ordermill.sources.store import FolderStore, loaded_store, refresh, write_table
+from ordermill.sources.store import FolderStore, LoadedStore, loaded_store, refresh, write_table
 
 
 def test_refresh_loads_changed_tables(spark, tmp_path):
@@ -63,3 +63,18 @@ def test_single_keys_skip_row_groups(spark, tmp_path):
     assert lookups.lookup_points(store, "stock", twenty).count() == 25
     text = lookups.lookup_points(store, "stock", twenty)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in text and text.split("PushedFilters: [")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("name", ["stock"])
+def test_wide_tables_are_widened_and_sorted_in_pieces(spark, tmp_path, name):
+    """However small the given file, no task sorts more documents than those of its share of the rows; one key in all rows is cut too."""
+    spark.range(400).selectExpr("if(id < 200, id, 7) as p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(30).selectExpr("id as s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.range(400).selectExpr("if(id < 200, id, 7) as c_custkey", "'c' as c_name", "cast(id % 25 as int) as c_nationkey", "id / 4 as c_acctbal").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    store, whole = LoadedStore(spark, str(tmp_path)), LoadedStore(spark, str(tmp_path))
+    store.bridge.rows_per_task = 50
+    pieces = store.table(name).groupBy(F.input_file_name()).count().collect()
+    share = 50 * (4 if name == "stock" else 1)
+    assert len(pieces) >= 8 and max(n for _, n in pieces) <= 2 * share
+    assert sorted(map(str, store.table(name).collect())) == sorted(map(str, whole.table(name).collect()))
+    assert whole.table(name).count() == 8 * share
