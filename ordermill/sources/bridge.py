@@ -154,7 +154,7 @@ class Bridge:
         others = F.slice(F.array(F.lit("home"), F.lit("work"), F.lit("billing")), F.lit(1), (k % 4).cast("int"))
         phones = F.slice(F.array(F.lit("home"), F.lit("work"), F.lit("mobile")), F.lit(1), (k % 3).cast("int"))
         phone = F.concat(_text(1 + k % 9), F.lit("-555"))
-        return self.given("customer").select(
+        return self.spread("customer", warehouse_of(k), district_of(k), customer_of(k)).select(
             customer_of(k).alias("c_id"),
             district_of(k).alias("c_d_id"),
             warehouse_of(k).alias("c_w_id"),

@@ -65,7 +65,7 @@ def test_single_keys_skip_row_groups(spark, tmp_path):
     assert "PushedFilters: [" in text and text.split("PushedFilters: [")[1].split("]")[0]
 
 
-@pytest.mark.parametrize("name", ["stock"])
+@pytest.mark.parametrize("name", ["stock", "customer"])
 def test_wide_tables_are_widened_and_sorted_in_pieces(spark, tmp_path, name):
     """However small the given file, no task sorts more documents than those of its share of the rows; one key in all rows is cut too."""
     spark.range(400).selectExpr("if(id < 200, id, 7) as p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
