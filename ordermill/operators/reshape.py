@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.operators.changes import key_filter
+
 _STRUCTS = {
     "warehouse": ["w_address"],
     "district": ["d_address"],
@@ -127,11 +129,14 @@ def in_parts(parent: DataFrame, child: DataFrame, keys: list[str], count: str, s
     """Both sides with the number of their part: ``parent`` once per part, ``child`` rows dealt by the hash ``spread``.
 
     ``count`` is the column of ``parent`` with the number of children. The keys of documents that have several parts are
-    joined to the child rows; all others are part 0. A key with very many rows so meets its parent in as many groups as it has parts.
+    joined to the child rows that may be theirs (see ``operators/changes.py``); all others are part 0. A key with very many rows so meets its parent in as many groups as it has parts.
     """
     numbered = parent.withColumn(PARTS, number_of_parts(F.col(count), part_lines))
     several = numbered.where(F.col(PARTS) > 1).select(*keys, F.col(PARTS).alias("_parts"))
-    dealt = child.join(several, keys, "left").withColumn(PART, F.coalesce(F.pmod(spread, F.col("_parts")), F.lit(0)).cast("bigint")).drop("_parts")
+    # Children that cannot be of a document of several parts are not shuffled to find that out; null keys have no document.
+    may = F.coalesce(key_filter(child, several, keys), F.lit(False))
+    dealt = child.where(may).join(several, keys, "left").withColumn(PART, F.coalesce(F.pmod(spread, F.col("_parts")), F.lit(0)).cast("bigint"))
+    dealt = dealt.select(*child.columns, PART).unionByName(child.where(~may).withColumn(PART, F.lit(0).cast("bigint")))
     return numbered.withColumn(PART, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(PARTS) - 1))), dealt
 
 

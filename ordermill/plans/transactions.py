@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import MONEY_SUM, money, money_total
-from ordermill.operators.changes import laid_over, overlay, possible, without_keys
+from ordermill.operators.changes import key_filter, laid_over, overlay, possible, without_keys
 from ordermill.operators.ordering import middle_row, running_total
 from ordermill.operators.reshape import PART, PARTS, folded, once_each, with_parts
 from ordermill.plans.layouts import ORDER_KEY
@@ -259,14 +259,21 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Keep = _as_is)
         F.forall("lines", lambda line: line["w_id"] == c("w_id")).cast("bigint"), F.min)})
     numbered = "n" in requests.schema["lines"].dataType.elementType.names
     number = F.when(c(PARTS) > 1, c("line.n")).otherwise(c("pos")) if numbered else c("pos")
-    items = tables["item"].select(c("i_id").alias("ol_i_id"), "i_name", "i_price", "i_data")
-    asked = requests.select(
-        "seq", c("w_id"), c("d_id"), PART, PARTS, F.posexplode("lines").alias("pos", "line")
-    ).select(
-        "seq", "w_id", "d_id", PART, "pos", (number + 1).cast("bigint").alias("ol_number"), c("line.i_id").alias("ol_i_id"),
-        c("line.w_id").alias("ol_supply_w_id"), c("line.qty").alias("ol_quantity"),
-    ).join(items, "ol_i_id", "left")
-    unknown = asked.where(c("i_price").isNull()).select("seq").distinct()
+    items = tables["item"].select(c("i_id").alias("s_i_id"), "i_name", "i_price", "i_data")
+
+    def lines_of(rows: DataFrame, *columns: str) -> DataFrame:
+        """A row per line of requests, under the key of its stock row."""
+        return rows.select("seq", PARTS, PART, *columns, F.posexplode("lines").alias("pos", "line")).select(
+            "seq", PART, *columns, "pos", (number + 1).cast("bigint").alias("ol_number"),
+            c("line.w_id").alias("s_w_id"), c("line.i_id").alias("s_i_id"), c("line.qty").alias("ol_quantity"),
+        )
+
+    # Items are looked up as distinct numbers; of the lines, only those that may ask for a missing one are shuffled.
+    asked = lines_of(requests).select("seq", "s_i_id")
+    missing = asked.select("s_i_id").distinct().join(items, "s_i_id", "left").where(c("i_price").isNull()).select("s_i_id").distinct()
+    suspects = asked.where(key_filter(asked, missing, ["s_i_id"]) | c("s_i_id").isNull()).distinct()
+    unknown = suspects.join(missing.withColumn("_missing", F.lit(True)), "s_i_id", "left").where(
+        c("_missing") | c("s_i_id").isNull()).select("seq").distinct()
 
     people = tables["customer"].select(
         c("c_w_id").alias("w_id"), c("c_d_id").alias("d_id"), "c_id", "c_discount", "c_name.c_last", "c_credit"
@@ -283,24 +290,26 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Keep = _as_is)
     )
     placed = keep(placed, "placed")
 
+    # Requests meet their order while their lines are still in one row; a line then meets stock and item, put together
+    # before, in one join, and goes on to the running total without the texts that only mark its brand and district.
     stock_key = ["s_w_id", "s_i_id"]
-    lines = asked.join(placed.select("seq", "o_entry_d"), "seq").withColumns(
-        {"s_w_id": c("ol_supply_w_id"), "s_i_id": c("ol_i_id")}
-    )
-    stock = tables["stock"].select(*stock_key, "s_quantity", "s_data", "s_dists")
-    lines = lines.join(stock, stock_key).withColumn("ol_quantity", _checked_quantity(c("ol_quantity"), c("s_quantity")))
+    ordered = requests.select("seq", "w_id", "d_id", PART, PARTS, "lines").join(placed.select("seq", c("o_entry_d").alias("ol_delivery_d")), "seq")
+    brand = F.when(c("i_data").contains(ORIGINAL) & c("s_data").contains(ORIGINAL), "B").otherwise("G")
+    goods = tables["stock"].select(*stock_key, "s_quantity", "s_data", "s_dists").join(items, "s_i_id").select(
+        *stock_key, "s_quantity", "s_dists", "i_name", "i_price", brand.alias("brand"))
+    lines = lines_of(ordered, "w_id", "d_id", "ol_delivery_d").join(goods, stock_key).withColumns({
+        "ol_quantity": _checked_quantity(c("ol_quantity"), c("s_quantity")),
+        "ol_dist_info": F.get("s_dists", (c("d_id") - 1).cast("int")),
+    }).drop("s_dists", "d_id")
     lines = running_total(lines, stock_key, ["seq", "ol_number", PART, "pos"], {"_taken": c("ol_quantity")})
     lines = lines.withColumns({
         "ol_amount": money(c("ol_quantity") * money(c("i_price"))).cast("double"),
         "left_in_stock": stock_after(c("s_quantity"), c("_taken") + c("ol_quantity")),
-        "brand": F.when(c("i_data").contains(ORIGINAL) & c("s_data").contains(ORIGINAL), "B").otherwise("G"),
-        "ol_dist_info": F.get("s_dists", (c("d_id") - 1).cast("int")),
-        "ol_delivery_d": c("o_entry_d"),
     })
-    lines = keep(lines.drop("s_dists", "i_data", "s_data"), "lines")
+    lines = keep(lines.drop("s_quantity", "_taken", "pos"), "lines")
 
     # One group per part of a request, which already holds its lines in one row.
-    line_fields = ["ol_number", "ol_i_id", "ol_supply_w_id", "ol_delivery_d", "ol_quantity", "ol_amount", "ol_dist_info"]
+    line_fields = ["ol_number", c("s_i_id").alias("ol_i_id"), c("s_w_id").alias("ol_supply_w_id"), "ol_delivery_d", "ol_quantity", "ol_amount", "ol_dist_info"]
     grouped = lines.groupBy("seq", PART).agg(
         F.sort_array(F.collect_list(F.struct(*line_fields))).alias("o_orderline"),
         F.sort_array(F.collect_list(F.struct(
