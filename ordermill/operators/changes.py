@@ -27,13 +27,17 @@ def key_filter(base: DataFrame, changed: DataFrame, keys: list[str], bits: int =
 
     Keys are compared in the types of ``base``. Null keys follow the rule of joins: they match nothing, whatever the filter says.
     """
-    place = _place([F.col(k).cast(base.schema[k].dataType) for k in keys], bits)
-    set_bits = changed.select(place.alias("place")).groupBy(F.floor(F.col("place") / _WORD).alias("id")).agg(
+    places = changed.select(_place([F.col(k).cast(base.schema[k].dataType) for k in keys], bits).alias("place"))
+    return among_places(places, _place([F.col(k) for k in keys], bits), bits)
+
+
+def among_places(places: DataFrame, place: Column, bits: int) -> Column:
+    """Whether ``place`` is a value of the column ``place`` of ``places``; all are numbers from 0 to below ``bits``, a multiple of 64."""
+    set_bits = places.groupBy(F.floor(F.col("place") / _WORD).alias("id")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(place % {_WORD} as int))")).alias("word")
     )
-    every = base.sparkSession.range(0, bits // _WORD, 1, 1).join(set_bits, "id", "left")
+    every = places.sparkSession.range(0, bits // _WORD, 1, 1).join(set_bits, "id", "left")
     words = every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("word", F.lit(0).cast("bigint")).alias("word"))))["word"].alias("words"))
-    place = _place([F.col(k) for k in keys], bits)
     word = F.get(words.scalar(), F.floor(place / _WORD).cast("int"))
     return F.getbit(word, (place % _WORD).cast("int")) == 1
 

@@ -12,9 +12,12 @@ import itertools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.operators.changes import among_places
 from ordermill.sources.workspace import fresh_path
 
 SLICE = 65_536
+# Keys are counted by a hash of so many values to find those that may have very many rows.
+BUCKETS = 1 << 16
 # A selection cuts a key at about this many of the rows it draws.
 CUTS = 32
 DRAWN = 256
@@ -45,6 +48,23 @@ def running_total(rows: DataFrame, keys: list[str], order: list[str], values: di
     return joined.withColumns(out).drop("_slice", *[f"_start_{n}" for n in values])
 
 
+def crowded(rows: DataFrame, keys: list[Column], bound: int = SLICE, buckets: int = BUCKETS) -> Column | None:
+    """Whether a key may have more than ``bound`` of ``rows``, never false for one that has; none if no key has so many.
+
+    Counted are the hashes of keys, at most ``buckets`` numbers per task, so that keys themselves are not shuffled.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    counts = rows.groupBy(place.alias("place")).agg(F.count("*").alias("_n"))
+    many = counts.where(F.col("_n") > bound).select("place")
+    return None if many.isEmpty() else among_places(many, place, buckets)
+
+
+def total_in_one_task(rows: DataFrame, keys: list[str], order: list[str], values: dict[str, Column]) -> DataFrame:
+    """``running_total`` by a plain window, for keys that are not ``crowded``: rows that already lie by key stay there."""
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumns({name: F.coalesce(F.sum(value).over(before), F.lit(0)) for name, value in values.items()})
+
+
 def row_at(rows: DataFrame, keys: list[str], text: str, tie: str, place: Column, bound: int = SLICE) -> DataFrame:
     """The row at a 0-based place of each key, ordered by ``text`` then ``tie`` (unique within its key).
 

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.expr import MONEY_SUM, money, money_total
 from ordermill.operators.changes import key_filter, laid_over, overlay, possible, without_keys
-from ordermill.operators.ordering import middle_row, running_total
+from ordermill.operators.ordering import crowded, middle_row, running_total, total_in_one_task
 from ordermill.operators.reshape import PART, PARTS, folded, once_each, with_parts
 from ordermill.plans.layouts import ORDER_KEY
 from ordermill.sources.schemas import BAD_CREDIT, MAX_CUSTOMER_NOTE, NO_CARRIER, ORDERLINE, ORIGINAL, PRIMARY_KEYS
+from ordermill.sources.workspace import fresh_path
 
 Tables = dict[str, DataFrame]
 # Writes an intermediate result under a label and gives it back as read, or gives it back as it is.
@@ -226,7 +227,12 @@ def _checked_quantity(quantity: Column, stock: Column) -> Column:
     return F.when(valid, quantity).otherwise(F.raise_error(F.lit("order quantity or stock level out of range")).cast("bigint"))
 
 
-def new_order(tables: Tables, requests: DataFrame, keep: Keep = _as_is) -> tuple[Tables, DataFrame]:
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    rows.write.parquet(path := fresh_path(rows.sparkSession, label))
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def new_order(tables: Tables, requests: DataFrame, keep: Keep = _written) -> tuple[Tables, DataFrame]:
     """Place orders and return whole new table versions; see ``new_order_changes``."""
     changes, result = new_order_changes(tables, requests, keep)
     return {
@@ -237,13 +243,13 @@ def new_order(tables: Tables, requests: DataFrame, keep: Keep = _as_is) -> tuple
     }, result
 
 
-def new_order_changes(tables: Tables, requests: DataFrame, keep: Keep = _as_is) -> tuple[Tables, DataFrame]:
+def new_order_changes(tables: Tables, requests: DataFrame, keep: Keep = _written) -> tuple[Tables, DataFrame]:
     """Place orders: number them per district, take the pieces from stock, price the lines.
 
     Returns only what changes: new ``orders`` and ``neworder`` rows, and the ``district`` and
     ``stock`` rows with new values, so that a small batch costs little on large tables. All
-    outputs follow from two intermediate results; a caller that uses several of the outputs
-    passes ``keep`` to write each of the two once and read it back.
+    outputs follow from two intermediate results, which are written once (with the numbers of the few requests not simply
+    placed) and read back: by ``keep``, or below the shared folder of the session.
 
     Requests: seq, w_id, d_id, c_id, o_entry_d, lines ARRAY<STRUCT<i_id, w_id, qty>>. A request
     without lines, with an unknown item or for an unknown customer is not placed and takes no
@@ -254,12 +260,9 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Keep = _as_is)
     ``total`` is that of the whole order.
     """
     requests = with_parts(requests)
-    head = requests.where(c(PART) == 0).drop("lines", PART)
-    sizes = folded(requests, ["seq"], {"n_lines": (F.size("lines").cast("bigint"), F.sum), "all_local": (
-        F.forall("lines", lambda line: line["w_id"] == c("w_id")).cast("bigint"), F.min)})
     numbered = "n" in requests.schema["lines"].dataType.elementType.names
     number = F.when(c(PARTS) > 1, c("line.n")).otherwise(c("pos")) if numbered else c("pos")
-    items = tables["item"].select(c("i_id").alias("s_i_id"), "i_name", "i_price", "i_data")
+    items = tables["item"].select(c("i_id").alias("s_i_id"), "i_name", "i_price", c("i_data").contains(ORIGINAL).alias("_i_original"))
 
     def lines_of(rows: DataFrame, *columns: str) -> DataFrame:
         """A row per line of requests, under the key of its stock row."""
@@ -275,41 +278,63 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Keep = _as_is)
     unknown = suspects.join(missing.withColumn("_missing", F.lit(True)), "s_i_id", "left").where(
         c("_missing") | c("s_i_id").isNull()).select("seq").distinct()
 
+    # A request in one part has its sizes in its own row; those in several, of a repeated number or an unknown item are put together.
+    sizes = {"n_lines": (F.size("lines").cast("bigint"), F.sum), "all_local": (F.forall("lines", lambda line: line["w_id"] == c("w_id")).cast("bigint"), F.min)}
+    repeated = requests.where(c(PART) == 0).groupBy("seq").agg(F.count("*").alias("_n")).where(c("_n") > 1).select("seq")
+    apart = (c(PARTS) > 1) | key_filter(requests, repeated.unionByName(unknown), ["seq"])
+    several = requests.where(apart)
+    head = requests.where(~apart & c("seq").isNotNull() & (c(PART) == 0)).withColumns(
+        {name: value for name, (value, _) in sizes.items()}).drop("lines", PART).unionByName(
+        several.where(c(PART) == 0).drop("lines", PART).join(folded(several, ["seq"], sizes), "seq").join(unknown, "seq", "left_anti"))
+
     people = tables["customer"].select(
         c("c_w_id").alias("w_id"), c("c_d_id").alias("d_id"), "c_id", "c_discount", "c_name.c_last", "c_credit"
     )
     rates = tables["district"].select(c("d_w_id").alias("w_id"), "d_id", "d_tax", "d_next_o_id").join(
         tables["warehouse"].select("w_id", "w_tax"), "w_id"
     )
-    valid = (
-        head.join(sizes.where(c("n_lines") > 0), "seq").join(unknown, "seq", "left_anti")
-        .join(rates, ["w_id", "d_id"]).join(people, ["w_id", "d_id", "c_id"])
-    )
+    valid = head.where(c("n_lines") > 0).join(rates, ["w_id", "d_id"]).join(people, ["w_id", "d_id", "c_id"])
     placed = running_total(valid, ["w_id", "d_id"], ["seq"], {"_earlier": F.lit(1)}).withColumn(
         "o_id", c("d_next_o_id") + c("_earlier")
     )
     placed = keep(placed, "placed")
 
-    # Requests meet their order while their lines are still in one row; a line then meets stock and item, put together
-    # before, in one join, and goes on to the running total without the texts that only mark its brand and district.
+    # Nearly all requests with lines are placed, once: only the others meet what was placed with all their lines.
+    times = placed.groupBy("seq").agg(F.count("*").alias("_times"))
+    other = requests.where(F.size("lines") > 0).select("seq").distinct().join(times, "seq", "left").where(
+        F.coalesce("_times", F.lit(0)) != 1).select("seq")
+    other = keep(other, "other")
+    may = key_filter(requests, other, ["seq"])
+    wanted = requests.select("seq", "w_id", "d_id", PART, PARTS, "lines")
+    ordered = wanted.where(~may & c("seq").isNotNull()).unionByName(
+        wanted.where(may).join(possible(placed.select("seq"), other, ["seq"]), "seq").select(wanted.columns))
+
+    # Wide stock rows are shuffled once, under the key of lines: items go there with the distinct keys of stock. The running
+    # total needs no further exchange but for stock rows of very many lines, which are counted and summed in slices.
     stock_key = ["s_w_id", "s_i_id"]
-    ordered = requests.select("seq", "w_id", "d_id", PART, PARTS, "lines").join(placed.select("seq", c("o_entry_d").alias("ol_delivery_d")), "seq")
-    brand = F.when(c("i_data").contains(ORIGINAL) & c("s_data").contains(ORIGINAL), "B").otherwise("G")
-    goods = tables["stock"].select(*stock_key, "s_quantity", "s_data", "s_dists").join(items, "s_i_id").select(
-        *stock_key, "s_quantity", "s_dists", "i_name", "i_price", brand.alias("brand"))
-    lines = lines_of(ordered, "w_id", "d_id", "ol_delivery_d").join(goods, stock_key).withColumns({
-        "ol_quantity": _checked_quantity(c("ol_quantity"), c("s_quantity")),
-        "ol_dist_info": F.get("s_dists", (c("d_id") - 1).cast("int")),
-    }).drop("s_dists", "d_id")
-    lines = running_total(lines, stock_key, ["seq", "ol_number", PART, "pos"], {"_taken": c("ol_quantity")})
-    lines = lines.withColumns({
-        "ol_amount": money(c("ol_quantity") * money(c("i_price"))).cast("double"),
-        "left_in_stock": stock_after(c("s_quantity"), c("_taken") + c("ol_quantity")),
-    })
-    lines = keep(lines.drop("s_quantity", "_taken", "pos"), "lines")
+    stock = tables["stock"].select(*stock_key, "s_quantity", "s_dists", c("s_data").contains(ORIGINAL).alias("_s_original"))
+    goods = stock.select(*stock_key).repartition("s_i_id").distinct().join(items, "s_i_id")
+    hot = crowded(lines_of(requests), [c(k).cast("bigint") for k in stock_key])
+
+    def met(which: Column) -> DataFrame:
+        """Lines of some stock rows beside what they take."""
+        rows = lines_of(ordered, "w_id", "d_id").where(which).join(stock.where(which), stock_key).join(goods.where(which), stock_key)
+        return rows.withColumns({
+            "ol_quantity": _checked_quantity(c("ol_quantity"), c("s_quantity")),
+            "ol_dist_info": F.get("s_dists", (c("d_id") - 1).cast("int")),
+            "brand": F.when(c("_i_original") & c("_s_original"), "B").otherwise("G"),
+        }).drop("s_dists", "d_id", "_i_original", "_s_original")
+
+    order, taken = ["seq", "ol_number", PART, "pos"], {"_taken": c("ol_quantity")}
+    lines = total_in_one_task(met(F.lit(True) if hot is None else ~hot), stock_key, order, taken)
+    if hot is not None:
+        lines = lines.unionByName(running_total(met(hot), stock_key, order, taken))
+    lines = lines.withColumn("left_in_stock", stock_after(c("s_quantity"), c("_taken") + c("ol_quantity")))
+    lines = keep(lines.drop("s_quantity", "_taken", "pos"), "lines").withColumn(
+        "ol_amount", money(c("ol_quantity") * money(c("i_price"))).cast("double"))
 
     # One group per part of a request, which already holds its lines in one row.
-    line_fields = ["ol_number", c("s_i_id").alias("ol_i_id"), c("s_w_id").alias("ol_supply_w_id"), "ol_delivery_d", "ol_quantity", "ol_amount", "ol_dist_info"]
+    line_fields = ["ol_number", c("s_i_id").alias("ol_i_id"), c("s_w_id").alias("ol_supply_w_id"), "ol_quantity", "ol_amount", "ol_dist_info"]
     grouped = lines.groupBy("seq", PART).agg(
         F.sort_array(F.collect_list(F.struct(*line_fields))).alias("o_orderline"),
         F.sort_array(F.collect_list(F.struct(
@@ -318,11 +343,14 @@ def new_order_changes(tables: Tables, requests: DataFrame, keep: Keep = _as_is)
     )
     parts = placed.withColumn(PART, F.explode(F.sequence(F.lit(0).cast("bigint"), c(PARTS) - 1)))
     full = parts.join(grouped, ["seq", PART], "left")
+    delivered = F.transform("o_orderline", lambda ol: F.struct(
+        *[ol[n].alias(n) for n in ("ol_number", "ol_i_id", "ol_supply_w_id")], c("o_entry_d").alias("ol_delivery_d"),
+        *[ol[n].alias(n) for n in ("ol_quantity", "ol_amount", "ol_dist_info")]))
     documents = full.select(
         "o_id", c("c_id").alias("o_c_id"), c("d_id").alias("o_d_id"), c("w_id").alias("o_w_id"),
         F.lit(NO_CARRIER).cast("bigint").alias("o_carrier_id"), c("n_lines").alias("o_ol_cnt"),
         c("all_local").alias("o_all_local"), "o_entry_d", PART, PARTS,
-        F.coalesce("o_orderline", F.array().cast(f"ARRAY<{ORDERLINE.format(date='TIMESTAMP_NTZ')}>")).alias("o_orderline"),
+        F.coalesce(delivered, F.array().cast(f"ARRAY<{ORDERLINE.format(date='TIMESTAMP_NTZ')}>")).alias("o_orderline"),
     )
     waiting = placed.select(c("o_id").alias("no_o_id"), c("d_id").alias("no_d_id"), c("w_id").alias("no_w_id"))
 

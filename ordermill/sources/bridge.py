@@ -8,17 +8,21 @@ twin is ``plans/twin_sql.py``). Four warehouses with ten districts each.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.expr import plus_days, supplier_key, ts
-from ordermill.operators.reshape import PART, PART_LINES, PARTS, in_parts, nest
+from ordermill.operators.reshape import PART, PART_LINES, PARTS, in_parts
 
 WAREHOUSES = 4
 DISTRICTS = 10
 FIRST_NATION = 97  # code point of "a": nation 0 owns the states starting with "a"
 # Given rows that one task turns into documents and sorts: at most about two kilobytes each when wide.
 ROWS_PER_TASK = 1 << 16
+# What ``Bridge._lines`` gives of a line, beside its order.
+_GIVEN_LINE = ("ol_number", "ol_i_id", "_remote", "_days", "ol_quantity", "ol_amount")
 
 
 def _c(name: str) -> Column:
@@ -275,21 +279,26 @@ class Bridge:
         )
 
     @staticmethod
-    def _line_fields() -> list[Column]:
+    def _line_fields(line: Callable[[str], Column] = _c) -> list[Column]:
+        """Fields of an order line; ``line`` gives the columns of ``_lines`` by name."""
         w = _c("o_w_id")
-        delivered = F.when(_c("o_carrier_id") > 0, plus_days(_c("o_entry_d"), _c("_days")))
+        delivered = F.when(_c("o_carrier_id") > 0, plus_days(_c("o_entry_d"), line("_days")))
         return [
-            _c("ol_number"),
-            _c("ol_i_id"),
-            F.when(_c("_remote"), 1 + w % WAREHOUSES).otherwise(w).alias("ol_supply_w_id"),
+            line("ol_number").alias("ol_number"),
+            line("ol_i_id").alias("ol_i_id"),
+            F.when(line("_remote"), 1 + w % WAREHOUSES).otherwise(w).alias("ol_supply_w_id"),
             delivered.alias("ol_delivery_d"),
-            _c("ol_quantity"),
-            _c("ol_amount"),
+            line("ol_quantity").alias("ol_quantity"),
+            line("ol_amount").alias("ol_amount"),
             F.concat(F.lit("D"), _text(_c("o_d_id"))).alias("ol_dist_info"),
         ]
 
     def documents(self, header: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
-        """Nested orders, in parts of about ``part_lines`` lines.
+        """Nested orders, in parts of about ``part_lines`` lines."""
+        return self.nested(self.gathered(header, part_lines))
+
+    def gathered(self, header: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
+        """Orders with their lines as given, a plain array per column: what need travel where documents are put in another order.
 
         Lines are dealt to parts by where they stand in their file, so that also lines that look alike spread. Both
         sides hash on order and part once; the grouping reuses that layout.
@@ -297,7 +306,15 @@ class Bridge:
         place = F.xxhash64("_file", "_row")
         parents, lines = in_parts(header, self._lines(placed=True), ["o_id"], "o_ol_cnt", place, part_lines)
         joined = parents.join(lines, ["o_id", PART], "left")
-        docs = nest(joined, parents.columns, self._line_fields(), "o_orderline", present=_c("ol_number").isNotNull())
+        # Days are from -147 to 151, whatever the keys.
+        line = F.struct(*[_c(n).cast("smallint").alias(n) if n == "_days" else _c(n) for n in _GIVEN_LINE])
+        grouped = joined.groupBy(*parents.columns).agg(F.collect_list(F.when(_c("ol_number").isNotNull(), line)).alias("_line"))
+        return grouped.select(*parents.columns, *[_c("_line")[n].alias(f"_all_{n}") for n in _GIVEN_LINE])
+
+    def nested(self, gathered: DataFrame) -> DataFrame:
+        """Orders of ``gathered`` as documents, their lines in order."""
+        lines = F.arrays_zip(*[f"_all_{n}" for n in _GIVEN_LINE])
+        docs = gathered.withColumn("o_orderline", F.sort_array(F.transform(lines, lambda x: F.struct(*self._line_fields(lambda n: x[f"_all_{n}"])))))
         return docs.select(
             "o_id", "o_c_id", "o_d_id", "o_w_id", "o_carrier_id", "o_ol_cnt", "o_all_local", "o_entry_d", PART, PARTS, "o_orderline"
         )

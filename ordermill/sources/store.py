@@ -12,6 +12,7 @@ paid once and not by each of the queries, and scans can prune columns and row gr
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +53,7 @@ RANGED = {"orders": ["o_entry_d", "o_w_id", "o_d_id", "o_id", PART]}
 # Large tables that are asked for single keys: their rows carry a hash of the key, which Parquet keeps Bloom filters of.
 KEYED = ("customer", "item", "neworder", "orders", "stock")
 ROW_KEY = "row_key"
+COMPRESSION = "zstd"
 
 
 def key_hash(table: str) -> Column:
@@ -65,17 +67,18 @@ def as_stored(df: DataFrame, table: str) -> DataFrame:
     return df.withColumn(ROW_KEY, key_hash(table)) if table in KEYED and set(PRIMARY_KEYS[table]) <= set(df.columns) else df
 
 
-def write_table(df: DataFrame, path: str, table: str = "") -> None:
+def write_table(df: DataFrame, path: str, table: str = "", finished: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
     """Parquet rows in clustering order, orders in date ranges, with the columns of ``as_stored``.
 
+    ``finished`` makes the rows of the table from those of ``df`` when they are in their range: derived columns do not travel.
     Every row group has a Bloom filter of its key hashes, of at most Parquet's one megabyte. Hashes are not
     put in a dictionary, which would be as large as they are.
     """
-    df = as_stored(df, table)
     if table in RANGED:
         df = df.repartitionByRange(*[c for c in RANGED[table] if c in df.columns])
+    df = as_stored(finished(df), table)
     keys = [c for c in CLUSTERING.get(table, []) if c in df.columns]
-    writer = (df.sortWithinPartitions(*keys) if keys else df).write
+    writer = (df.sortWithinPartitions(*keys) if keys else df).write.option("compression", COMPRESSION)
     if ROW_KEY in df.columns:
         bloom = {"bloom.filter.enabled": "true", "bloom.filter.adaptive.enabled": "true", "enable.dictionary": "false"}
         writer = writer.options(**{f"parquet.{k}" + ("" if "adaptive" in k else f"#{ROW_KEY}"): v for k, v in bloom.items()})
@@ -124,7 +127,7 @@ class LoadedStore:
         if name == "orders_header":
             return self.bridge.table("order_header")
         if name == "orders":
-            return self.bridge.documents(self.table("orders_header"), self.part_lines)
+            return self.bridge.gathered(self.table("orders_header"), self.part_lines)
         if name == "toplevel_customer":
             return to_toplevel("customer", self.table("customer"))
         if name in _FLAT_PARTS:
@@ -132,12 +135,16 @@ class LoadedStore:
             return to_flat(parent, self.table(parent))[part]
         return self.bridge.table(name)
 
+    def _finished(self, name: str) -> Callable[[DataFrame], DataFrame]:
+        """What is left to do when the rows of ``_derive`` are where they are stored."""
+        return self.bridge.nested if name == "orders" else lambda rows: rows
+
     def kept(self, rows: DataFrame, label: str) -> DataFrame:
         """``rows`` as written under this label: by the first call; later ones read what that wrote."""
         with self._lock:
             key = f"kept/{label}"
             if key not in self._tables:
-                rows.write.parquet(f"{self.folder}/{key}")
+                rows.write.option("compression", COMPRESSION).parquet(f"{self.folder}/{key}")
                 self._tables[key] = self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{key}")
             return self._tables[key]
 
@@ -160,9 +167,9 @@ class LoadedStore:
         with self._lock:
             if name not in self._tables:
                 path = f"{self.folder}/{name}"
-                derived = self._derive(name)
-                write_table(derived, path, name)
-                self._tables[name] = self.spark.read.schema(as_stored(derived, name).schema).parquet(path)
+                derived, finished = self._derive(name), self._finished(name)
+                write_table(derived, path, name, finished)
+                self._tables[name] = self.spark.read.schema(as_stored(finished(derived), name).schema).parquet(path)
             return self._tables[name]
 
 
