@@ -40,15 +40,19 @@ _NONE = np.iinfo(np.int64).max
 
 
 class Anchors:
-    """Segments of one group: row, first and last string, 40-bit anchor key, 64-bit hash of the segment, place of the anchor in it."""
+    """Segments of one group: row, first and last string, 40-bit anchor key, 64-bit hash of the segment, place of the anchor in it.
 
-    def __init__(self, table: pa.Table, width: int):
+    With ``wanted``, sorted keys, only the segments at these anchors; only then are segments hashed.
+    """
+
+    def __init__(self, table: pa.Table, width: int, wanted: np.ndarray | None = None):
         self.width = width
         self.texts = []  # (first row, bytes, offsets)
         parts = []
+        among = None if wanted is None else _Among(wanted)
         for first, end, data, offsets in pieces(table.column("text"), _PIECE):
             self.texts.append((first, data, offsets))
-            parts += [(first, len(self.texts) - 1, *found) for found in _anchors(data, offsets, width)]
+            parts += [(first, len(self.texts) - 1, *found) for found in _anchors(data, offsets, width, among)]
         get = lambda k, kind: np.concatenate([p[k] for p in parts]).astype(kind) if parts else np.zeros(0, kind)
         self.piece = np.concatenate([np.full(len(p[2]), p[1], np.int32) for p in parts]) if parts else np.zeros(0, np.int32)
         self.row = np.concatenate([p[2] + p[0] for p in parts]) if parts else np.zeros(0, np.int64)
@@ -79,13 +83,33 @@ class Anchors:
                 self.mark[these], self.key[these], self.place[these] = marks, marks >> np.uint64(24), -1
 
 
-def _anchors(data: np.ndarray, offsets: np.ndarray, width: int):
-    """(row, first string, last string, place of the anchor, key, mark) per chunk of consecutive rows."""
+class _Among:
+    """Whether numbers are among sorted ones; most that are not are told by a table of their low bits."""
+
+    def __init__(self, wanted: np.ndarray):
+        self.wanted, self.low = wanted, np.zeros(1 << 21, bool)
+        self.low[(wanted & np.uint64((1 << 21) - 1)).astype(np.int64)] = True
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Positions of the keys that are."""
+        if not len(self.wanted):
+            return np.zeros(0, np.int64)
+        at = np.flatnonzero(self.low[(keys & np.uint64((1 << 21) - 1)).astype(np.int64)])
+        spot = np.minimum(np.searchsorted(self.wanted, keys[at]), len(self.wanted) - 1)
+        return at[self.wanted[spot] == keys[at]]
+
+
+def _anchors(data: np.ndarray, offsets: np.ndarray, width: int, among: _Among | None):
+    """(row, first string, last string, place of the anchor, key, mark) per chunk of consecutive rows; see ``Anchors`` for ``among``."""
     n = len(data)
     window = width - GRAM + 1
     lengths = np.diff(offsets)
-    row_of = np.repeat(np.arange(len(lengths)), lengths)
-    fits = np.arange(n) + width <= np.repeat(offsets[1:], lengths)
+    row_of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    # Strings that reach beyond their row, and those with which a row begins.
+    fits, begins = np.ones(n, bool), np.zeros(n, bool)
+    tails = offsets[1:, None] - np.arange(1, width)
+    fits[tails[tails >= offsets[:-1, None]]] = False
+    begins[offsets[:-1][lengths > 0]] = True
     for begin in range(0, max(0, n - width + 1), _CHUNK):
         part = data[begin: begin + _CHUNK + width - 1]
         if len(part) < width:
@@ -98,15 +122,23 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, width: int):
             reach *= 2
         strings = len(part) - width + 1
         low = np.minimum(low[:strings], low[window - reach: window - reach + strings])
-        string = np.flatnonzero(fits[begin: begin + strings])
-        if not len(string):
+        inside = fits[begin: begin + strings]
+        fresh = begins[begin: begin + strings].copy()
+        fresh[0] = True
+        fresh[1:] |= (low[1:] != low[:-1]) | ~inside[:-1]
+        fresh &= inside
+        ends = inside.copy()
+        ends[:-1] &= fresh[1:] | ~inside[1:]
+        first, last = np.flatnonzero(fresh), np.flatnonzero(ends)
+        if not len(first):
             continue
-        anchor, row = (low[string] & np.uint64(0xFFFFFF)).astype(np.int64), row_of[begin + string]
-        fresh = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (string[1:] != string[:-1] + 1) | (row[1:] != row[:-1])])
-        cut = np.flatnonzero(fresh)
-        first, last, anchor = string[cut], string[np.append(cut[1:], len(string)) - 1], anchor[cut]
-        mark = mix(rolling_hashes(part, first, last + width, sums) + (anchor - first).astype(np.uint64))
-        yield row[cut], first + begin, last + begin, anchor - first, grams[anchor] >> np.uint64(24), mark
+        anchor = (low[first] & np.uint64(0xFFFFFF)).astype(np.int64)
+        key, mark = grams[anchor] >> np.uint64(24), np.zeros(0, np.uint64)
+        if among is not None:
+            at = among(key)
+            first, last, anchor, key = first[at], last[at], anchor[at], key[at]
+            mark = mix(rolling_hashes(part, first, last + width, sums) + (anchor - first).astype(np.uint64))
+        yield row_of[begin + first].astype(np.int64), first + begin, last + begin, anchor - first, key, mark
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -130,12 +162,17 @@ def _table(rows: list[tuple[int, int, list[bytes]]]) -> pa.Table:
 
 def _dealt(keys: np.ndarray, buckets: int):
     """(bucket, positions) of keys by bucket."""
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    bucket = (keys % np.uint64(buckets)).astype(np.int64 if buckets > 1 << 16 else np.uint16)  # two bytes are sorted by counting
     order = np.argsort(bucket, kind="stable")
     for a, b in _ranges(bucket[order]):
         yield int(bucket[order[a]]), order[a:b]
 
 
+def _numbered(lists: list[np.ndarray]) -> np.ndarray:
+    """The number of its list beside each entry of all, in two bytes where they do."""
+    return np.repeat(np.arange(len(lists), dtype=np.uint16 if len(lists) <= 1 << 16 else np.int64), [len(x) for x in lists])
+
+
 def _firsts(*sorted_columns: np.ndarray) -> np.ndarray:
     """Places where any of the sorted columns changes."""
     if not len(sorted_columns[0]):
@@ -177,11 +214,13 @@ class Steps:
 
     def name_anchors(self, key, table):
         found = Anchors(table, self.width)
-        order = np.lexsort((found.docs[found.row], found.key))
+        order = np.argsort(found.key)
         keys, docs = found.key[order], found.docs[found.row][order]
         first = _firsts(keys)
-        last = first + _spans(first, len(keys)) - 1
-        single, several = keys[first], keys[first[docs[first] != docs[last]]]
+        if not len(first):
+            return _table([])
+        single = keys[first]
+        several = single[np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)]
         group = key[0].as_py()
         own = dict(_dealt(several, self.buckets))
         return _table([(b, group, [_packed(single[at]), _packed(several[own[b]]) if b in own else b""]) for b, at in _dealt(single, self.buckets)])
@@ -190,9 +229,9 @@ class Steps:
         """Body for a group: anchors that another document has too, and those of them that are hot."""
         bodies, groups = table.column("body").to_pylist(), table.column("grp").to_numpy()
         lists = [_unpacked(b[0]) for b in bodies]
-        keys, of = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        keys, of = np.concatenate(lists), _numbered(lists)
         several = np.unique(_unpacked(b"".join(b[1] for b in bodies)))
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys, of = keys[order], of[order]
         first = _firsts(keys)
         count = _spans(first, len(keys))
@@ -208,13 +247,10 @@ class Steps:
         return _table(rows)
 
     def _shared(self, table: pa.Table, shared: pa.Table) -> Anchors:
-        found = Anchors(table, self.width)
-        if not shared.num_rows:
-            found.chosen(np.zeros(0, np.int64))
-            return found
-        keys, hot = (_unpacked(x) for x in _bodies(shared, 0, 1))
-        found.chosen(np.flatnonzero(np.isin(found.key, keys)))
-        found.split(np.isin(found.key, hot))
+        keys, hot = (np.sort(_unpacked(x)) for x in _bodies(shared, 0, 1))
+        found = Anchors(table, self.width, keys)
+        if len(hot):
+            found.split(np.isin(found.key, hot))
         return found
 
     def send_segments(self, key, table, told):
@@ -224,20 +260,27 @@ class Steps:
             return _table([])
         found = self._shared(table, shared)
         docs = found.docs[found.row].astype(np.int64)
-        order = np.lexsort((docs, found.mark, found.key))
-        order = order[_firsts(found.key[order], found.mark[order])]
-        keys, marks, docs = found.key[order], found.mark[order], docs[order]
+        order = np.argsort(found.mark)
+        first = _firsts(found.mark[order], found.key[order])
+        if not len(first):
+            return _table([])
+        docs, order = np.minimum.reduceat(docs[order], first), order[first]
+        keys, marks = found.key[order], found.mark[order]
         group = key[0].as_py()
         return _table([(b, group, [_packed(keys[at]), marks[at].tobytes(), docs[at].tobytes()]) for b, at in _dealt(keys, self.buckets)])
 
     def _compared(self, table: pa.Table):
-        """All segments sent to a bucket, sorted by (key, mark, doc_id), with first of each mark and whether its key has several marks."""
+        """All segments sent to a bucket, sorted by (key, mark), with first of each mark and whether its key has several marks."""
         bodies, groups = table.column("body").to_pylist(), table.column("grp").to_numpy()
         lists = [_unpacked(b[0]) for b in bodies]
-        keys, of = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        keys, of = np.concatenate(lists), _numbered(lists)
         marks = np.frombuffer(b"".join(b[1] for b in bodies), np.uint64)
         docs = np.frombuffer(b"".join(b[2] for b in bodies), np.int64)
-        order = np.lexsort((docs, marks, keys))
+        # A key and what of a mark fits beside it are one number; only where that does not tell marks apart are both sorted.
+        word = (keys << np.uint64(24)) | (marks >> np.uint64(40))
+        order = np.argsort(word)
+        if len(_firsts(word[order], marks[order])) > len(_firsts(word[order])):
+            order = np.lexsort((marks, keys))
         keys, marks, docs, of = keys[order], marks[order], docs[order], of[order]
         first = _firsts(keys, marks)
         count = _spans(first, len(keys))
@@ -248,10 +291,10 @@ class Steps:
     def settle(self, key, table):
         """Bodies for groups: [marks, smallest doc_ids, marks whose text is asked for]. Only what a group cannot know itself."""
         groups, marks, docs, of, first, count, open_ = self._compared(table)
-        least = np.repeat(docs[first], count)
+        least = np.repeat(np.minimum.reduceat(docs, first), count) if len(first) else docs
         told = (docs > least) & ~np.repeat(open_, count)
-        asked = np.zeros(len(marks), bool)
-        asked[first[open_]] = True
+        asked, holders = np.zeros(len(marks), bool), np.flatnonzero(docs == least)
+        asked[holders[_firsts(np.repeat(np.arange(len(first)), count)[holders])][open_]] = True  # one that has the smallest
         some = np.flatnonzero(told | asked)
         some = some[np.argsort(of[some], kind="stable")]
         rows = []
@@ -325,9 +368,10 @@ class Steps:
         docs = found.docs[found.row].astype(np.int64)
         # What the group knows itself, what buckets settled, and what sorting found.
         least = np.full(len(docs), _NONE, np.int64)
-        order = np.lexsort((docs, found.mark))
+        order = np.argsort(found.mark)
         first = _firsts(found.mark[order])
-        least[order] = np.repeat(docs[order][first], _spans(first, len(order)))
+        if len(first):
+            least[order] = np.repeat(np.minimum.reduceat(docs[order], first), _spans(first, len(order)))
         if settled.num_rows:
             raw_marks, raw_least = _bodies(settled, 0, 1)
             _lower(least, found.mark, np.frombuffer(raw_marks, np.uint64), np.frombuffer(raw_least, np.int64))

@@ -95,7 +95,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def _sums(data: np.ndarray) -> np.ndarray:
+def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Prefix sums that the polynomial hashes below are differences of."""
     up, _ = _power_tables(len(data) + 1)
     sums = np.empty(len(data) + 1, dtype=np.uint64)
@@ -110,16 +110,22 @@ def _sums(data: np.ndarray) -> np.ndarray:
 def rolling_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
     """As ``span_hashes``, for spans that overlap and for numbers beyond a byte: one pass over the data; polynomial modulo 2**64."""
     _, down = _power_tables(len(data) + 1)
-    sums = _sums(data) if sums is None else sums
+    sums = prefix_sums(data) if sums is None else sums
     found = (sums[ends] - sums[starts]) * down[starts]
     found += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     return mix(found)
 
 
+def same_spans(sums: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether ``length`` numbers from ``a`` and from ``b`` have equal ``rolling_hashes``, from the sums of their data."""
+    _, down = _power_tables(len(sums))
+    return (sums[a + length] - sums[a]) * down[a] == (sums[b + length] - sums[b]) * down[b]
+
+
 def gram_hashes(data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """``rolling_hashes`` of all ranges of ``width`` bytes, by start, and the sums for more hashes of the same data."""
     _, down = _power_tables(len(data) + 1)
-    sums = _sums(data)
+    sums = prefix_sums(data)
     found = sums[width:] - sums[:-width]
     found *= down[: len(found)]
     found += np.uint64(width * 0xD6E8FEB86659FD93 % 2**64)

@@ -1,11 +1,13 @@
 import hashlib
 import random
+import sys
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ordermill.llm import suffix_dedup
+from ordermill.llm import suffix_dedup, suffix_sort
 from ordermill.llm.registered import op4_suffix_dedup
 from ordermill.llm.suffix_sort import common_prefixes, suffix_array
 from tests.llm.helpers import documents, edges_of, words
@@ -89,3 +91,54 @@ def test_many_names():
 def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert result(op4_suffix_dedup(spark, sf_dir)) == brute(rows)
+
+
+def test_suffixes_by_counting_and_doubling():
+    """Text of bytes is sorted with symbols of two bytes, names by doubling: no step for each entry in Python, so half a megabyte takes a few seconds at most."""
+    r = np.random.default_rng(3)
+    copies = r.integers(2, 100, (600, 90))
+    s = np.concatenate([np.append(copies[i], 1) for i in r.integers(0, 600, 5500)] + [[0]])
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(1) if event in ("call", "c_call") else None)
+    try:
+        array = suffix_array(s, 258)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < len(s)
+    plain = s.astype(np.uint8).tobytes()
+    some = array[r.integers(1, len(s), 3000)]
+    place = np.empty(len(s), np.int64)
+    place[array] = np.arange(len(s))
+    assert sorted(array.tolist()) == list(range(len(s)))
+    assert all(plain[a:] < plain[array[place[a] + 1]:] for a in some if place[a] + 1 < len(s))
+    assert type(s[0]) is np.int64 and {a.dtype for a in _symbols(s)} == {np.dtype(np.uint16)}
+
+
+def _symbols(s):
+    """What the induced sorting of ``s`` is given as its string."""
+    seen, plain = [], suffix_sort._induced
+    suffix_sort._induced = lambda s, *rest: (seen.append(s), plain(s, *rest))[1]
+    try:
+        suffix_array(s, 258)
+    finally:
+        suffix_sort._induced = plain
+    return seen
+
+
+def test_segments_are_hashed_only_at_wanted_anchors():
+    rows = [words(60, n) + " " + words(30, 900) for n in range(30)] + ["", "short"]
+    table = pa.table({"doc_id": pa.array(range(len(rows)), pa.int64()), "text": rows})
+    whole = suffix_dedup.Anchors(table, 50)
+    assert len(whole.mark) == 0
+    keys, count = np.unique(whole.key, return_counts=True)
+    wanted = keys[count > 1]
+    some = suffix_dedup.Anchors(table, 50, wanted)
+    at = np.flatnonzero(np.isin(whole.key, wanted))
+    for name in ("row", "low", "high", "place", "key"):
+        assert getattr(some, name).tolist() == getattr(whole, name)[at].tolist()
+    assert len(some.mark) == len(at) > 0
+    # All strings that fit their row, each once.
+    strings = np.concatenate([np.arange(a, b + 1) for a, b in zip(whole.low, whole.high, strict=True)])
+    ends = np.cumsum([len(x) for x in rows])
+    expected = [p for e, x in zip(ends, rows, strict=True) for p in range(e - len(x), e - 50 + 1)]
+    assert sorted(strings.tolist()) == expected
