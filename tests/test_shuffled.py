@@ -113,6 +113,35 @@ def test_lines_of_new_orders_are_shuffled_once(unbroadcast, monkeypatch, hot):
     assert rows_shuffled(kept["lines"]) <= 1.2 * n * per + 2 * again
 
 
+def test_requests_in_one_part_are_not_shuffled_for_their_sizes(unbroadcast):
+    """A district's count needs requests at their customer and in their slice only; those in several parts, or with a number that comes twice, meet their sizes."""
+    spark = unbroadcast
+    n = 400
+    line = "named_struct('i_id', 1L, 'w_id', 1L, 'qty', 2L, 'n', k)"
+    requests = spark.range(n).selectExpr("id as seq", "1L as w_id", "1L as d_id", "id % 5 as c_id", "timestamp_ntz'2020-01-01' as o_entry_d",
+                                         f"transform(sequence(0L, 2L), k -> {line}) as lines", "0L as o_part", "1L as o_parts")
+    several = requests.where("seq = 3").select("seq", "w_id", "d_id", "c_id", "o_entry_d", "lines", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(1).cast("bigint"))).alias("o_part"), F.lit(2).cast("bigint").alias("o_parts"))
+    requests = requests.where("seq <> 3").unionByName(several).localCheckpoint()
+    tables = {
+        "item": spark.range(2).selectExpr("id as i_id", "'i' as i_name", "2.5d as i_price", "'x' as i_data"),
+        "stock": spark.range(2).selectExpr("id as s_i_id", "1L as s_w_id", "50L as s_quantity", "0L as s_ytd", "0L as s_order_cnt", "0L as s_remote_cnt", "'x' as s_data", "array('D') as s_dists"),
+        "customer": spark.range(5).selectExpr("id as c_id", "1L as c_d_id", "1L as c_w_id", "0.1d as c_discount", "named_struct('c_last', 'x') as c_name", "'GC' as c_credit"),
+        "district": spark.range(1).selectExpr("1L as d_id", "1L as d_w_id", "0.1d as d_tax", "1L as d_next_o_id"),
+        "warehouse": spark.range(1).selectExpr("1L as w_id", "0.1d as w_tax"),
+    }
+    tables = {name: rows.localCheckpoint() for name, rows in tables.items()}
+    kept = {}
+
+    def keep(rows, label):
+        kept[label] = rows
+        return rows.localCheckpoint()
+
+    changes, _ = new_order_changes(tables, requests, keep)
+    assert {r.seq: r.n_lines for r in kept["placed"].select("seq", "n_lines").collect()} == {k: 6 if k == 3 else 3 for k in range(n)}
+    assert changes["district"].select("d_next_o_id").first()[0] == n + 1
+    assert rows_shuffled(kept["placed"]) <= 6.5 * n
+
+
 def test_lines_travel_as_given_to_the_range_of_their_order(spark, sf_dir):
     """Orders are put in ranges with plain arrays of what is given of their lines, and are the same documents after it."""
     bridge = Bridge(spark, sf_dir)
